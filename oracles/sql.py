@@ -8,6 +8,75 @@ uses single-pass fan-out and semi / anti joins, so the two are independent.
 from __future__ import annotations
 
 from oracles.derive_sql import with_exam
+from retally.specs import REPORTS
+
+
+def _paid_ids(purpose: str) -> str:
+    return (f"SELECT CAST(description AS INTEGER) FROM payment "
+            f"WHERE status = 'captured' AND notes->>'pay_for' = '{purpose}'")
+
+
+def _accepted_where(purpose: str) -> str:
+    return (f"payment_status = '0300' AND retotaling_status = 'Y' "
+            f"AND scanno IN ({_paid_ids(purpose)})")
+
+
+PAID_LIST = with_exam("""
+SELECT DISTINCT notes->>'pay_for' AS pay_for, notes->>'course' AS course, notes->>'sem' AS sem, description
+FROM payment WHERE status = 'captured'""")
+
+PAID_COUNTS = with_exam("""
+SELECT notes->>'pay_for' AS pay_for, notes->>'course' AS course, notes->>'sem' AS sem,
+       count(DISTINCT description) AS paid_n
+FROM payment WHERE status = 'captured'
+GROUP BY 1, 2, 3""")
+
+ACCEPTED_LIST = with_exam("\nUNION ALL\n".join(
+    f"SELECT '{s.purpose}' AS pay_for, subcode, semyr_code, scanno FROM {s.application_table} "
+    f"WHERE {_accepted_where(s.purpose)}" for s in REPORTS.values()))
+
+ACCEPTED_COUNTS = with_exam("\nUNION ALL\n".join(
+    f"SELECT '{s.purpose}' AS pay_for, subcode, semyr_code, count(*) AS accepted_n FROM {s.application_table} "
+    f"WHERE {_accepted_where(s.purpose)} GROUP BY subcode, semyr_code" for s in REPORTS.values()))
+
+
+def _gate_sql(key: str) -> str:
+    s = REPORTS[key]
+    if s.gate == "equal":
+        passed = "p.paid_n = a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
+    else:
+        passed = "p.paid_n <> a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
+    return with_exam(f"""
+SELECT g.pub_result, g.course, g.subcode, g.semyr_code, p.paid_n, a.accepted_n,
+       CASE WHEN p.paid_n <> a.accepted_n THEN 'mismatch'
+            WHEN p.paid_n = 0 THEN 'none' ELSE 'match' END AS gate_class,
+       ({passed}) AS passed
+FROM (SELECT DISTINCT pub_result, course, subcode, semyr_code FROM {s.result_table}) g,
+LATERAL (SELECT count(DISTINCT description) AS paid_n FROM payment
+         WHERE notes->>'sem' = g.semyr_code || '{s.sem_suffix}' AND notes->>'course' = g.course
+           AND status = 'captured' AND notes->>'pay_for' = '{s.purpose}') p,
+LATERAL (SELECT count(*) AS accepted_n FROM {s.application_table}
+         WHERE subcode = g.subcode AND semyr_code = g.semyr_code AND {_accepted_where(s.purpose)}) a""")
+
+
+def _mismatch_part(key: str) -> str:
+    s = REPORTS[key]
+    return f"""(WITH g AS (SELECT DISTINCT course, subcode, semyr_code FROM {s.result_table}),
+ paid AS (SELECT DISTINCT g.course, g.subcode, g.semyr_code, CAST(p.description AS INTEGER) AS scanno
+          FROM g JOIN payment p ON p.notes->>'sem' = g.semyr_code || '{s.sem_suffix}' AND p.notes->>'course' = g.course
+          WHERE p.status = 'captured' AND p.notes->>'pay_for' = '{s.purpose}'),
+ acc AS (SELECT DISTINCT g.course, g.subcode, g.semyr_code, x.scanno
+         FROM g JOIN {s.application_table} x ON x.subcode = g.subcode AND x.semyr_code = g.semyr_code
+         WHERE x.{_accepted_where(s.purpose)})
+ SELECT '{s.purpose}' AS pay_for, course, subcode, semyr_code, scanno, 'paid_only' AS side
+ FROM (SELECT * FROM paid EXCEPT SELECT * FROM acc)
+ UNION ALL
+ SELECT '{s.purpose}' AS pay_for, course, subcode, semyr_code, scanno, 'accepted_only' AS side
+ FROM (SELECT * FROM acc EXCEPT SELECT * FROM paid))"""
+
+
+RECON_MISMATCH = with_exam("SELECT * FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT * FROM {_mismatch_part(k)}" for k in REPORTS) + "\n)")
 
 DEADLINE_ANNUAL = with_exam("""
 SELECT subcode, course, semyr, pub_result,
@@ -35,9 +104,86 @@ SELECT pub_result, course, subcode, semyr_code FROM (
   SELECT DISTINCT pub_result, course, subcode, semyr_code FROM result
   GROUP BY pub_result, course, subcode, semyr_code) AS abc""")
 
+def _branch(spec, slot) -> str:
+    if spec.layout == "annual":
+        op = "OR" if slot.name in spec.or_slots else "AND"
+        applied = f"(rr.{slot.name} IS NOT NULL {op} rr.{slot.name}code IS NOT NULL)"
+    else:
+        applied = f"rr.sub{slot.subject} IS NOT NULL AND rr.sub{slot.subject}_retotaling = 'true'"
+    return (f"SELECT rr.scanno, rr.ansidrno, rr.enrollment_no, rr.course, rr.semyr_code, rr.name, rr.fname, "
+            f"rr.payment_status, rr.centrename, rr.centrecode, rr.subcode, r.{slot.name} AS paper, "
+            f"r.{slot.name}code AS papercode, rr.{slot.name}_th AS marks, "
+            f"strftime(rr.app_date, '%d/%m/%Y') AS app_date, '{spec.scrutiny_type}' AS scrutiny_type "
+            f"FROM {spec.application_table} rr, {spec.result_table} r "
+            f"WHERE r.id = rr.id AND rr.retotaling_status = 'Y' AND {applied}")
+
+
+def _report_body(key: str) -> str:
+    """The report over every group, per-slot UNION form."""
+    s = REPORTS[key]
+    union = "\nUNION\n".join(_branch(s, slot) for slot in s.slots)
+    if s.history_types is None:
+        hist = f"SELECT CAST(scanno AS INTEGER) FROM {s.history_table}"
+    else:
+        types = ", ".join(f"'{t}'" for t in s.history_types)
+        hist = f"SELECT CAST(scanno AS INTEGER) FROM {s.history_table} WHERE scrutiny_type IN ({types})"
+    where = f"abc.payment_status = '0300' AND abc.scanno NOT IN ({hist})"
+    if s.payment_semi_join:
+        where += f" AND abc.scanno IN ({_paid_ids(s.purpose)})"
+    return f"SELECT * FROM (\n{union}\n) AS abc WHERE {where}"
+
+
+def _report_sql(key: str) -> str:
+    return with_exam(_report_body(key))
+
+
+def _gated_sql(key: str, pub_result: str | None) -> str:
+    s = REPORTS[key]
+    if s.gate == "equal":
+        passed = "p.paid_n = a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
+    else:
+        passed = "p.paid_n <> a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
+    date_filter = f"WHERE pub_result = '{pub_result}'" if pub_result is not None else ""
+    lead = "" if pub_result is not None else "g.pub_result, "
+    return with_exam(f"""
+SELECT {lead}rep.* FROM (
+  SELECT g.pub_result, g.subcode, g.semyr_code
+  FROM (SELECT DISTINCT pub_result, course, subcode, semyr_code FROM {s.result_table} {date_filter}) g,
+  LATERAL (SELECT count(DISTINCT description) AS paid_n FROM payment
+           WHERE notes->>'sem' = g.semyr_code || '{s.sem_suffix}' AND notes->>'course' = g.course
+             AND status = 'captured' AND notes->>'pay_for' = '{s.purpose}') p,
+  LATERAL (SELECT count(*) AS accepted_n FROM {s.application_table}
+           WHERE subcode = g.subcode AND semyr_code = g.semyr_code AND {_accepted_where(s.purpose)}) a
+  WHERE {passed}
+) g
+JOIN report rep ON rep.subcode = g.subcode AND rep.semyr_code = g.semyr_code""",
+                     extra_ctes=f"report AS (\n{_report_body(key)}\n)")
+
+
 ORACLES: dict[str, str] = {
     "deadline_status_annual": DEADLINE_ANNUAL,
     "deadline_status_semester": DEADLINE_SEMESTER,
     "published_groups_annual": PUBLISHED_ANNUAL,
     "published_groups_semester": PUBLISHED_SEMESTER,
+    "paid_list": PAID_LIST,
+    "paid_counts": PAID_COUNTS,
+    "accepted_list": ACCEPTED_LIST,
+    "accepted_counts": ACCEPTED_COUNTS,
+    "recon_gate_annual_rt": _gate_sql("annual_rt"),
+    "recon_gate_annual_rv": _gate_sql("annual_rv"),
+    "recon_gate_semester_rt": _gate_sql("semester_rt"),
+    "recon_gate_semester_rv": _gate_sql("semester_rv"),
+    "recon_mismatch": RECON_MISMATCH,
+    "scrutiny_annual_rt": _report_sql("annual_rt"),
+    "scrutiny_annual_rv": _report_sql("annual_rv"),
+    "scrutiny_semester_rt": _report_sql("semester_rt"),
+    "scrutiny_semester_rv": _report_sql("semester_rv"),
+    "gated_annual_rt": _gated_sql("annual_rt", "01/01/1996"),
+    "gated_annual_rv": _gated_sql("annual_rv", "01/01/1996"),
+    "gated_semester_rt": _gated_sql("semester_rt", "01/01/1996"),
+    "gated_semester_rv": _gated_sql("semester_rv", "01/01/1996"),
+    "gated_annual_rt_all_dates": _gated_sql("annual_rt", None),
+    "gated_annual_rv_all_dates": _gated_sql("annual_rv", None),
+    "gated_semester_rt_all_dates": _gated_sql("semester_rt", None),
+    "gated_semester_rv_all_dates": _gated_sql("semester_rv", None),
 }

@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retally.plans import status
+from retally.plans import reconcile, report, runs, status
 from retally.sources.derived import exam_tables_from_tpch
+from retally.specs import REPORTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,13 +39,94 @@ def _published_groups_semester(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.published_groups(exam_tables_from_tpch(spark, sf_dir)["result"])
 
 
+def _union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _paid_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.paid_list(exam_tables_from_tpch(spark, sf_dir)["payment"])
+
+
+def _paid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.paid_counts(exam_tables_from_tpch(spark, sf_dir)["payment"])
+
+
+def _accepted_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = exam_tables_from_tpch(spark, sf_dir)
+    return _union_all([reconcile.accepted_list(t[s.application_table], t["payment"], s.purpose)
+                       for s in REPORTS.values()])
+
+
+def _accepted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = exam_tables_from_tpch(spark, sf_dir)
+    return _union_all([reconcile.accepted_counts(t[s.application_table], t["payment"], s.purpose)
+                       for s in REPORTS.values()])
+
+
+def _gate_query(key: str) -> Query:
+    spec = REPORTS[key]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = exam_tables_from_tpch(spark, sf_dir)
+        groups = status.published_groups(t[spec.result_table])      # every publish date
+        return reconcile.gate(groups, t[spec.application_table], t["payment"], spec)
+
+    return run
+
+
+def _recon_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = exam_tables_from_tpch(spark, sf_dir)
+    return _union_all([
+        reconcile.mismatch(t[s.result_table], t[s.application_table], t["payment"], s)
+        for s in REPORTS.values()
+    ])
+
+
+def _report_query(key: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report.scrutiny_report(exam_tables_from_tpch(spark, sf_dir), REPORTS[key])
+
+    return run
+
+
+def _gated_query(key: str, pub_result: str | None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return runs.gated_run(exam_tables_from_tpch(spark, sf_dir), REPORTS[key], pub_result)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "deadline_status_annual": _deadline_status_annual,
     "deadline_status_semester": _deadline_status_semester,
     "published_groups_annual": _published_groups_annual,
     "published_groups_semester": _published_groups_semester,
+    "paid_list": _paid_list,
+    "paid_counts": _paid_counts,
+    "accepted_list": _accepted_list,
+    "accepted_counts": _accepted_counts,
+    "recon_gate_annual_rt": _gate_query("annual_rt"),
+    "recon_gate_annual_rv": _gate_query("annual_rv"),
+    "recon_gate_semester_rt": _gate_query("semester_rt"),
+    "recon_gate_semester_rv": _gate_query("semester_rv"),
+    "recon_mismatch": _recon_mismatch,
+    "scrutiny_annual_rt": _report_query("annual_rt"),
+    "scrutiny_annual_rv": _report_query("annual_rv"),
+    "scrutiny_semester_rt": _report_query("semester_rt"),
+    "scrutiny_semester_rv": _report_query("semester_rv"),
+    "gated_annual_rt": _gated_query("annual_rt", RUN_DATE),
+    "gated_annual_rv": _gated_query("annual_rv", RUN_DATE),
+    "gated_semester_rt": _gated_query("semester_rt", RUN_DATE),
+    "gated_semester_rv": _gated_query("semester_rv", RUN_DATE),
+    "gated_annual_rt_all_dates": _gated_query("annual_rt", None),
+    "gated_annual_rv_all_dates": _gated_query("annual_rv", None),
+    "gated_semester_rt_all_dates": _gated_query("semester_rt", None),
+    "gated_semester_rv_all_dates": _gated_query("semester_rv", None),
 }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["deadline_status_annual"](spark, sf_dir)
+    return QUERIES["gated_annual_rt"](spark, sf_dir)

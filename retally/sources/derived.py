@@ -91,30 +91,32 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _pivot(lines: DataFrame, slots: tuple[Slot, ...], modulus: int,
-           columns: list[tuple[str, Column]]) -> DataFrame:
-    """One row per order, one column per (slot, value): max(value) of the slot's lines.
+def _pivot(lines: DataFrame, modulus: int, values: list[Column]) -> DataFrame:
+    """One row per order with a map ``slot -> struct(v0, v1, ...)`` of per-slot maxima.
 
-    ``columns`` holds (suffix, value) pairs; the output column is the slot
-    name plus suffix.  One aggregation, one shuffle on the order key.
+    The per-(order, slot) aggregation combines map-side, so even an order
+    holding a third of all lines is reduced before the shuffle; the map then
+    holds at most ``modulus`` entries per order, a bound set by the layout.
     """
-    slot_of = F.col("l_partkey") % modulus
-    aggs = [
-        F.max(F.when(slot_of == s.index, value)).alias(_slot_column(s, suffix))
-        for s in slots
-        for suffix, value in columns
-    ]
-    return lines.groupBy("l_orderkey").agg(*aggs)
+    per_slot = (
+        lines.withColumn("_slot", (F.col("l_partkey") % modulus).cast("int"))
+        .groupBy("l_orderkey", "_slot")
+        .agg(*[F.max(v).alias(f"v{i}") for i, v in enumerate(values)])
+    )
+    fields = F.struct(*[f"v{i}" for i in range(len(values))])
+    return per_slot.groupBy("l_orderkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("_slot", fields))).alias("_slots"))
 
 
-def _slot_column(slot: Slot, suffix: str) -> str:
-    if suffix.startswith("@"):           # subject-level column: sub<N><rest>
-        return f"sub{slot.subject}{suffix[1:]}"
-    return slot.name + suffix
+def _slot_value(slot: Slot, i: int) -> Column:
+    """Value ``i`` of ``slot`` from the map built by ``_pivot`` (NULL when the slot is empty)."""
+    return F.col("_slots").getItem(slot.index).getField(f"v{i}")
 
 
-def _with_header(header: DataFrame, pivot: DataFrame, header_cols: list[str]) -> DataFrame:
-    return header.select(*header_cols).join(pivot, F.col("id") == F.col("l_orderkey")).drop("l_orderkey")
+def _with_header(header: DataFrame, pivot: DataFrame, header_cols: list[str], slot_cols: list[Column]) -> DataFrame:
+    return (header.select(*header_cols)
+            .join(pivot, F.col("id") == F.col("l_orderkey"))
+            .select(*header_cols, *slot_cols))
 
 
 RESULT_HEADER = ["id", "course", "subcode", "semyr", "semyr_code", "pub_result"]
@@ -141,59 +143,57 @@ def exam_tables_from_tpch(spark: SparkSession, sf_dir: str) -> ExamTables:
     def applied_lines(residue: int) -> DataFrame:
         return lines().where((F.col("l_orderkey") % 3 == residue) & (F.col("l_linenumber") <= 3))
 
-    def result_annual() -> DataFrame:
-        piv = _pivot(lines(), annual_slots(), 40, [("", F.col("p_name")), ("code", F.col("code"))])
-        return _with_header(header(), piv, RESULT_HEADER)
-
-    def result_semester() -> DataFrame:
-        piv = _pivot(lines(), semester_slots(), 12, [("", F.col("p_name")), ("code", F.col("code"))])
-        return _with_header(header(), piv, RESULT_HEADER)
+    def result_table(slots: tuple[Slot, ...], modulus: int) -> DataFrame:
+        piv = _pivot(lines(), modulus, [F.col("p_name"), F.col("code")])
+        cols = []
+        for s in slots:
+            cols += [_slot_value(s, 0).alias(s.name), _slot_value(s, 1).alias(s.name + "code")]
+        return _with_header(header(), piv, RESULT_HEADER, cols)
 
     def annual_application(residue: int) -> DataFrame:
         blanked = F.when(F.col("l_partkey") % 9 != 0, F.col("p_name"))
-        piv = _pivot(applied_lines(residue), annual_slots(), 40,
-                     [("", blanked), ("code", F.col("code")), ("_th", F.col("qty"))])
-        return _with_header(header(), piv, APPLICATION_HEADER)
+        piv = _pivot(applied_lines(residue), 40, [blanked, F.col("code"), F.col("qty")])
+        cols = []
+        for s in annual_slots():
+            cols += [_slot_value(s, 0).alias(s.name), _slot_value(s, 1).alias(s.name + "code"),
+                     _slot_value(s, 2).alias(s.name + "_th")]
+        return _with_header(header(), piv, APPLICATION_HEADER, cols)
 
     def semester_application(residue: int) -> DataFrame:
-        slots = semester_slots()
-        slot_of = F.col("l_partkey") % 12
-        aggs = []
-        for s in slots:
-            here = slot_of == s.index
-            aggs += [
-                F.max(F.when(here, F.col("p_brand"))).alias(f"sub{s.subject}"),
-                F.when(F.max(F.when(here, F.col("l_quantity"))) > 25, F.lit("true"))
-                .otherwise(F.lit("false")).alias(f"sub{s.subject}_retotaling"),
-                F.max(F.when(here, F.col("qty"))).alias(f"{s.name}_th"),
+        piv = _pivot(applied_lines(residue), 12, [F.col("p_brand"), F.col("l_quantity"), F.col("qty")])
+        cols = []
+        for s in semester_slots():
+            cols += [
+                _slot_value(s, 0).alias(f"sub{s.subject}"),
+                F.when(_slot_value(s, 1) > 25, F.lit("true")).otherwise(F.lit("false"))
+                .alias(f"sub{s.subject}_retotaling"),
+                _slot_value(s, 2).alias(f"{s.name}_th"),
             ]
-        piv = applied_lines(residue).groupBy("l_orderkey").agg(*aggs)
-        return _with_header(header(), piv, APPLICATION_HEADER)
+        return _with_header(header(), piv, APPLICATION_HEADER, cols)
 
     def payment() -> DataFrame:
-        frames = []
-        for residue, purposes in ((0, (("RETOT_ANNUAL", "y"), ("RETOT", "s"))),
-                                  (1, (("REVAL_ANNUAL", "y"), ("REVAL", "s")))):
-            applicants = (
-                header()
-                .join(applied_lines(residue).select("l_orderkey").distinct(),
-                      F.col("id") == F.col("l_orderkey"), "left_semi")
-                .where(F.col("retotaling_status") == "Y")
-            )
-            for pay_for, suffix in purposes:
-                frames.append(applicants.select(
-                    F.col("scanno").cast("string").alias("description"),
-                    F.when(F.col("scanno") % 5 == 4, F.lit("attempted")).otherwise(F.lit("captured"))
-                    .alias("status"),
-                    payment_notes(F.concat(F.col("semyr_code"), F.lit(suffix)), F.col("course"),
-                                  F.lit(pay_for)).alias("notes"),
-                    F.col("scanno"),
-                ))
-        once = frames[0]
-        for f in frames[1:]:
-            once = once.unionByName(f)
-        twice = once.where(F.col("scanno") % 13 == 0)
-        return once.unionByName(twice).drop("scanno")
+        # One pass over the applicants of both kinds: each yields one row per
+        # purpose of its kind, twice when scanno % 13 = 0.
+        kind = F.col("id") % 3
+        applied = (lines().where(((F.col("l_orderkey") % 3).isin(0, 1)) & (F.col("l_linenumber") <= 3))
+                   .select("l_orderkey").distinct())
+        applicants = (header().where(F.col("retotaling_status") == "Y")
+                      .join(applied, F.col("id") == F.col("l_orderkey"), "left_semi"))
+
+        def purposes(*pairs: tuple[str, str]) -> Column:
+            return F.array(*[F.struct(F.lit(p).alias("pay_for"), F.lit(x).alias("suffix")) for p, x in pairs])
+
+        by_kind = F.when(kind == 0, purposes(("RETOT_ANNUAL", "y"), ("RETOT", "s"))) \
+                   .otherwise(purposes(("REVAL_ANNUAL", "y"), ("REVAL", "s")))
+        copies = F.when(F.col("scanno") % 13 == 0, F.lit(2)).otherwise(F.lit(1))
+        rows = applicants.select("scanno", "semyr_code", "course", F.inline(by_kind))
+        rows = rows.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
+        return rows.select(
+            F.col("scanno").cast("string").alias("description"),
+            F.when(F.col("scanno") % 5 == 4, F.lit("attempted")).otherwise(F.lit("captured")).alias("status"),
+            payment_notes(F.concat(F.col("semyr_code"), F.col("suffix")), F.col("course"),
+                          F.col("pay_for")).alias("notes"),
+        )
 
     def history() -> DataFrame:
         orders = _read(spark, sf_dir, "orders", ["o_orderkey"])
@@ -204,8 +204,8 @@ def exam_tables_from_tpch(spark: SparkSession, sf_dir: str) -> ExamTables:
         )
 
     loaders = {
-        "result_annual": result_annual,
-        "result": result_semester,
+        "result_annual": lambda: result_table(annual_slots(), 40),
+        "result": lambda: result_table(semester_slots(), 12),
         "result_annual_retotaling": lambda: annual_application(0),
         "result_annual_reval": lambda: annual_application(1),
         "result_retotaling": lambda: semester_application(0),
