@@ -160,7 +160,27 @@ JOIN report rep ON rep.subcode = g.subcode AND rep.semyr_code = g.semyr_code""",
                      extra_ctes=f"report AS (\n{_report_body(key)}\n)")
 
 
+FILE_REGISTER = """
+WITH names AS (
+  SELECT (CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN 'admission_approval'
+               ELSE 'fee_receipt' END)
+         || ' ' || CAST(c_nationkey AS VARCHAR)
+         || ' ' || CAST(c_custkey % 28 + 1 AS VARCHAR) || '-' || CAST(c_custkey % 12 + 1 AS VARCHAR) || '-2024.pdf'
+         AS file_name
+  FROM customer)
+SELECT split_part(file_name, ' ', 1) AS lable, CAST(split_part(file_name, ' ', 2) AS INTEGER) AS coll_code,
+       split_part(file_name, ' ', 3) AS date, 'customer.parquet' AS src_location
+FROM names WHERE split_part(file_name, ' ', 1) = 'admission_approval'"""
+
+LATEST_DROP = "SELECT * FROM orders"
+
+SNAPSHOT_LOAD = with_exam("SELECT * FROM result_annual")
+
 ORACLES: dict[str, str] = {
+    "file_register": FILE_REGISTER,
+    "latest_drop": LATEST_DROP,
+    "snapshot_load": SNAPSHOT_LOAD,
+    "report_export": _report_sql("annual_rt"),
     "deadline_status_annual": DEADLINE_ANNUAL,
     "deadline_status_semester": DEADLINE_SEMESTER,
     "published_groups_annual": PUBLISHED_ANNUAL,

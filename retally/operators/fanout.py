@@ -13,8 +13,12 @@ re-joining both tables (40 branches → 120 scans, 80 joins).  Here:
 
 So the report is: explode the narrow application side, join once on the row
 key with the packed result side, read paper and code by slot.  All built-in
-expressions (JVM side, whole-stage codegen); no higher-order functions, whose
-lambdas Catalyst would duplicate across operators.
+expressions (JVM side, whole-stage codegen).  No higher-order functions,
+whose lambdas Catalyst would copy into several operators.
+
+Per-slot expressions are given as SQL text templates (``Slot -> str``), and
+each wide expression is sent to the JVM as one ``expr``: a 40-slot layout is
+a handful of driver round trips instead of thousands of Column calls.
 """
 
 from __future__ import annotations
@@ -26,32 +30,40 @@ from pyspark.sql import functions as F
 
 from retally.specs import Slot
 
-SlotExpr = Callable[[Slot], Column]
+SlotSql = Callable[[Slot], str]
+
+
+def q(name: str) -> str:
+    """Quote an identifier for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _struct_sql(fields: Sequence[tuple[str, str]]) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields) + ")"
 
 
-def explode_applied(df: DataFrame, slots: Sequence[Slot], keep: SlotExpr, values: Mapping[str, SlotExpr],
+def explode_applied(df: DataFrame, slots: Sequence[Slot], keep: SlotSql, values: Mapping[str, SlotSql],
                     keep_columns: Sequence[str], slot_column: str = "slot") -> DataFrame:
     """One row per (input row, slot with ``keep``): ``keep_columns`` + ``slot_column`` + ``values``.
 
     A NULL keep predicate counts as not applied (SQL ``WHERE`` semantics).
     """
-    entries = F.array(*[
-        F.struct(F.lit(s.index).alias(slot_column), keep(s).alias("_keep"),
-                 *[fn(s).alias(k) for k, fn in values.items()])
+    entries = ", ".join(
+        _struct_sql([(slot_column, str(s.index)), ("_keep", f"({keep(s)})"),
+                     *[(k, fn(s)) for k, fn in values.items()]])
         for s in slots
-    ])
-    return (df.select(*keep_columns, F.inline(entries))
+    )
+    return (df.select(*keep_columns, F.expr(f"inline(array({entries}))"))
             .where(F.col("_keep"))
             .drop("_keep"))
 
 
-def pack_slots(df: DataFrame, slots: Sequence[Slot], values: Mapping[str, SlotExpr],
+def pack_slots(df: DataFrame, slots: Sequence[Slot], values: Mapping[str, SlotSql],
                name: str = "_slots") -> DataFrame:
     """Add ``name`` = every slot as ``array<struct<*values>>``, position = slot index."""
     ordered = sorted(slots, key=lambda s: s.index)
-    return df.withColumn(name, F.array(*[
-        F.struct(*[fn(s).alias(k) for k, fn in values.items()]) for s in ordered
-    ]))
+    arr = "array(" + ", ".join(_struct_sql([(k, fn(s)) for k, fn in values.items()]) for s in ordered) + ")"
+    return df.withColumn(name, F.expr(arr))
 
 
 def slot_field(packed: str, slot_column: str, field: str) -> Column:

@@ -20,12 +20,12 @@ all groups equals the union of per-group reports; no per-group loop.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retally.functions.casts import to_int
 from retally.functions.dates import format_day
-from retally.operators.fanout import explode_applied, pack_slots, slot_field
+from retally.operators.fanout import explode_applied, pack_slots, q, slot_field
 from retally.operators.membership import is_in, not_in
 from retally.plans.reconcile import captured_payments
 from retally.sources.tables import ExamTables
@@ -34,16 +34,14 @@ from retally.specs import (APPLIED_STATUS, FLAG_TRUE, HEADER_COLUMNS, PAID_STATU
 
 
 def applied_rule(spec: ReportSpec):
-    """Slot → predicate on the application row: did the candidate apply for this paper?"""
+    """Slot → SQL predicate on the application row: did the candidate apply for this paper?"""
     if spec.layout == "annual":
-        def keep(s: Slot) -> Column:
-            name, code = F.col(s.name), F.col(s.name + "code")
-            if s.name in spec.or_slots:
-                return name.isNotNull() | code.isNotNull()
-            return name.isNotNull() & code.isNotNull()
+        def keep(s: Slot) -> str:
+            op = "OR" if s.name in spec.or_slots else "AND"
+            return f"{q(s.name)} IS NOT NULL {op} {q(s.name + 'code')} IS NOT NULL"
     else:
-        def keep(s: Slot) -> Column:
-            return F.col(f"sub{s.subject}").isNotNull() & (F.col(f"sub{s.subject}_retotaling") == FLAG_TRUE)
+        def keep(s: Slot) -> str:
+            return f"{q(f'sub{s.subject}')} IS NOT NULL AND {q(f'sub{s.subject}_retotaling')} = '{FLAG_TRUE}'"
     return keep
 
 
@@ -70,12 +68,12 @@ def scrutiny_report(tables: ExamTables, spec: ReportSpec, groups: DataFrame | No
     slots = spec.slots
     apps = eligible_applications(tables, spec, groups, strict)
     applied = explode_applied(
-        apps, slots, applied_rule(spec), {"marks": lambda s: F.col(s.name + "_th")},
+        apps, slots, applied_rule(spec), {"marks": lambda s: q(s.name + "_th")},
         keep_columns=["id", *HEADER_COLUMNS, "app_date"], slot_column="_slot",
     )
     papers = pack_slots(
         tables[spec.result_table].select("id", *[c for s in slots for c in (s.name, s.name + "code")]),
-        slots, {"paper": lambda s: F.col(s.name), "papercode": lambda s: F.col(s.name + "code")},
+        slots, {"paper": lambda s: q(s.name), "papercode": lambda s: q(s.name + "code")},
         name="_papers",
     ).select(F.col("id").alias("_rid"), "_papers")
     joined = applied.join(papers, F.col("id") == F.col("_rid"))

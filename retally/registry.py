@@ -11,8 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retally.plans import reconcile, report, runs, status
+from pyspark.sql import functions as F
+
+from retally import schemas
+from retally.plans import ingest, reconcile, report, runs, status
+from retally.session import scratch_path
 from retally.sources.derived import exam_tables_from_tpch
+from retally.sources.sinks import export_report
+from retally.sources.snapshot import write_snapshot
 from retally.specs import REPORTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,7 +105,48 @@ def _gated_query(key: str, pub_result: str | None) -> Query:
     return run
 
 
+def register_names(customer: DataFrame) -> DataFrame:
+    """File names built from customer rows (test listing for the register).
+
+    "<label> <nation key> <d>-<m>-2024.pdf", label "admission_approval" for
+    three market segments and "fee_receipt" for the others.
+    """
+    label = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"),
+                   F.lit("admission_approval")).otherwise(F.lit("fee_receipt"))
+    day = (F.col("c_custkey") % 28 + 1).cast("string")
+    month = (F.col("c_custkey") % 12 + 1).cast("string")
+    return customer.select(F.concat_ws(" ", label, F.col("c_nationkey").cast("string"),
+                                       F.concat(day, F.lit("-"), month, F.lit("-2024.pdf"))).alias("file_name"))
+
+
+def _file_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return ingest.register_entries(register_names(customer), "customer.parquet")
+
+
+def _latest_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The data folder itself is the drop folder; the newest "orders*" file is read.
+    return ingest.latest_drop(spark, sf_dir, prefix="orders")
+
+
+def _snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = exam_tables_from_tpch(spark, sf_dir)
+    snap = write_snapshot(t, scratch_path(spark, "snapshot"), names=["result_annual"])
+    return snap["result_annual"]
+
+
+def _report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rep = report.scrutiny_report(exam_tables_from_tpch(spark, sf_dir), REPORTS["annual_rt"])
+    path = scratch_path(spark, "export")
+    export_report(rep, path)
+    return spark.read.schema(schemas.REPORT).option("header", True).csv(path)
+
+
 QUERIES: dict[str, Query] = {
+    "file_register": _file_register,
+    "latest_drop": _latest_drop,
+    "snapshot_load": _snapshot_load,
+    "report_export": _report_export,
     "deadline_status_annual": _deadline_status_annual,
     "deadline_status_semester": _deadline_status_semester,
     "published_groups_annual": _published_groups_annual,
