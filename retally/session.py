@@ -40,6 +40,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for key, value in {**ENGINE_CONF, **LOCAL_CONF}.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # a fresh warehouse per local session: managed tables never land in the working tree
+    builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="retally-wh-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
