@@ -11,6 +11,13 @@ The final join is on (subcode, semyr_code) and keeps the source's bag
 semantics: two passing groups that differ only in course each insert the same
 report rows.  ``pub_result=None`` runs every publish date at once, with the
 date as a leading column.
+
+The gate table (one row per group) is written once to the shared folder and
+read back: both uses below read it instead of recomputing the two counts, and
+the planner sees its real size, so it is broadcast when small and joined by
+sort-merge beyond the threshold.  With the groups broadcast, the report's
+distinct shuffles on all 16 columns, not on the group key, so a group holding
+a third of all applications is still spread over every task.
 """
 
 from __future__ import annotations
@@ -21,14 +28,22 @@ from pyspark.sql import functions as F
 from retally.plans.reconcile import gate
 from retally.plans.report import scrutiny_report
 from retally.plans.status import published_groups
+from retally.sources.sinks import checkpointed
 from retally.sources.tables import ExamTables
 from retally.specs import REPORT_COLUMNS, REPORTS, ReportSpec
 
 
-def gated_run(tables: ExamTables, spec: ReportSpec, pub_result: str | None = None,
-              strict: bool = True) -> DataFrame:
+def gate_table(tables: ExamTables, spec: ReportSpec, pub_result: str | None = None,
+               strict: bool = True) -> DataFrame:
+    """The gate of every published group, materialised under the shared folder."""
     groups = published_groups(tables[spec.result_table], pub_result)
     gates = gate(groups, tables[spec.application_table], tables["payment"], spec, strict)
+    return checkpointed(tables.spark, gates, f"gate-{spec.key}")
+
+
+def gated_run(tables: ExamTables, spec: ReportSpec, pub_result: str | None = None,
+              strict: bool = True) -> DataFrame:
+    gates = gate_table(tables, spec, pub_result, strict)
     extra = ["pub_result"] if pub_result is None else []
     passed = gates.where(F.col("passed")).select(*extra, "subcode", "semyr_code")
     report = scrutiny_report(tables, spec, groups=passed, strict=strict)
