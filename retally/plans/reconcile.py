@@ -16,24 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retally.functions.casts import to_int
-from retally.functions.notes import note_field
+from retally.functions.notes import NOTE_KEYS, note_fields
 from retally.operators.gate import gate_class, gate_passes
 from retally.operators.membership import is_in
 from retally.specs import APPLIED_STATUS, CAPTURED, GROUP_COLUMNS, PAID_STATUS, ReportSpec
 
 
 def captured_payments(payment: DataFrame, purpose: str | None = None) -> DataFrame:
-    """Captured payments with the three note fields extracted once.
+    """Captured payments with the three note fields extracted in one parse.
 
     Columns: description, pay_for, course, sem.
     """
-    notes = F.col("notes")
-    out = payment.where(F.col("status") == CAPTURED).select(
-        "description",
-        note_field(notes, "pay_for").alias("pay_for"),
-        note_field(notes, "course").alias("course"),
-        note_field(notes, "sem").alias("sem"),
-    )
+    out = payment.where(F.col("status") == CAPTURED).select("description", *note_fields("notes", NOTE_KEYS))
     if purpose is not None:
         out = out.where(F.col("pay_for") == purpose)
     return out

@@ -42,8 +42,10 @@ def gate_table(tables: ExamTables, spec: ReportSpec, pub_result: str | None = No
 
 
 def gated_run(tables: ExamTables, spec: ReportSpec, pub_result: str | None = None,
-              strict: bool = True) -> DataFrame:
-    gates = gate_table(tables, spec, pub_result, strict)
+              strict: bool = True, gates: DataFrame | None = None) -> DataFrame:
+    """The report rows of every group that passes its gate (``gates``: a ``gate_table`` to reuse)."""
+    if gates is None:
+        gates = gate_table(tables, spec, pub_result, strict)
     extra = ["pub_result"] if pub_result is None else []
     passed = gates.where(F.col("passed")).select(*extra, "subcode", "semyr_code")
     report = scrutiny_report(tables, spec, groups=passed, strict=strict)
