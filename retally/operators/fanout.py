@@ -7,12 +7,13 @@ re-joining both tables (40 branches → 120 scans, 80 joins).  Here:
   for (decided by that row's own columns): one ``inline`` over an array of
   per-slot structs (a single Generate node) and a filter.  Rows applying for
   nothing vanish here, before any join or shuffle.
-* ``pack_slots``       packs every slot of the *other* side into one array
-  column indexed by slot position, so that side stays one row per key.
-* ``slot_field``       reads a field of the packed array at a row's slot.
+* ``slot_case``        reads the *other* side's column group at a row's slot
+  with one ``CASE`` (only the matching branch is evaluated), after the join,
+  so the other side is never reshaped: it is pruned to the key and the slot
+  columns and joined as it is.
 
 So the report is: explode the narrow application side, join once on the row
-key with the packed result side, read paper and code by slot.  All built-in
+key with the result side, read paper and code by slot.  All built-in
 expressions (JVM side, whole-stage codegen).  No higher-order functions,
 whose lambdas Catalyst would copy into several operators.
 
@@ -58,14 +59,7 @@ def explode_applied(df: DataFrame, slots: Sequence[Slot], keep: SlotSql, values:
             .drop("_keep"))
 
 
-def pack_slots(df: DataFrame, slots: Sequence[Slot], values: Mapping[str, SlotSql],
-               name: str = "_slots") -> DataFrame:
-    """Add ``name`` = every slot as ``array<struct<*values>>``, position = slot index."""
-    ordered = sorted(slots, key=lambda s: s.index)
-    arr = "array(" + ", ".join(_struct_sql([(k, fn(s)) for k, fn in values.items()]) for s in ordered) + ")"
-    return df.withColumn(name, F.expr(arr))
-
-
-def slot_field(packed: str, slot_column: str, field: str) -> Column:
-    """``packed[slot].field`` (0-based slot position)."""
-    return F.col(packed)[F.col(slot_column)][field]
+def slot_case(slots: Sequence[Slot], slot_column: str, value: SlotSql) -> Column:
+    """``value(slot)`` of the slot named by ``slot_column`` (NULL for an unknown slot)."""
+    branches = " ".join(f"WHEN {s.index} THEN {value(s)}" for s in slots)
+    return F.expr(f"CASE {q(slot_column)} {branches} END")

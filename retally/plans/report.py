@@ -9,8 +9,8 @@ Plan, in order of cost:
    narrow application side, before anything wide is touched;
 2. one Generate turns each application row into its applied slots (rows
    with none vanish);
-3. one equi join with the result table on ``id``, the result side packed to
-   ``id`` + one array of (paper, papercode), read at the row's slot;
+3. one equi join with the result table on ``id`` (pruned to ``id`` and the
+   paper columns), paper and code read at the row's slot with one ``CASE``;
 4. one ``distinct`` over the 16 report columns, which is the source's
    UNION: equal rows of a group collapse.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from retally.functions.casts import to_int
 from retally.functions.dates import format_day
-from retally.operators.fanout import explode_applied, pack_slots, q, slot_field
+from retally.operators.fanout import explode_applied, q, slot_case
 from retally.operators.membership import is_in, not_in
 from retally.plans.reconcile import captured_payments
 from retally.sources.tables import ExamTables
@@ -71,16 +71,13 @@ def scrutiny_report(tables: ExamTables, spec: ReportSpec, groups: DataFrame | No
         apps, slots, applied_rule(spec), {"marks": lambda s: q(s.name + "_th")},
         keep_columns=["id", *HEADER_COLUMNS, "app_date"], slot_column="_slot",
     )
-    papers = pack_slots(
-        tables[spec.result_table].select("id", *[c for s in slots for c in (s.name, s.name + "code")]),
-        slots, {"paper": lambda s: q(s.name), "papercode": lambda s: q(s.name + "code")},
-        name="_papers",
-    ).select(F.col("id").alias("_rid"), "_papers")
+    papers = tables[spec.result_table].select(
+        F.col("id").alias("_rid"), *[c for s in slots for c in (s.name, s.name + "code")])
     joined = applied.join(papers, F.col("id") == F.col("_rid"))
     return joined.select(
         *HEADER_COLUMNS,
-        slot_field("_papers", "_slot", "paper").alias("paper"),
-        slot_field("_papers", "_slot", "papercode").alias("papercode"),
+        slot_case(slots, "_slot", lambda s: q(s.name)).alias("paper"),
+        slot_case(slots, "_slot", lambda s: q(s.name + "code")).alias("papercode"),
         "marks",
         format_day("app_date").alias("app_date"),
         F.lit(spec.scrutiny_type).alias("scrutiny_type"),
