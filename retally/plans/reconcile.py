@@ -72,6 +72,33 @@ def accepted_counts(applications: DataFrame, payment: DataFrame, purpose: str, s
             .select(F.lit(purpose).alias("pay_for"), "subcode", "semyr_code", "accepted_n"))
 
 
+def accepted_for_purposes(pairs: list[tuple[DataFrame, str]], payment: DataFrame,
+                          strict: bool = True) -> DataFrame:
+    """Accepted applications of several (application table, purpose) pairs in one pass.
+
+    The application tables are tagged with their purpose and unioned; the
+    payments are parsed once and the admission test is one semi join keyed by
+    (form number, purpose).  Columns: pay_for, subcode, semyr_code, scanno.
+    """
+    apps = None
+    for df, purpose in pairs:
+        part = (df.where((F.col("payment_status") == PAID_STATUS) & (F.col("retotaling_status") == APPLIED_STATUS))
+                .select(F.lit(purpose).alias("pay_for"), "subcode", "semyr_code", "scanno"))
+        apps = part if apps is None else apps.unionByName(part)
+    purposes = [p for _, p in pairs]
+    paid = (captured_payments(payment).where(F.col("pay_for").isin(*purposes))
+            .select(F.col("pay_for").alias("_pf"), to_int("description", strict).alias("_pid"))
+            .where(F.col("_pid").isNotNull()).distinct())
+    return apps.join(paid, (F.col("pay_for") == F.col("_pf")) & (F.col("scanno") == F.col("_pid")), "left_semi")
+
+
+def accepted_counts_for_purposes(pairs: list[tuple[DataFrame, str]], payment: DataFrame,
+                                 strict: bool = True) -> DataFrame:
+    return (accepted_for_purposes(pairs, payment, strict)
+            .groupBy("pay_for", "subcode", "semyr_code")
+            .agg(F.count(F.lit(1)).alias("accepted_n")))
+
+
 def gate(groups: DataFrame, applications: DataFrame, payment: DataFrame, spec: ReportSpec,
          strict: bool = True) -> DataFrame:
     """Per group: paid count, accepted count, gate class and whether the report runs.

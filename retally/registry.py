@@ -92,14 +92,16 @@ def _paid_counts(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
     return reconcile.paid_counts(t["payment"])
 
 
+def _purposes(t: ExamTables) -> list[tuple[DataFrame, str]]:
+    return [(t[s.application_table], s.purpose) for s in REPORTS.values()]
+
+
 def _accepted_list(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
-    return _union_all([reconcile.accepted_list(t[s.application_table], t["payment"], s.purpose)
-                       for s in REPORTS.values()])
+    return reconcile.accepted_for_purposes(_purposes(t), t["payment"])
 
 
 def _accepted_counts(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
-    return _union_all([reconcile.accepted_counts(t[s.application_table], t["payment"], s.purpose)
-                       for s in REPORTS.values()])
+    return reconcile.accepted_counts_for_purposes(_purposes(t), t["payment"])
 
 
 def _gate(key: str) -> Job:
