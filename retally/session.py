@@ -24,8 +24,30 @@ ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Partition sizing: scans split at 256 MiB, shuffle partitions coalesced
+    # by AQE towards 128 MiB, skewed join partitions split beyond 5x median.
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
 }
 
+
+def cluster_conf(input_bytes: int, shuffle_bytes_per_partition: int = 128 * 1024 * 1024,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of source data on a cluster.
+
+    The initial shuffle partition count is sized so that even a shuffle as
+    large as the input stays near ``shuffle_bytes_per_partition`` per task
+    (spill-free on a few GiB of executor memory); AQE then coalesces the
+    smaller shuffles of the same job.  E.g. 100 TB -> 100,000 partitions.
+    """
+    parts = max(200, min(max_partitions, -(-input_bytes // shuffle_bytes_per_partition)))
+    return {
+        **ENGINE_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+    }
+
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -60,6 +82,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                           "(intermediate tables and stream checkpoints are written there)")
     local = tempfile.mkdtemp(prefix="retally-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

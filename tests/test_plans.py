@@ -50,3 +50,24 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "pub_result" not in app_scan                   # pruned: the report never reads it
     hist_scan = [ln for ln in _scan_lines(plan) if "scrutiny_type" in ln][0]
     assert "EqualTo(scrutiny_type,rt)" in hist_scan
+
+
+GROUP_KEYS = {"subcode", "semyr_code", "course", "pub_result"}
+
+
+def test_no_unaggregated_shuffle_on_group_keys(spark, tmp_path):
+    """A hot exam group must not land in one task: every exchange keyed only by group
+    columns carries partial aggregates (one combined row per task), never raw rows."""
+    from retally.plans.runs import gated_run
+    snap = write_snapshot(exam_tables_from_tpch(spark, SF), str(tmp_path / "snap"))
+    for key in REPORTS:
+        df = gated_run(snap, REPORTS[key], "01/01/1996")
+        df.write.format("noop").mode("overwrite").save()
+        lines = _plan(df).splitlines()
+        for i, ln in enumerate(lines):
+            if "Exchange hashpartitioning(" not in ln:
+                continue
+            inner = ln.split("hashpartitioning(", 1)[1]
+            keys = {k.split("#")[0].strip() for k in inner.split(")")[0].split(",")[:-1]}
+            if keys and keys <= GROUP_KEYS:
+                assert "partial_" in lines[i + 1] or "HashAggregate" in lines[i + 1], (key, ln, lines[i + 1])
