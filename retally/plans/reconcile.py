@@ -157,3 +157,52 @@ def mismatch(groups: DataFrame, applications: DataFrame, payment: DataFrame, spe
             .select(F.lit(spec.purpose).alias("pay_for"), *GROUP_COLUMNS, "scanno",
                     F.when(F.col("_acc").isNull(), F.lit("paid_only")).otherwise(F.lit("accepted_only"))
                     .alias("side")))
+
+
+def mismatch_for_purposes(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame],
+                          applications: dict[str, DataFrame], payment: DataFrame,
+                          strict: bool = True) -> DataFrame:
+    """``mismatch`` of several reports in one pass (same columns).
+
+    Payments are parsed once; each payment's purpose names its layout and
+    semester suffix, so its group key is (layout, course, semyr_code) with the
+    suffix stripped (``sem = semyr_code || suffix`` exactly when ``sem`` ends in
+    the suffix and the rest equals ``semyr_code``).  Applications of all
+    purposes go through one semi join (``accepted_for_purposes``).  Groups of
+    each layout are joined once per side, and one full outer join keyed by
+    (purpose, group, form) yields both differences.
+    """
+    layout_of = F.create_map(*[x for s in specs for x in (F.lit(s.purpose), F.lit(s.layout))])
+    suffix_of = F.create_map(*[x for s in specs for x in (F.lit(s.purpose), F.lit(s.sem_suffix))])
+    groups = None
+    for layout, g in groups_by_layout.items():
+        part = g.select(F.lit(layout).alias("_layout"), *GROUP_COLUMNS).distinct()
+        groups = part if groups is None else groups.unionByName(part)
+
+    pay = captured_payments(payment).where(F.col("pay_for").isin(*[s.purpose for s in specs]))
+    suffix = suffix_of[F.col("pay_for")]
+    sem = F.col("sem")
+    pay = pay.select(
+        "pay_for",
+        layout_of[F.col("pay_for")].alias("_p_layout"),
+        F.col("course").alias("_p_course"),
+        F.when(sem.endswith(suffix), F.expr("substring(sem, 1, length(sem) - 1)")).alias("_p_semyr"),
+        to_int("description", strict).alias("scanno"),
+    )
+    paid_set = (groups.join(pay, (F.col("_layout") == F.col("_p_layout")) & (F.col("course") == F.col("_p_course"))
+                            & (F.col("semyr_code") == F.col("_p_semyr")))
+                .select("pay_for", *GROUP_COLUMNS, "scanno").distinct()
+                .withColumn("_paid", F.lit(True)))
+
+    acc = accepted_for_purposes([(applications[s.key], s.purpose) for s in specs], payment, strict).select(
+        "pay_for", layout_of[F.col("pay_for")].alias("_a_layout"),
+        F.col("subcode").alias("_a_subcode"), F.col("semyr_code").alias("_a_semyr"), "scanno")
+    acc_set = (groups.join(acc, (F.col("_layout") == F.col("_a_layout")) & (F.col("subcode") == F.col("_a_subcode"))
+                           & (F.col("semyr_code") == F.col("_a_semyr")))
+               .select("pay_for", *GROUP_COLUMNS, "scanno").distinct()
+               .withColumn("_acc", F.lit(True)))
+    both = paid_set.join(acc_set, ["pay_for", *GROUP_COLUMNS, "scanno"], "full_outer")
+    return (both.where(F.col("_paid").isNull() | F.col("_acc").isNull())
+            .select("pay_for", *GROUP_COLUMNS, "scanno",
+                    F.when(F.col("_acc").isNull(), F.lit("paid_only")).otherwise(F.lit("accepted_only"))
+                    .alias("side")))

@@ -115,8 +115,10 @@ def _gate(key: str) -> Job:
 
 
 def _recon_mismatch(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
-    return _union_all([reconcile.mismatch(t[s.result_table], t[s.application_table], t["payment"], s)
-                       for s in REPORTS.values()])
+    specs = list(REPORTS.values())
+    groups = {"annual": t["result_annual"], "semester": t["result"]}
+    return reconcile.mismatch_for_purposes(specs, groups, {s.key: t[s.application_table] for s in specs},
+                                           t["payment"])
 
 
 def _report(key: str) -> Job:
