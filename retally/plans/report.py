@@ -29,7 +29,7 @@ from retally.operators.fanout import explode_applied, q, slot_case
 from retally.operators.membership import is_in, not_in
 from retally.plans.reconcile import captured_payments
 from retally.sources.tables import ExamTables
-from retally.specs import (APPLIED_STATUS, FLAG_TRUE, HEADER_COLUMNS, PAID_STATUS, REPORT_COLUMNS,
+from retally.specs import (APPLIED_STATUS, FLAG_TRUE, HEADER_COLUMNS, PAID_STATUS,
                            ReportSpec, Slot)
 
 
