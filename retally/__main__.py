@@ -3,6 +3,7 @@
     python -m retally run annual   --date 04/07/2024 --catalog exams --out /shared/reports
     python -m retally run semester --date 06/08/2024 --snapshot /shared/exam_snapshot --out ...
     python -m retally status annual --catalog exams
+    python -m retally snapshot --dump /shared/dump --format csv --out /shared/exam_snapshot --buckets 512
     python -m retally import-payments --folder /shared/drops --table payment
     python -m retally register --folder /shared/admissions --table document_details
 
@@ -25,6 +26,7 @@ from retally.plans import ingest, reconcile, runs, status
 from retally.plans.status import published_groups
 from retally.sources.derived import exam_tables_from_tpch
 from retally.sources.sinks import export_report, stage_report
+from retally.sources.snapshot import load_snapshot, write_snapshot
 from retally.sources.tables import ExamTables
 from retally.specs import REPORTS
 
@@ -84,6 +86,15 @@ def cmd_run(args) -> None:
         print(f"{key}: report written to {args.out}/{EXPORT_NAMES[key]}")
 
 
+def cmd_snapshot(args) -> None:
+    spark = _session()
+    if args.dump:
+        load_snapshot(spark, args.dump, args.out, args.format, args.buckets)
+    else:
+        write_snapshot(_tables(spark, args), args.out, buckets=args.buckets)
+    print(f"snapshot written to {args.out}")
+
+
 def cmd_status(args) -> None:
     spark = _session()
     t = _tables(spark, args)
@@ -111,6 +122,14 @@ def main(argv: list[str] | None = None) -> int:
     _add_source(p)
     p.set_defaults(fn=cmd_run)
 
+    p = sub.add_parser("snapshot", help="bring the exam tables in as a parquet snapshot")
+    p.add_argument("--dump", help="dump folder with one dataset per table (read with explicit schemas)")
+    p.add_argument("--format", default="parquet", help="format of the dump: parquet, csv, json, orc")
+    p.add_argument("--out", required=True)
+    p.add_argument("--buckets", type=int, default=None, help="bucket result/application tables by id")
+    _add_source(p)
+    p.set_defaults(fn=cmd_snapshot)
+
     p = sub.add_parser("status", help="deadline status per group")
     p.add_argument("layout", choices=["annual", "semester"])
     p.add_argument("--rows", type=int, default=100)
