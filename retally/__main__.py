@@ -41,15 +41,15 @@ STAGING_TABLES = {"annual": "annual_scrutiny_report_temp", "semester": "scrutiny
 
 
 def _session() -> SparkSession:
+    """The active or submitted session; a local one (UI off) when run as plain Python."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    builder = SparkSession.builder.appName("retally")
-    try:
-        return builder.getOrCreate()
-    except Exception:  # noqa: BLE001 - no master given outside spark-submit
-        from retally.session import local_session
-        return local_session()
+    from pyspark import SparkConf
+    if SparkConf().contains("spark.master"):          # launched by spark-submit
+        return SparkSession.builder.appName("retally").getOrCreate()
+    from retally.session import local_session
+    return local_session()
 
 
 def _tables(spark: SparkSession, args) -> ExamTables:

@@ -19,3 +19,9 @@ def test_cli_run_semester(spark, tmp_path):
     back = spark.read.schema(schemas.REPORT).option("header", True).csv(f"{out}/semester_scrutiny_report_reval")
     want = gated_run(exam_tables_from_tpch(spark, SF), REPORTS["semester_rv"], "01/01/1996")
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_local_sessions_keep_the_ui_off(spark):
+    assert spark.conf.get("spark.ui.enabled") == "false"
+    from retally.__main__ import _session
+    assert _session().conf.get("spark.ui.enabled") == "false"

@@ -56,3 +56,23 @@ def test_mismatch_sides(spark):
                         pay_row(4, "RETOT_ANNUAL", sem="2y")])
     got = rows(mismatch(t["result_annual"], t["result_annual_retotaling"], t["payment"], RT), "scanno", "side")
     assert got == [(2, "paid_only"), (3, "paid_only")]
+
+
+def test_one_pass_versions_equal_per_purpose_versions(spark):
+    """accepted_for_purposes / mismatch_for_purposes equal the per-purpose functions, unioned."""
+    from retally.plans.reconcile import accepted_for_purposes, accepted_list, mismatch_for_purposes
+    from retally.sources.derived import exam_tables_from_tpch
+
+    t = exam_tables_from_tpch(spark, "/root/testdata/sf0.001")
+    specs = list(REPORTS.values())
+    one = accepted_for_purposes([(t[s.application_table], s.purpose) for s in specs], t["payment"])
+    per = [accepted_list(t[s.application_table], t["payment"], s.purpose) for s in specs]
+    want = sorted((tuple(r) for df in per for r in df.collect()), key=repr)
+    assert sorted((tuple(r) for r in one.collect()), key=repr) == want
+
+    groups = {"annual": t["result_annual"], "semester": t["result"]}
+    one = mismatch_for_purposes(specs, groups, {s.key: t[s.application_table] for s in specs}, t["payment"])
+    per = [mismatch(t[s.result_table], t[s.application_table], t["payment"], s) for s in specs]
+    want = sorted((tuple(r) for df in per for r in df.collect()), key=repr)
+    got = sorted((tuple(r) for r in one.collect()), key=repr)
+    assert got == want and len(got) > 0
