@@ -57,9 +57,10 @@ LOCAL_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "retally") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "retally",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in {**ENGINE_CONF, **LOCAL_CONF}.items():
+    for key, value in {**ENGINE_CONF, **LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     # a fresh warehouse per local session: managed tables never land in the working tree
