@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retally.llm.exact_dedup import exact_groups
+from retally.llm.quality import judge
 from retally.llm.shared import read_documents
 
 
@@ -15,8 +16,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_documents(spark, sf_dir))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read_documents(spark, sf_dir), ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
@@ -31,4 +37,71 @@ g AS (
   SELECT norm, max(CASE WHEN place = 1 THEN doc_id END) AS keep_id, count(*) AS group_size FROM r GROUP BY norm)
 SELECT r.doc_id, g.keep_id, g.group_size, r.place = 1 AS kept, sha256(r.norm) AS text_sha256
 FROM r JOIN g ON r.norm = g.norm""",
+    "op10_quality_rules": r"""
+WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM t),
+win AS (
+  SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS s
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM win) WHERE c > 1),
+cov AS (
+  SELECT doc_id, count(*) AS n_repeat_words
+  FROM (SELECT DISTINCT doc_id, i + k AS p FROM dup, (VALUES (0), (1), (2)) o(k)) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
+r AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CASE WHEN word_chars = 0 THEN 0 ELSE n_symbols * 10000 // word_chars END AS r1,
+    CASE WHEN n_lines = 0 THEN 0 ELSE n_dup_lines * 10000 // n_lines END AS r2,
+    CASE WHEN n_words = 0 THEN 0 ELSE n_repeat_words * 10000 // n_words END AS r3,
+    CASE WHEN n_words = 0 THEN 0 ELSE word_chars * 100 // n_words END AS r4
+  FROM m),
+x AS (
+  SELECT coalesce(lang, '?') AS lang, coalesce(source, '?') AS source, 1 AS ratio, r1 AS v, 500 AS slack FROM r WHERE NOT base_failed
+  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 2, r2, 4000 FROM r WHERE NOT base_failed
+  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 3, r3, 4500 FROM r WHERE NOT base_failed
+  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 4, r4, 300 FROM r WHERE NOT base_failed),
+b AS (
+  SELECT lang, source, ratio, slack,
+    v - v % CAST(power(2, greatest(CASE WHEN v < 64 THEN 0 ELSE length(bin(v)) - 6 END, 0)) AS BIGINT) AS bin FROM x),
+lv AS (
+  SELECT 1 AS level, lang, source, ratio, slack, bin, count(*) AS n FROM b GROUP BY ALL
+  UNION ALL SELECT 2, lang, '', ratio, slack, bin, count(*) FROM b GROUP BY ALL
+  UNION ALL SELECT 3, '', '', ratio, slack, bin, count(*) FROM b GROUP BY ALL),
+c AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bin) AS upto,
+    sum(n) OVER (PARTITION BY level, lang, source, ratio) AS docs FROM lv),
+q AS (
+  SELECT level, lang, source, ratio, slack, max(docs) AS docs,
+    min(CASE WHEN upto * 10 >= docs THEN bin END) AS q10,
+    min(CASE WHEN upto * 10 >= 5 * docs THEN bin END) AS q50,
+    min(CASE WHEN upto * 10 >= 9 * docs THEN bin END) AS q90
+  FROM c GROUP BY level, lang, source, ratio, slack),
+lim AS (
+  SELECT level, lang, source, max(docs) AS docs,
+    max(CASE WHEN ratio = 1 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h1,
+    max(CASE WHEN ratio = 2 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h2,
+    max(CASE WHEN ratio = 3 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h3,
+    max(CASE WHEN ratio = 4 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h4,
+    max(CASE WHEN ratio = 4 THEN q50 - greatest(6 * (q90 - q50), slack) END) AS l4
+  FROM q GROUP BY level, lang, source),
+pick AS (
+  SELECT a.lang, a.source, CASE WHEN a.docs >= 30 THEN 1 WHEN l.docs >= 30 THEN 2 ELSE 3 END AS level
+  FROM lim a JOIN lim l ON l.level = 2 AND l.lang = a.lang WHERE a.level = 1),
+use AS (
+  SELECT p.lang, p.source, k.h1, k.h2, k.h3, k.h4, k.l4 FROM pick p JOIN lim k ON k.level = p.level
+    AND k.lang = CASE WHEN p.level = 3 THEN '' ELSE p.lang END
+    AND k.source = CASE WHEN p.level = 1 THEN p.source ELSE '' END)
+SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(r1 <= h1 AND r2 <= h2 AND r3 <= h3 AND r4 <= h4 AND r4 >= l4, TRUE) AS kept
+FROM r LEFT JOIN use ON use.lang = coalesce(r.lang, '?') AND use.source = coalesce(r.source, '?')""",
 }
