@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from retally.llm.exact_dedup import exact_groups
 from retally.llm.quality import judge
 from retally.llm.shared import read_documents
+from retally.llm.simhash import near_groups
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(read_documents(spark, sf_dir), shingle=3, radius=3)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +26,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
