@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retally.llm.binary import token_positions
 from retally.llm.exact_dedup import exact_groups
+from retally.llm.packing import pack_documents
 from retally.llm.quality import judge
 from retally.llm.shared import read_documents
 from retally.llm.simhash import near_groups
 
 
+def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_positions(read_documents(spark, sf_dir), end_id=2)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_documents(spark, sf_dir), shingle=3, radius=3)
 
@@ -21,13 +27,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_documents(spark, sf_dir))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(read_documents(spark, sf_dir), end_id=1, window=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_documents(spark, sf_dir), ["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_binary": op2_token_binary,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_packing": op6_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
