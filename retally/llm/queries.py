@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retally.llm.binary import token_positions
 from retally.llm.exact_dedup import exact_groups
+from retally.llm.mixing import mix
 from retally.llm.packing import pack_documents
 from retally.llm.quality import judge
 from retally.llm.shared import read_documents
@@ -27,6 +28,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_documents(spark, sf_dir))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_documents(spark, sf_dir), ["doc_id"])
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(read_documents(spark, sf_dir), end_id=1, window=2048)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -40,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_source_mixing": op5_source_mixing,
     "op6_packing": op6_packing,
     "op10_quality_rules": op10_quality_rules,
 }
