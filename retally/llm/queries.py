@@ -14,6 +14,11 @@ from retally.llm.packing import pack_documents
 from retally.llm.quality import judge
 from retally.llm.shared import read_documents
 from retally.llm.simhash import near_groups
+from retally.llm.substring import repeated_words
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_words(read_documents(spark, sf_dir)).drop("spans")
 
 
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_token_binary": op2_token_binary,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,

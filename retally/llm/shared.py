@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from retally.session import scratch_path
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_TABLES: list[tuple[SparkSession, str]] = []
 
 # ASCII white space [\x20\x09-\x0D]: the word separators of every operator here.
 WHITE = " \t\n\x0b\x0c\r"
@@ -46,6 +47,12 @@ def release() -> None:
     Call it once the results are stored elsewhere: DataFrames returned by the
     operators read these folders when they are executed.
     """
+    while _TABLES:
+        spark, table = _TABLES.pop()
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        except Exception:  # the session has ended, and its catalog entry with it
+            continue
     while _WRITTEN:
         spark, path = _WRITTEN.pop()
         try:
@@ -72,7 +79,23 @@ def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents") -
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def text_bytes(df: DataFrame, text: str = "text") -> int:
+    return int(df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0)
+
+
 def parts_for(df: DataFrame, text: str = "text", target_bytes: int = 16 * 1024 * 1024) -> int:
     """Partitions of about ``target_bytes`` of text each, and no fewer than the session's parallelism."""
-    total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    return max(2, -(-int(total) // target_bytes), min(64, df.sparkSession.sparkContext.defaultParallelism))
+    return max(2, -(-text_bytes(df, text) // target_bytes), min(64, df.sparkSession.sparkContext.defaultParallelism))
+
+
+def bucketed(df: DataFrame, key: str, buckets: int, purpose: str) -> DataFrame:
+    """Write ``df`` once to the shared folder, bucketed by ``key``: joins on it read it without a shuffle.
+
+    Without a shuffle before the write, too: every task files its rows by bucket.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, purpose)
+    table = "retally_" + path.rsplit("/", 1)[1]
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
+    _TABLES.append((spark, table))
+    return spark.table(table)
