@@ -15,6 +15,7 @@ from retally.llm.quality import judge
 from retally.llm.shared import read_documents
 from retally.llm.simhash import near_groups
 from retally.llm.substring import repeated_words
+from retally.llm.warc import archived
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(read_documents(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_documents(spark, sf_dir), ["doc_id"])
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_packing": op6_packing,
+    "op7_warc": op7_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -68,6 +74,20 @@ g AS (
   SELECT norm, max(CASE WHEN place = 1 THEN doc_id END) AS keep_id, count(*) AS group_size FROM r GROUP BY norm)
 SELECT r.doc_id, g.keep_id, g.group_size, r.place = 1 AS kept, sha256(r.norm) AS text_sha256
 FROM r JOIN g ON r.norm = g.norm""",
+    "op7_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+g AS (SELECT payload, max(page_id) AS kept FROM p GROUP BY payload),
+h AS (SELECT p.page_id, octet_length(encode(p.payload)) AS payload_bytes, sha1(p.payload) AS hex, kept FROM p JOIN g ON p.payload = g.payload),
+b AS (
+  SELECT h.page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((n // (CASE s WHEN 0 THEN 32768 WHEN 1 THEN 1024 WHEN 2 THEN 32 ELSE 1 END)) % 32 + 1 AS BIGINT), 1), '' ORDER BY k, s) AS digest
+  FROM (SELECT page_id, k, (instr('0123456789abcdef', substr(hex, 5 * k + 1, 1)) - 1) * 65536 + (instr('0123456789abcdef', substr(hex, 5 * k + 2, 1)) - 1) * 4096
+      + (instr('0123456789abcdef', substr(hex, 5 * k + 3, 1)) - 1) * 256 + (instr('0123456789abcdef', substr(hex, 5 * k + 4, 1)) - 1) * 16
+      + (instr('0123456789abcdef', substr(hex, 5 * k + 5, 1)) - 1) AS n
+    FROM h, range(8) t(k)) h, range(4) u(s) GROUP BY h.page_id)
+SELECT h.page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN h.page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN h.page_id = kept THEN NULL ELSE kept END AS refers_to
+FROM h JOIN b ON h.page_id = b.page_id""",
     "op10_quality_rules": r"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (
