@@ -1,19 +1,99 @@
-"""A corpus pipeline over ``documents``; its stages are filled in as the operators land."""
+"""From raw documents to packed token sequences, in five stages.
+
+Every stage takes ``(spark, docs, sf_dir)``; ``docs`` are the rows its
+predecessor kept, with the columns of ``documents`` (and any others, which are
+passed on).  A stage's decision takes effect in the rows it returns:
+
+1. ``quality_rules``: rows that the rules reject go;
+2. ``exact_dedup``: one row of each group of equal texts stays;
+3. ``simhash_near_dedup``: the document with the smallest id of each group
+   stays (3-word shingles, at most 3 bits apart);
+4. ``source_mixing``: a row comes as often as the mix takes its document;
+5. ``packing``: pieces of the documents' token ids in sequences of at most
+   2048 ids: ``doc_id``, ``start``, ``length``, ``ids``, ``doc_tokens``,
+   ``sequence_id``, ``offset``.
+
+Verdicts per row are joined back by the id and a hash of the row, so a null or
+repeated id does no harm.  Repeated rows are judged alike; for near duplicates
+a document is its id, whatever rows share it.  Small verdict tables are written
+first, so Spark knows their size when it chooses between a broadcast and a sort
+merge join.  An empty table passes through all stages as an empty table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retally.llm.exact_dedup import drop_exact
+from retally.llm.mixing import mix
+from retally.llm.packing import pack_documents
+from retally.llm.quality import judge
 from retally.llm.shared import materialise
+from retally.llm.simhash import near_groups
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _row_hash() -> Column:
+    return F.xxhash64(*COLUMNS)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """What the operators read, under a name that no other column has."""
+    return docs.select(*COLUMNS, _row_hash().alias("row_hash"))
+
+
+def _same_row(docs: DataFrame, verdicts: DataFrame) -> Column:
+    return (F.xxhash64(*[docs[c] for c in COLUMNS]) == verdicts["row_hash"]) & docs["doc_id"].eqNullSafe(verdicts["doc_id"])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rejected = materialise(judge(_keyed(docs), ["doc_id", "row_hash"]).where(~F.col("kept"))
+                           .select("doc_id", "row_hash"), "pipeline-rejected")
+    return docs.join(rejected, _same_row(docs, rejected), "left_anti")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    losers = materialise(near_groups(docs, shingle=3, radius=3)
+                         .where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+                         .select("doc_id").distinct(), "pipeline-near")
+    return docs.join(losers, docs["doc_id"].eqNullSafe(losers["doc_id"]), "left_anti")
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    verdicts = materialise(mix(_keyed(docs), ["doc_id", "row_hash"]).groupBy("doc_id", "row_hash")
+                           .agg(F.sum("copies").alias("copies"), F.count("*").alias("n_rows")), "pipeline-copies")
+
+    def taken(rows: DataFrame, part: DataFrame) -> DataFrame:
+        part = part.where("copies > 0")
+        return (rows.join(part, _same_row(rows, part)).select(
+            F.struct(*[rows[f"`{c}`"] for c in docs.columns]).alias("doc"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+            .select("doc.*"))
+
+    # Rows that repeat another in every column are one row here, taken as often as all of them.
+    repeated = materialise(verdicts.where("n_rows > 1"), "pipeline-repeated")
+    again = docs.join(repeated, _same_row(docs, repeated), "left_semi").dropDuplicates(COLUMNS)
+    return taken(docs, verdicts.where("n_rows = 1")).unionByName(taken(again, repeated))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, end_id=1, window=2048)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("source_mixing", source_mixing),
+    ("packing", packing),
+]
 
+# SimHash components, the Newton solution and token ids have no SQL form; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 

@@ -41,7 +41,7 @@ PREFIX_CHARS = 24      # length of the text prefix in the sort key
 
 def _ordered(docs: DataFrame, id_col: str, text_col: str, carry: list[str], parts: int | None) -> DataFrame:
     keyed = docs.select(
-        F.struct(*[F.col(c) for c in carry]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
         F.col(id_col).cast("long").alias("id"),
         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("chars"),
         without_white(F.col(text_col)).alias("norm"),
