@@ -69,10 +69,14 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     verdicts = materialise(mix(_keyed(docs), ["doc_id", "row_hash"]).groupBy("doc_id", "row_hash")
                            .agg(F.sum("copies").alias("copies"), F.count("*").alias("n_rows")), "pipeline-copies")
 
+    often = "copies"
+    while often in docs.columns:
+        often += "_"
+
     def taken(rows: DataFrame, part: DataFrame) -> DataFrame:
-        part = part.where("copies > 0")
+        part = part.where("copies > 0").withColumnRenamed("copies", often)
         return (rows.join(part, _same_row(rows, part)).select(
-            F.struct(*[rows[f"`{c}`"] for c in docs.columns]).alias("doc"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+            F.struct(*[rows[f"`{c}`"] for c in docs.columns]).alias("doc"), F.explode(F.sequence(F.lit(1), F.col(often))).alias("copy"))
             .select("doc.*"))
 
     # Rows that repeat another in every column are one row here, taken as often as all of them.
