@@ -106,7 +106,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                .sortWithinPartitions("id", F.xxhash64("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.WordEncoder(source)
+        encoder = tokens.encoder_of(source)
         builder = FileBuilder(2 if encoder.tokenizer.get_vocab_size() < 65536 and end_id < 65536 else 4)
         for batch in batches:
             ids = batch.column(0).to_pylist()

@@ -139,7 +139,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.WordEncoder(path)
+        encoder = tokens.encoder_of(path)
         number = TaskContext.get().partitionId() << 32
         held: dict[int, tuple[object, np.ndarray]] = {}     # row -> id, ids, while pieces of it wait
         rests: list[Piece] = []

@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 12 * 1024 * 1024     # text gathered at once
-REMEMBER = 250_000                # word stems kept between slices, per Python worker; as many whole words
-JOIN = 5000                       # stems encoded as one text
-PLAIN_END = b".,;:!?#$%&*|"       # a run of these after letters is a token run of its own
+REMEMBER = 350_000                # word stems kept between slices, per Python worker
+PROBE = ("hello", "straße", "élève", "ñandú", "слово", "überzeugung", "a")
+PLAIN_END = ".,;:!?#$%&*|"       # a run of these after letters is a token run of its own
 
 
 def default_path() -> str:
@@ -31,66 +33,66 @@ def default_path() -> str:
 class WordEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[bytes, bytes] = {b"": b""}
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)          # ids that end a run of letters or marks
-        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.memory: dict[bytes, bytes] = {}
+        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the short way below holds for byte-level models with word ends; others encode word by word
+        self.short = self._encode_stems([w.encode() for w in PROBE]) == self._encode_words([w.encode() for w in PROBE])
 
     def _encode_stems(self, stems: list[bytes]) -> dict[bytes, bytes]:
-        """Runs of letters, many in one text: each gives the ids up to the next one with a word end."""
-        got: dict[bytes, bytes] = {}
-        for at in range(0, len(stems), JOIN):
-            part = stems[at:at + JOIN]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(cuts) != len(part):           # a letter unknown to the vocabulary: one by one
-                got.update(self._encode_words(part))
-                continue
-            raw = ids.tobytes()
-            got.update(zip(part, [raw[x:y] for x, y in zip([0, *cuts], cuts)]))
+        """Runs of letters in ASCII lower case, given to the model itself: nothing in them is left to split."""
+        tokenize, normal, level = self.tokenizer.model.tokenize, self.tokenizer.normalizer, self.bytes
+        got = {}
+        for stem in stems:
+            text = stem.decode("utf-8", "replace")
+            if not stem.isascii():
+                text = normal.normalize_str(text)
+                if not text.isalpha():                 # lower case that adds a mark
+                    got.update(self._encode_words([stem]))
+                    continue
+                text = level.pre_tokenize_str(text)[0][0]
+            ids = [t.id for t in tokenize(text)]
+            got[stem] = pack(f"<{len(ids)}I", *ids)
         return got
 
     def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         batch = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
         return {w: np.array(got.ids, "<u4").tobytes() for w, got in zip(words, batch)}
 
-    def words(self, words: list[bytes], often: list[bool]) -> list[bytes]:
-        """Little-endian 32-bit ids of each distinct word; those that come ``often`` are remembered whole.
-
-        A word of letters is looked up in ASCII lower case, apart from the marks
-        after it; any other word stays whole.
-        """
-        memory = self.memory
-        found = list(map(memory.get, words))
-        missing, parts, stems, others = [], [], set(), set()
-        for k, ids in enumerate(found):
-            if ids is None:
-                word = words[k]
-                stem = word.rstrip(PLAIN_END)
-                if stem and stem.decode("utf-8", "replace").isalpha():
-                    mark, stem = word[len(stem):], stem.lower()
-                    if stem not in memory:
-                        stems.add(stem)
-                    if mark not in memory:
-                        others.add(mark)
-                else:
-                    stem, mark = word, b""
-                    others.add(word)
-                missing.append(k)
-                parts.append((stem, mark))
-        fresh = {**self._encode_stems(list(stems)), **self._encode_words(list(others))}
+    def pieces(self, keys: pa.Array, stems: np.ndarray) -> list[bytes]:
+        """Little-endian 32-bit ids of distinct keys; ``stems`` says which are runs of letters."""
+        memory, keys = self.memory, keys.to_pylist()
+        found = list(map(memory.get, keys))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        fresh = {**self._encode_stems([keys[k] for k in new if stems[k]]), **self._encode_words([keys[k] for k in new if not stems[k]])}
+        for k in new:
+            found[k] = fresh[keys[k]]
         if len(memory) < REMEMBER:
             memory.update(fresh)
-            fresh = memory
-        for k, (stem, mark) in zip(missing, parts):
-            found[k] = ids = (fresh[stem] if stem in fresh else memory[stem]) + (memory[mark] if mark in memory else fresh[mark])
-            if often[k] and len(memory) < 2 * REMEMBER:
-                memory[words[k]] = ids
         return found
 
+    def words(self, words: pa.Array) -> pa.LargeListArray:
+        """Ids of distinct words.
+
+        A word of letters is its letters in ASCII lower case and the marks after
+        them, two keys; any other word is a key of its own.
+        """
+        stem = pc.utf8_rtrim(words, characters=PLAIN_END)
+        plain = pc.and_(pc.utf8_is_alpha(stem), pa.scalar(self.short))
+        keys = pc.if_else(plain, pc.ascii_lower(stem), words).cast(pa.binary()).dictionary_encode()
+        lengths = pc.if_else(plain, pc.binary_length(stem), pc.binary_length(words)).to_pylist()
+        marks = pa.array([w[n:] for w, n in zip(words.cast(pa.binary()).to_pylist(), lengths)], pa.binary()).dictionary_encode()
+        index = keys.indices.to_numpy()
+        stems = np.zeros(len(keys.dictionary), bool)
+        stems[index] = plain.to_numpy(zero_copy_only=False)
+        found = self.pieces(keys.dictionary, stems) + self.pieces(marks.dictionary, np.zeros(len(marks.dictionary), bool))
+        pool = _lists(found)
+        both = np.stack([index, marks.indices.to_numpy() + len(stems)], axis=1).ravel()
+        sizes = np.diff(pool.offsets.to_numpy())[both].reshape(-1, 2).sum(axis=1)
+        return pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))), pool.take(pa.array(both)).flatten())
+
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order (uint32) and the bounds of each text in them (null: no ids)."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -99,14 +101,21 @@ class WordEncoder:
         if not len(words):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         coded = words.dictionary_encode()
-        index = coded.indices.to_numpy()
-        often = (np.bincount(index, minlength=len(coded.dictionary)) > 1).tolist()
-        pieces = self.words(coded.dictionary.cast(pa.binary()).to_pylist(), often)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-        pool = pa.LargeListArray.from_arrays(offsets, np.frombuffer(b"".join(pieces), "<u4"))
-        ids = pool.take(coded.indices).flatten().to_numpy()
-        return ids, np.concatenate(([0], np.cumsum(sizes[index])))[bounds]
+        by_word = self.words(coded.dictionary)
+        ids = by_word.take(coded.indices).flatten().to_numpy()
+        sizes = np.diff(by_word.offsets.to_numpy())[coded.indices.to_numpy()]
+        return ids, np.concatenate(([0], np.cumsum(sizes)))[bounds]
+
+
+def _lists(pieces: list[bytes]) -> pa.LargeListArray:
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+    return pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))), np.frombuffer(b"".join(pieces), "<u4"))
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder per Python worker: its memory serves all tasks the worker runs."""
+    return WordEncoder(path)
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
