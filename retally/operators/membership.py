@@ -28,18 +28,31 @@ def distinct_keys(sub: DataFrame, key: Column | str, name: str) -> DataFrame:
     return sub.select(_col(key).alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
-def is_in(df: DataFrame, key: Column | str, sub: DataFrame, sub_key: Column | str) -> DataFrame:
-    """``df WHERE key IN (SELECT sub_key FROM sub)``."""
+def is_in(df: DataFrame, key: Column | str, sub: DataFrame, sub_key: Column | str, in_place: bool = False) -> DataFrame:
+    """``df WHERE key IN (SELECT sub_key FROM sub)``.
+
+    Catalyst moves a semi join below a Generate or into the branches of a
+    union; ``in_place`` keeps it where it stands (an inner join with the
+    distinct keys is the same rows).
+    """
     keys = distinct_keys(sub, sub_key, "__in_key")
+    if in_place:
+        return df.join(keys, _col(key) == F.col("__in_key")).drop("__in_key")
     return df.join(keys, _col(key) == F.col("__in_key"), "left_semi")
 
 
-def not_in(df: DataFrame, key: Column | str, sub: DataFrame, sub_key: Column | str) -> DataFrame:
-    """``df WHERE key NOT IN (SELECT sub_key FROM sub)`` with SQL NULL semantics."""
+def not_in(df: DataFrame, key: Column | str, sub: DataFrame, sub_key: Column | str, in_place: bool = False) -> DataFrame:
+    """``df WHERE key NOT IN (SELECT sub_key FROM sub)`` with SQL NULL semantics.
+
+    ``in_place``: as an outer join with a NULL test, which is not moved below a Generate.
+    """
     probe = _col(key)
     values = sub.select(_col(sub_key).alias("__nin_key"))
     n_all = values.agg(F.count(F.lit(1))).scalar()
     n_null = values.agg(F.count_if(F.col("__nin_key").isNull())).scalar()
     keys = values.where(F.col("__nin_key").isNotNull()).distinct()
-    kept = df.join(keys, probe == F.col("__nin_key"), "left_anti")
+    if in_place:
+        kept = df.join(keys, probe == F.col("__nin_key"), "left").where(F.col("__nin_key").isNull()).drop("__nin_key")
+    else:
+        kept = df.join(keys, probe == F.col("__nin_key"), "left_anti")
     return kept.where((n_all == 0) | (probe.isNotNull() & (n_null == 0)))

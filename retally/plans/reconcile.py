@@ -19,44 +19,68 @@ from retally.functions.casts import to_int
 from retally.functions.notes import NOTE_KEYS, note_fields
 from retally.operators.gate import gate_class, gate_passes
 from retally.operators.membership import is_in
-from retally.specs import APPLIED_STATUS, CAPTURED, GROUP_COLUMNS, PAID_STATUS, ReportSpec
+from retally.sources.sinks import checkpointed
+from retally.sources.tables import ExamTables
+from retally.specs import APPLIED_STATUS, CAPTURED, GROUP_COLUMNS, PAID_STATUS, REPORTS, ReportSpec
 
 
-def captured_payments(payment: DataFrame, purpose: str | None = None) -> DataFrame:
-    """Captured payments with the three note fields extracted in one parse.
+PURPOSES = tuple(s.purpose for s in REPORTS.values())
 
-    Columns: description, pay_for, course, sem.
+
+def captured_payments(payment: DataFrame, *purposes: str) -> DataFrame:
+    """Captured payments of the purposes (default: all four) with the note fields extracted in one parse.
+
+    ``payment`` is the raw table or an already parsed one (``captured_forms``).
+    Columns: description, pay_for, course, sem.  Payments of other purposes and
+    with unreadable notes belong to no list.
+    """
+    if "pay_for" not in payment.columns:
+        payment = payment.where(F.col("status") == CAPTURED).select("description", *note_fields("notes", NOTE_KEYS))
+    return payment.where(F.col("pay_for").isin(*(purposes or PURPOSES)))
+
+
+def paid_ids(payment: DataFrame, *purposes: str, strict: bool = True) -> DataFrame:
+    """``captured_payments`` with the form number as ``paid_scanno``.
+
+    Only a description of these purposes is cast: other payments carry free
+    text.  The condition names the purpose, so Catalyst can not move the cast
+    below the parse, ahead of the purpose test.
     """
-    out = payment.where(F.col("status") == CAPTURED).select("description", *note_fields("notes", NOTE_KEYS))
-    if purpose is not None:
-        out = out.where(F.col("pay_for") == purpose)
-    return out
+    paid = captured_payments(payment, *purposes)
+    return paid.withColumn("paid_scanno", F.when(F.col("pay_for").isin(*(purposes or PURPOSES)), to_int("description", strict)))
+
+
+def captured_forms(tables: ExamTables) -> DataFrame:
+    """The captured payments of all four purposes, parsed once per set of exam tables.
+
+    Written to the shared folder at first use; jobs that need the payments on
+    several sides (gates, differences, gated runs) read the small parsed table.
+    """
+    return tables.once("captured_forms", lambda: checkpointed(tables.spark, captured_payments(tables["payment"]), "captured"))
 
 
 def paid_list(payment: DataFrame, purpose: str | None = None) -> DataFrame:
     """Distinct paid form numbers per (pay_for, course, sem) — every group's list at once."""
-    return captured_payments(payment, purpose).select("pay_for", "course", "sem", "description").distinct()
+    return (captured_payments(payment, *([purpose] if purpose else []))
+            .select("pay_for", "course", "sem", "description").distinct())
 
 
 def paid_counts(payment: DataFrame, purpose: str | None = None) -> DataFrame:
-    """Size of each paid list: distinct descriptions per (pay_for, course, sem).
+    """Size of each paid list: its distinct rows, a NULL description included.
 
-    The distinct count expands to an aggregation keyed by the description as
-    well, so one hot group is spread over many shuffle partitions.
+    The distinct runs on a key that includes the description, so one hot group
+    is spread over many shuffle partitions before it is counted.
     """
-    return (captured_payments(payment, purpose)
-            .groupBy("pay_for", "course", "sem")
-            .agg(F.count_distinct("description").alias("paid_n")))
+    return paid_list(payment, purpose).groupBy("pay_for", "course", "sem").agg(F.count(F.lit(1)).alias("paid_n"))
 
 
 def accepted_applications(applications: DataFrame, payment: DataFrame, purpose: str,
                           strict: bool = True) -> DataFrame:
     """Applications paid in the form and applied for, whose form number has a
     captured payment of ``purpose`` (any course, any semester)."""
-    paid_ids = captured_payments(payment, purpose).select(to_int("description", strict).alias("pid"))
     accepted = applications.where((F.col("payment_status") == PAID_STATUS)
                                   & (F.col("retotaling_status") == APPLIED_STATUS))
-    return is_in(accepted, "scanno", paid_ids, "pid")
+    return is_in(accepted, "scanno", paid_ids(payment, purpose, strict=strict), "paid_scanno")
 
 
 def accepted_list(applications: DataFrame, payment: DataFrame, purpose: str, strict: bool = True) -> DataFrame:
@@ -76,20 +100,23 @@ def accepted_for_purposes(pairs: list[tuple[DataFrame, str]], payment: DataFrame
                           strict: bool = True) -> DataFrame:
     """Accepted applications of several (application table, purpose) pairs in one pass.
 
-    The application tables are tagged with their purpose and unioned; the
-    payments are parsed once and the admission test is one semi join keyed by
-    (form number, purpose).  Columns: pay_for, subcode, semyr_code, scanno.
+    The application tables are tagged with their purpose and unioned, and meet
+    the payments, parsed once, in one join with the distinct (purpose, form
+    number) keys.  An inner join on distinct keys is the semi join the source
+    states, but stays above the union; a semi join would be copied into each
+    branch together with the payment parse.
+    Columns: pay_for, subcode, semyr_code, scanno.
     """
     apps = None
     for df, purpose in pairs:
         part = (df.where((F.col("payment_status") == PAID_STATUS) & (F.col("retotaling_status") == APPLIED_STATUS))
                 .select(F.lit(purpose).alias("pay_for"), "subcode", "semyr_code", "scanno"))
         apps = part if apps is None else apps.unionByName(part)
-    purposes = [p for _, p in pairs]
-    paid = (captured_payments(payment).where(F.col("pay_for").isin(*purposes))
-            .select(F.col("pay_for").alias("_pf"), to_int("description", strict).alias("_pid"))
+    paid = (paid_ids(payment, *[p for _, p in pairs], strict=strict)
+            .select(F.col("pay_for").alias("_pf"), F.col("paid_scanno").alias("_pid"))
             .where(F.col("_pid").isNotNull()).distinct())
-    return apps.join(paid, (F.col("pay_for") == F.col("_pf")) & (F.col("scanno") == F.col("_pid")), "left_semi")
+    return (apps.join(paid, (F.col("pay_for") == F.col("_pf")) & (F.col("scanno") == F.col("_pid")))
+            .select("pay_for", "subcode", "semyr_code", "scanno"))
 
 
 def accepted_counts_for_purposes(pairs: list[tuple[DataFrame, str]], payment: DataFrame,
@@ -100,9 +127,11 @@ def accepted_counts_for_purposes(pairs: list[tuple[DataFrame, str]], payment: Da
 
 
 def gate(groups: DataFrame, applications: DataFrame, payment: DataFrame, spec: ReportSpec,
-         strict: bool = True) -> DataFrame:
+         strict: bool = True, rule: str | None = None) -> DataFrame:
     """Per group: paid count, accepted count, gate class and whether the report runs.
 
+    ``rule`` ("equal" or "unequal") replaces the report's own gate rule.
+
     ``groups`` has (course, subcode, semyr_code) and any extra columns (e.g.
     pub_result), which are kept.  Both counts are aggregates with one row per
     key, so the joins here are between small tables.
@@ -126,7 +155,7 @@ def gate(groups: DataFrame, applications: DataFrame, payment: DataFrame, spec: R
         *extra, *GROUP_COLUMNS,
         paid_n.alias("paid_n"), accepted_n.alias("accepted_n"),
         gate_class(paid_n, accepted_n).alias("gate_class"),
-        gate_passes(paid_n, accepted_n, spec.gate).alias("passed"),
+        gate_passes(paid_n, accepted_n, rule or spec.gate).alias("passed"),
     )
 
 
@@ -141,9 +170,8 @@ def mismatch(groups: DataFrame, applications: DataFrame, payment: DataFrame, spe
     """
     g = groups.select(*GROUP_COLUMNS).distinct()
     sem = F.concat(F.col("semyr_code"), F.lit(spec.sem_suffix))
-    pay = captured_payments(payment, spec.purpose).select(
-        F.col("course").alias("_p_course"), F.col("sem").alias("_p_sem"),
-        to_int("description", strict).alias("scanno"))
+    pay = paid_ids(payment, spec.purpose, strict=strict).select(
+        F.col("course").alias("_p_course"), F.col("sem").alias("_p_sem"), F.col("paid_scanno").alias("scanno"))
     paid_set = (g.join(pay, (F.col("course") == F.col("_p_course")) & (sem == F.col("_p_sem")))
                 .select(*GROUP_COLUMNS, "scanno").distinct()
                 .withColumn("_paid", F.lit(True)))
@@ -164,7 +192,7 @@ def mismatch_for_purposes(specs: list[ReportSpec], groups_by_layout: dict[str, D
                           strict: bool = True) -> DataFrame:
     """``mismatch`` of several reports in one pass (same columns).
 
-    Payments are parsed once; each payment's purpose names its layout and
+    Give the parsed payments (``captured_forms``): both sides read them.  Each payment's purpose names its layout and
     semester suffix, so its group key is (layout, course, semyr_code) with the
     suffix stripped (``sem = semyr_code || suffix`` exactly when ``sem`` ends in
     the suffix and the rest equals ``semyr_code``).  Applications of all
@@ -179,7 +207,7 @@ def mismatch_for_purposes(specs: list[ReportSpec], groups_by_layout: dict[str, D
         part = g.select(F.lit(layout).alias("_layout"), *GROUP_COLUMNS).distinct()
         groups = part if groups is None else groups.unionByName(part)
 
-    pay = captured_payments(payment).where(F.col("pay_for").isin(*[s.purpose for s in specs]))
+    pay = paid_ids(payment, *[s.purpose for s in specs], strict=strict)
     suffix = suffix_of[F.col("pay_for")]
     sem = F.col("sem")
     pay = pay.select(
@@ -187,7 +215,7 @@ def mismatch_for_purposes(specs: list[ReportSpec], groups_by_layout: dict[str, D
         layout_of[F.col("pay_for")].alias("_p_layout"),
         F.col("course").alias("_p_course"),
         F.when(sem.endswith(suffix), F.expr("substring(sem, 1, length(sem) - 1)")).alias("_p_semyr"),
-        to_int("description", strict).alias("scanno"),
+        F.col("paid_scanno").alias("scanno"),
     )
     paid_set = (groups.join(pay, (F.col("_layout") == F.col("_p_layout")) & (F.col("course") == F.col("_p_course"))
                             & (F.col("semyr_code") == F.col("_p_semyr")))

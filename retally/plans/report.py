@@ -3,15 +3,17 @@ J12 semester re-totalling, J13 semester re-valuation): one builder, four
 parameter rows (``retally.specs.REPORTS``).
 
 Plan, in order of cost:
-1. row filters of the application table (applied, paid in the form), an
-   optional semi join with the groups that passed the gate, the ``NOT IN``
-   history exclusion and (semester) the captured-payment ``IN`` — all on the
-   narrow application side, before anything wide is touched;
-2. one Generate turns each application row into its applied slots (rows
-   with none vanish);
-3. one equi join with the result table on ``id`` (pruned to ``id`` and the
+1. the row filters of the application table (applied, paid in the form) at the scan;
+2. one Generate turns each application row into its applied slots (rows with
+   none vanish): from here on a row is its 13 header columns, the slot number
+   and the marks, so no exchange ever carries the wide slot columns;
+3. the groups that passed the gate, the ``NOT IN`` history exclusion and
+   (semester) the captured-payment ``IN`` as joins on these narrow rows.  They
+   are written as inner / outer joins on distinct keys: Catalyst would move
+   semi and anti joins back below the Generate, onto the wide rows;
+4. one equi join with the result table on ``id`` (pruned to ``id`` and the
    paper columns), paper and code read at the row's slot with one ``CASE``;
-4. one ``distinct`` over the 16 report columns, which is the source's
+5. one ``distinct`` over the 16 report columns, which is the source's
    UNION: equal rows of a group collapse.
 
 Because ``subcode`` and ``semyr_code`` are report columns, one distinct over
@@ -27,7 +29,7 @@ from retally.functions.casts import to_int
 from retally.functions.dates import format_day
 from retally.operators.fanout import explode_applied, q, slot_case
 from retally.operators.membership import is_in, not_in
-from retally.plans.reconcile import captured_payments
+from retally.plans.reconcile import paid_ids
 from retally.sources.tables import ExamTables
 from retally.specs import (APPLIED_STATUS, FLAG_TRUE, HEADER_COLUMNS, PAID_STATUS,
                            ReportSpec, Slot)
@@ -45,32 +47,31 @@ def applied_rule(spec: ReportSpec):
     return keep
 
 
-def eligible_applications(tables: ExamTables, spec: ReportSpec, groups: DataFrame | None = None,
-                          strict: bool = True) -> DataFrame:
-    """Application rows that may enter the report (before the slot fan-out)."""
+def applied_papers(tables: ExamTables, spec: ReportSpec, groups: DataFrame | None = None,
+                   strict: bool = True) -> DataFrame:
+    """One narrow row per applied paper that may enter the report: ``id``, header, ``app_date``, ``_slot``, ``marks``."""
     apps = tables[spec.application_table].where(
         (F.col("retotaling_status") == APPLIED_STATUS) & (F.col("payment_status") == PAID_STATUS))
+    rows = explode_applied(
+        apps, spec.slots, applied_rule(spec), {"marks": lambda s: q(s.name + "_th")},
+        keep_columns=["id", *HEADER_COLUMNS, "app_date"], slot_column="_slot",
+    )
     if groups is not None:
-        apps = apps.join(groups.select("subcode", "semyr_code").distinct(), ["subcode", "semyr_code"], "left_semi")
+        rows = rows.join(groups.select("subcode", "semyr_code").distinct(), ["subcode", "semyr_code"])
     history = tables[spec.history_table]
     if spec.history_types is not None:
         history = history.where(F.col("scrutiny_type").isin(*spec.history_types))
-    apps = not_in(apps, "scanno", history, to_int("scanno", strict))
+    rows = not_in(rows, "scanno", history, to_int("scanno", strict), in_place=True)
     if spec.payment_semi_join:
-        paid = captured_payments(tables["payment"], spec.purpose)
-        apps = is_in(apps, "scanno", paid, to_int("description", strict))
-    return apps
+        rows = is_in(rows, "scanno", paid_ids(tables["payment"], spec.purpose, strict=strict), "paid_scanno", in_place=True)
+    return rows
 
 
 def scrutiny_report(tables: ExamTables, spec: ReportSpec, groups: DataFrame | None = None,
                     strict: bool = True) -> DataFrame:
     """The 16-column report of ``spec`` over every group (or only ``groups``' subcode/semyr_code)."""
     slots = spec.slots
-    apps = eligible_applications(tables, spec, groups, strict)
-    applied = explode_applied(
-        apps, slots, applied_rule(spec), {"marks": lambda s: q(s.name + "_th")},
-        keep_columns=["id", *HEADER_COLUMNS, "app_date"], slot_column="_slot",
-    )
+    applied = applied_papers(tables, spec, groups, strict)
     papers = tables[spec.result_table].select(
         F.col("id").alias("_rid"), *[c for s in slots for c in (s.name, s.name + "code")])
     joined = applied.join(papers, F.col("id") == F.col("_rid"))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retally.plans.reconcile import gate
+from retally.plans.reconcile import captured_forms, gate
 from retally.plans.report import scrutiny_report
 from retally.plans.status import published_groups
 from retally.sources.sinks import checkpointed
@@ -34,18 +34,24 @@ from retally.specs import REPORT_COLUMNS, REPORTS, ReportSpec
 
 
 def gate_table(tables: ExamTables, spec: ReportSpec, pub_result: str | None = None,
-               strict: bool = True) -> DataFrame:
-    """The gate of every published group, materialised under the shared folder."""
+               strict: bool = True, rule: str | None = None) -> DataFrame:
+    """The gate of every published group, written once under the shared folder (``rule``: see ``gate``)."""
     groups = published_groups(tables[spec.result_table], pub_result)
-    gates = gate(groups, tables[spec.application_table], tables["payment"], spec, strict)
+    gates = gate(groups, tables[spec.application_table], captured_forms(tables), spec, strict, rule)
     return checkpointed(tables.spark, gates, f"gate-{spec.key}")
 
 
 def gated_run(tables: ExamTables, spec: ReportSpec, pub_result: str | None = None,
-              strict: bool = True, gates: DataFrame | None = None) -> DataFrame:
-    """The report rows of every group that passes its gate (``gates``: a ``gate_table`` to reuse)."""
+              strict: bool = True, gates: DataFrame | None = None, rule: str | None = None) -> DataFrame:
+    """The report rows of every group that passes its gate (``gates``: a ``gate_table`` to reuse).
+
+    Building the DataFrame runs the gate job (and, once per set of exam tables,
+    the payment parse) and writes their tables to the shared folder; the report
+    itself is lazy.
+    """
     if gates is None:
-        gates = gate_table(tables, spec, pub_result, strict)
+        gates = gate_table(tables, spec, pub_result, strict, rule)
+    tables = tables.sharing("payment", captured_forms(tables))
     extra = ["pub_result"] if pub_result is None else []
     passed = gates.where(F.col("passed")).select(*extra, "subcode", "semyr_code")
     report = scrutiny_report(tables, spec, groups=passed, strict=strict)

@@ -22,10 +22,10 @@ from retally import schemas
 from retally.plans import ingest, reconcile, report, runs, status
 from retally.session import scratch_path
 from retally.sources.derived import exam_tables_from_tpch
-from retally.sources.sinks import export_report
+from retally.sources.sinks import checkpointed, export_report
 from retally.sources.snapshot import write_snapshot
 from retally.sources.tables import ExamTables
-from retally.specs import REPORTS
+from retally.specs import GROUP_COLUMNS, REPORTS
 
 Job = Callable[[SparkSession, ExamTables, str], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,7 +109,7 @@ def _gate(key: str) -> Job:
 
     def run(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
         groups = status.published_groups(t[spec.result_table])      # every publish date
-        return reconcile.gate(groups, t[spec.application_table], t["payment"], spec)
+        return reconcile.gate(groups, t[spec.application_table], reconcile.captured_forms(t), spec)
 
     return run
 
@@ -117,8 +117,10 @@ def _gate(key: str) -> Job:
 def _recon_mismatch(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
     specs = list(REPORTS.values())
     groups = {"annual": t["result_annual"], "semester": t["result"]}
+    # Written, so that Spark sees how small they are: the wide tables then meet them without a shuffle on group keys.
+    groups = {k: checkpointed(spark, g.select(*GROUP_COLUMNS).distinct(), "groups") for k, g in groups.items()}
     return reconcile.mismatch_for_purposes(specs, groups, {s.key: t[s.application_table] for s in specs},
-                                           t["payment"])
+                                           reconcile.captured_forms(t))
 
 
 def _report(key: str) -> Job:

@@ -37,6 +37,12 @@ class ExamTables:
             self._built[name] = self._loaders[name]()
         return self._built[name]
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table derived from the others, built at first use and shared by all jobs over this instance."""
+        if name not in self._built:
+            self._built[name] = build()
+        return self._built[name]
+
     def names(self) -> tuple[str, ...]:
         return tuple(self._loaders)
 
@@ -45,6 +51,12 @@ class ExamTables:
         loaders[name] = lambda: df
         return ExamTables(self.spark, loaders)
 
+    def sharing(self, name: str, df: DataFrame) -> ExamTables:
+        """These tables with ``name`` replaced; what is already built stays shared."""
+        other = self.with_table(name, df)
+        other._built = {**self._built, name: df}
+        return other
+
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> ExamTables:
         return cls(spark, {k: (lambda v=v: v) for k, v in frames.items()})
