@@ -1,13 +1,16 @@
 """DuckDB CTEs that derive the exam tables from the TPC-H-like views.
 
 Written independently of the Spark derivation (``retally.sources.derived``)
-from the same stated rules; the two must agree for the oracle check to mean
+from the same stated rules, with layouts and codes as literals of its own; the two must agree for the oracle check to mean
 anything.  Conditional aggregation uses ``FILTER (WHERE ...)``.
 """
 
 from __future__ import annotations
 
-from retally.specs import annual_slots, semester_slots
+# Fixed values of the layouts: papers per subject (annual), subjects (semester).
+ANNUAL = [(n, m) for n, papers in enumerate([3, 3, 4, 4, 4, 4, 3, 3, 3, 3, 3, 3], start=1) for m in range(1, papers + 1)]
+SEMESTER = [(n, 1) for n in range(1, 13)]
+APPLIED_FOR = "(l_partkey + l_linenumber) % 2 = 0"
 
 HEADER = """hdr AS (
   SELECT o.o_orderkey AS id,
@@ -19,10 +22,11 @@ HEADER = """hdr AS (
          n.n_name AS centrename,
          CAST(n.n_nationkey AS INTEGER) AS centrecode,
          o.o_orderpriority AS course,
-         'S' || substr(o.o_orderpriority, 1, 1) AS subcode,
+         'S' || CASE WHEN substr(o.o_orderpriority, 1, 1) = '5' THEN '4' ELSE substr(o.o_orderpriority, 1, 1) END AS subcode,
          CAST(year(o.o_orderdate) % 3 + 1 AS VARCHAR) AS semyr,
          CAST(year(o.o_orderdate) % 3 + 1 AS VARCHAR) AS semyr_code,
-         '01/01/' || CAST(year(o.o_orderdate) AS VARCHAR) AS pub_result,
+         CASE WHEN year(o.o_orderdate) % 2 = 1 AND substr(o.o_orderpriority, 1, 1) IN ('2', '4') THEN '1/1/' ELSE '01/01/' END
+           || CAST(year(o.o_orderdate) AS VARCHAR) AS pub_result,
          CAST(o.o_orderdate AS DATE) AS app_date,
          CASE WHEN o.o_orderkey % 7 = 0 AND o.o_orderpriority LIKE '1%' THEN '0399' ELSE '0300' END AS payment_status,
          CASE WHEN o.o_orderstatus = 'P' THEN 'N' ELSE 'Y' END AS retotaling_status
@@ -41,63 +45,68 @@ APP_HEADER = ("h.id, h.scanno, h.ansidrno, h.enrollment_no, h.course, h.semyr_co
               "h.payment_status, h.centrename, h.centrecode, h.subcode, h.app_date, h.retotaling_status")
 
 
-def _result_table(name: str, slots, modulus: int) -> str:
-    cols = []
-    for s in slots:
-        cond = f"l_partkey % {modulus} = {s.index}"
-        cols.append(f"max(p_name) FILTER (WHERE {cond}) AS {s.name}")
-        cols.append(f"max(CAST(l_partkey AS VARCHAR)) FILTER (WHERE {cond}) AS {s.name}code")
-    body = ",\n         ".join(cols)
-    return (f"{name} AS (\n  SELECT {RESULT_HEADER}, x.* EXCLUDE (l_orderkey)\n"
-            f"  FROM hdr h JOIN (SELECT l_orderkey,\n         {body}\n  FROM lines GROUP BY l_orderkey) x\n"
+def _table(name: str, header: str, columns: list[str], lines: str) -> str:
+    body = ",\n         ".join(columns)
+    return (f"{name} AS (\n  SELECT {header}, x.* EXCLUDE (l_orderkey)\n"
+            f"  FROM hdr h JOIN (SELECT l_orderkey,\n         {body}\n  FROM lines WHERE {lines} GROUP BY l_orderkey) x\n"
             f"  ON x.l_orderkey = h.id\n)")
 
 
+def _best(value: str, modulus: int, place: int) -> str:
+    return f"max({value}) FILTER (WHERE l_partkey % {modulus} = {place})"
+
+
+def _result_table(name: str, slots: list[tuple[int, int]], modulus: int) -> str:
+    columns = []
+    for place, (n, m) in enumerate(slots):
+        columns += [f"{_best('p_name', modulus, place)} AS sub{n}p{m}",
+                    f"{_best('CAST(l_partkey AS VARCHAR)', modulus, place)} AS sub{n}p{m}code"]
+    return _table(name, RESULT_HEADER, columns, "TRUE")
+
+
 def _annual_application(name: str, residue: int) -> str:
-    cols = []
-    for s in annual_slots():
-        cond = f"l_partkey % 40 = {s.index}"
-        cols.append(f"max(CASE WHEN l_partkey % 9 <> 0 THEN p_name END) FILTER (WHERE {cond}) AS {s.name}")
-        cols.append(f"max(CAST(l_partkey AS VARCHAR)) FILTER (WHERE {cond}) AS {s.name}code")
-        cols.append(f"max(CAST(l_quantity AS INTEGER)) FILTER (WHERE {cond}) AS {s.name}_th")
-    body = ",\n         ".join(cols)
-    return (f"{name} AS (\n  SELECT {APP_HEADER}, x.* EXCLUDE (l_orderkey)\n"
-            f"  FROM hdr h JOIN (SELECT l_orderkey,\n         {body}\n"
-            f"  FROM lines WHERE l_orderkey % 3 = {residue} AND l_linenumber <= 3 GROUP BY l_orderkey) x\n"
-            f"  ON x.l_orderkey = h.id\n)")
+    columns = []
+    for place, (n, m) in enumerate(ANNUAL):
+        columns += [f"{_best('CASE WHEN l_partkey % 9 <> 0 THEN p_name END', 40, place)} AS sub{n}p{m}",
+                    f"{_best('CAST(l_partkey AS VARCHAR)', 40, place)} AS sub{n}p{m}code",
+                    f"{_best('CAST(l_quantity AS INTEGER)', 40, place)} AS sub{n}p{m}_th"]
+    return _table(name, APP_HEADER, columns, f"l_orderkey % 3 = {residue} AND {APPLIED_FOR}")
 
 
 def _semester_application(name: str, residue: int) -> str:
-    cols = []
-    for s in semester_slots():
-        cond = f"l_partkey % 12 = {s.index}"
-        n = s.subject
-        cols.append(f"max(p_brand) FILTER (WHERE {cond}) AS sub{n}")
-        cols.append(f"CASE WHEN max(l_quantity) FILTER (WHERE {cond}) > 25 THEN 'true' ELSE 'false' END "
-                    f"AS sub{n}_retotaling")
-        cols.append(f"max(CAST(l_quantity AS INTEGER)) FILTER (WHERE {cond}) AS {s.name}_th")
-    body = ",\n         ".join(cols)
-    return (f"{name} AS (\n  SELECT {APP_HEADER}, x.* EXCLUDE (l_orderkey)\n"
-            f"  FROM hdr h JOIN (SELECT l_orderkey,\n         {body}\n"
-            f"  FROM lines WHERE l_orderkey % 3 = {residue} AND l_linenumber <= 3 GROUP BY l_orderkey) x\n"
-            f"  ON x.l_orderkey = h.id\n)")
+    columns = []
+    for place, (n, m) in enumerate(SEMESTER):
+        columns += [f"{_best('p_brand', 12, place)} AS sub{n}",
+                    f"CASE WHEN {_best('l_quantity', 12, place)} > 25 THEN 'true' ELSE 'false' END AS sub{n}_retotaling",
+                    f"{_best('CAST(l_quantity AS INTEGER)', 12, place)} AS sub{n}p{m}_th"]
+    return _table(name, APP_HEADER, columns, f"l_orderkey % 3 = {residue} AND {APPLIED_FOR}")
 
 
-PAYMENT = """payment_once AS (
+PAYMENT = f"""applicant AS (
+  SELECT * FROM hdr WHERE retotaling_status = 'Y' AND id % 3 IN (0, 1)
+    AND EXISTS (SELECT 1 FROM lines WHERE l_orderkey = id AND {APPLIED_FOR})
+),
+payment_once AS (
   SELECT CAST(h.scanno AS VARCHAR) AS description,
          CASE WHEN h.scanno % 5 = 4 THEN 'attempted' ELSE 'captured' END AS status,
          json_object('sem', h.semyr_code || p.suffix, 'course', h.course, 'pay_for', p.pay_for)::VARCHAR AS notes,
          h.scanno
-  FROM hdr h
+  FROM applicant h
   JOIN (VALUES (0, 'RETOT_ANNUAL', 'y'), (0, 'RETOT', 's'), (1, 'REVAL_ANNUAL', 'y'), (1, 'REVAL', 's'))
        AS p(residue, pay_for, suffix) ON h.id % 3 = p.residue
-  WHERE h.retotaling_status = 'Y'
-    AND EXISTS (SELECT 1 FROM lines l WHERE l.l_orderkey = h.id AND l.l_linenumber <= 3)
 ),
 payment AS (
   SELECT description, status, notes FROM payment_once
   UNION ALL
   SELECT description, status, notes FROM payment_once WHERE scanno % 13 = 0
+  UNION ALL
+  SELECT 'Admission fee ' || semyr_code, 'captured',
+         json_object('sem', semyr_code || 'y', 'course', course, 'pay_for', 'ADMISSION')::VARCHAR FROM applicant WHERE scanno % 17 = 0
+  UNION ALL
+  SELECT NULL, 'captured', json_object('sem', semyr_code || 'y', 'course', course, 'pay_for',
+         CASE WHEN id % 3 = 0 THEN 'RETOT_ANNUAL' ELSE 'REVAL_ANNUAL' END)::VARCHAR FROM applicant WHERE scanno % 19 = 0 AND course LIKE '3%'
+  UNION ALL
+  SELECT CAST(scanno AS VARCHAR), 'captured', '{{"sem": ' || semyr_code FROM applicant WHERE scanno % 23 = 0
 )"""
 
 HISTORY = """annual_scrutiny_report AS (
@@ -113,8 +122,8 @@ def exam_ctes() -> str:
     parts = [
         HEADER,
         LINES,
-        _result_table("result_annual", annual_slots(), 40),
-        _result_table("result", semester_slots(), 12),
+        _result_table("result_annual", ANNUAL, 40),
+        _result_table("result", SEMESTER, 12),
         _annual_application("result_annual_retotaling", 0),
         _annual_application("result_annual_reval", 1),
         _semester_application("result_retotaling", 0),

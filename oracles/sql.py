@@ -1,165 +1,134 @@
 """DuckDB oracle SQL for every registered query with a SQL form.
 
-Written the way the source system states the work: per-slot UNION branches,
-``IN`` / ``NOT IN`` subqueries, per-group correlated counts.  The Spark side
-uses single-pass fan-out and semi / anti joins, so the two are independent.
+Tables, codes and rules are literals of this module, so a wrong parameter row
+of the engine shows as a mismatch.  Reports unfold the paper slots with a
+lateral ``VALUES`` list; list membership is ``IN`` / ``NOT IN`` with subqueries
+and the gate counts are correlated.  The Spark side uses joins and aggregates
+over all groups at once.
 """
 
 from __future__ import annotations
 
-from oracles.derive_sql import with_exam
-from retally.specs import REPORTS
+from oracles.derive_sql import ANNUAL, SEMESTER, with_exam
 
+# Per report the application, result and history tables, scrutiny type, payment purpose, semester
+# suffix, history types that exclude a form (None: any), whether a captured payment is required, the gate comparison.
+RULES = {
+    "annual_rt": ("result_annual_retotaling", "result_annual", "annual_scrutiny_report", "rt", "RETOT_ANNUAL", "y", "'rt'", False, "="),
+    "annual_rv": ("result_annual_reval", "result_annual", "annual_scrutiny_report", "rv", "REVAL_ANNUAL", "y", "'rv'", False, "<>"),
+    "semester_rt": ("result_retotaling", "result", "scrutiny_report", "rt", "RETOT", "s", None, True, "="),
+    "semester_rv": ("result_reval", "result", "scrutiny_report", "rv", "REVAL", "s", "'rv'", True, "="),
+}
+ALL_PURPOSES = "'RETOT_ANNUAL', 'REVAL_ANNUAL', 'RETOT', 'REVAL'"
 
-def _paid_ids(purpose: str) -> str:
-    return (f"SELECT CAST(description AS INTEGER) FROM payment "
-            f"WHERE status = 'captured' AND notes->>'pay_for' = '{purpose}'")
-
-
-def _accepted_where(purpose: str) -> str:
-    return (f"payment_status = '0300' AND retotaling_status = 'Y' "
-            f"AND scanno IN ({_paid_ids(purpose)})")
-
-
-PAID_LIST = with_exam("""
-SELECT DISTINCT notes->>'pay_for' AS pay_for, notes->>'course' AS course, notes->>'sem' AS sem, description
-FROM payment WHERE status = 'captured'""")
-
-PAID_COUNTS = with_exam("""
-SELECT notes->>'pay_for' AS pay_for, notes->>'course' AS course, notes->>'sem' AS sem,
-       count(DISTINCT description) AS paid_n
-FROM payment WHERE status = 'captured'
-GROUP BY 1, 2, 3""")
-
-ACCEPTED_LIST = with_exam("\nUNION ALL\n".join(
-    f"SELECT '{s.purpose}' AS pay_for, subcode, semyr_code, scanno FROM {s.application_table} "
-    f"WHERE {_accepted_where(s.purpose)}" for s in REPORTS.values()))
-
-ACCEPTED_COUNTS = with_exam("\nUNION ALL\n".join(
-    f"SELECT '{s.purpose}' AS pay_for, subcode, semyr_code, count(*) AS accepted_n FROM {s.application_table} "
-    f"WHERE {_accepted_where(s.purpose)} GROUP BY subcode, semyr_code" for s in REPORTS.values()))
+# Captured payments with readable notes; anything else is on no list.
+CAPTURED = """(SELECT description, notes->>'pay_for' AS pay_for, notes->>'course' AS course, notes->>'sem' AS sem
+ FROM (SELECT description, CASE WHEN json_valid(notes) THEN notes END AS notes FROM payment WHERE status = 'captured') valid)"""
 
 
-def _gate_sql(key: str) -> str:
-    s = REPORTS[key]
-    if s.gate == "equal":
-        passed = "p.paid_n = a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
-    else:
-        passed = "p.paid_n <> a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
-    return with_exam(f"""
-SELECT g.pub_result, g.course, g.subcode, g.semyr_code, p.paid_n, a.accepted_n,
-       CASE WHEN p.paid_n <> a.accepted_n THEN 'mismatch'
-            WHEN p.paid_n = 0 THEN 'none' ELSE 'match' END AS gate_class,
-       ({passed}) AS passed
-FROM (SELECT DISTINCT pub_result, course, subcode, semyr_code FROM {s.result_table}) g,
-LATERAL (SELECT count(DISTINCT description) AS paid_n FROM payment
-         WHERE notes->>'sem' = g.semyr_code || '{s.sem_suffix}' AND notes->>'course' = g.course
-           AND status = 'captured' AND notes->>'pay_for' = '{s.purpose}') p,
-LATERAL (SELECT count(*) AS accepted_n FROM {s.application_table}
-         WHERE subcode = g.subcode AND semyr_code = g.semyr_code AND {_accepted_where(s.purpose)}) a""")
-
-
-def _mismatch_part(key: str) -> str:
-    s = REPORTS[key]
-    return f"""(WITH g AS (SELECT DISTINCT course, subcode, semyr_code FROM {s.result_table}),
- paid AS (SELECT DISTINCT g.course, g.subcode, g.semyr_code, CAST(p.description AS INTEGER) AS scanno
-          FROM g JOIN payment p ON p.notes->>'sem' = g.semyr_code || '{s.sem_suffix}' AND p.notes->>'course' = g.course
-          WHERE p.status = 'captured' AND p.notes->>'pay_for' = '{s.purpose}'),
- acc AS (SELECT DISTINCT g.course, g.subcode, g.semyr_code, x.scanno
-         FROM g JOIN {s.application_table} x ON x.subcode = g.subcode AND x.semyr_code = g.semyr_code
-         WHERE x.{_accepted_where(s.purpose)})
- SELECT '{s.purpose}' AS pay_for, course, subcode, semyr_code, scanno, 'paid_only' AS side
- FROM (SELECT * FROM paid EXCEPT SELECT * FROM acc)
- UNION ALL
- SELECT '{s.purpose}' AS pay_for, course, subcode, semyr_code, scanno, 'accepted_only' AS side
- FROM (SELECT * FROM acc EXCEPT SELECT * FROM paid))"""
-
-
-RECON_MISMATCH = with_exam("SELECT * FROM (\n" + "\nUNION ALL\n".join(
-    f"SELECT * FROM {_mismatch_part(k)}" for k in REPORTS) + "\n)")
-
-DEADLINE_ANNUAL = with_exam("""
-SELECT subcode, course, semyr, pub_result,
-       CAST(strptime(pub_result, '%d/%m/%Y')::DATE + 15 AS VARCHAR) AS end_date,
-       count(*) AS row_count
-FROM result_annual
-GROUP BY subcode, course, semyr, pub_result
-ORDER BY strptime(pub_result, '%d/%m/%Y')::DATE + 15""")
-
-DEADLINE_SEMESTER = with_exam("""
-SELECT subcode, course, semyr, pub_result,
-       strptime(pub_result, '%d/%m/%Y')::DATE + 15 AS end_date,
-       count(*) AS row_count
-FROM result
-GROUP BY subcode, course, semyr, pub_result
-ORDER BY strptime(pub_result, '%d/%m/%Y')::DATE + 15""")
-
-PUBLISHED_ANNUAL = with_exam("""
-SELECT pub_result, course, subcode, semyr_code FROM (
-  SELECT DISTINCT pub_result, course, subcode, semyr_code FROM result_annual
-  GROUP BY pub_result, course, subcode, semyr_code) AS abc""")
-
-PUBLISHED_SEMESTER = with_exam("""
-SELECT pub_result, course, subcode, semyr_code FROM (
-  SELECT DISTINCT pub_result, course, subcode, semyr_code FROM result
-  GROUP BY pub_result, course, subcode, semyr_code) AS abc""")
-
-def _branch(spec, slot) -> str:
-    if spec.layout == "annual":
-        op = "OR" if slot.name in spec.or_slots else "AND"
-        applied = f"(rr.{slot.name} IS NOT NULL {op} rr.{slot.name}code IS NOT NULL)"
-    else:
-        applied = f"rr.sub{slot.subject} IS NOT NULL AND rr.sub{slot.subject}_retotaling = 'true'"
-    return (f"SELECT rr.scanno, rr.ansidrno, rr.enrollment_no, rr.course, rr.semyr_code, rr.name, rr.fname, "
-            f"rr.payment_status, rr.centrename, rr.centrecode, rr.subcode, r.{slot.name} AS paper, "
-            f"r.{slot.name}code AS papercode, rr.{slot.name}_th AS marks, "
-            f"strftime(rr.app_date, '%d/%m/%Y') AS app_date, '{spec.scrutiny_type}' AS scrutiny_type "
-            f"FROM {spec.application_table} rr, {spec.result_table} r "
-            f"WHERE r.id = rr.id AND rr.retotaling_status = 'Y' AND {applied}")
-
-
-def _report_body(key: str) -> str:
-    """The report over every group, per-slot UNION form."""
-    s = REPORTS[key]
-    union = "\nUNION\n".join(_branch(s, slot) for slot in s.slots)
-    if s.history_types is None:
-        hist = f"SELECT CAST(scanno AS INTEGER) FROM {s.history_table}"
-    else:
-        types = ", ".join(f"'{t}'" for t in s.history_types)
-        hist = f"SELECT CAST(scanno AS INTEGER) FROM {s.history_table} WHERE scrutiny_type IN ({types})"
-    where = f"abc.payment_status = '0300' AND abc.scanno NOT IN ({hist})"
-    if s.payment_semi_join:
-        where += f" AND abc.scanno IN ({_paid_ids(s.purpose)})"
-    return f"SELECT * FROM (\n{union}\n) AS abc WHERE {where}"
+def _paid_ids(purpose: str) -> str:
+    return f"SELECT CAST(CASE WHEN pay_for = '{purpose}' THEN description END AS INTEGER) FROM {CAPTURED} WHERE pay_for = '{purpose}'"
+
+
+def _accepted(key: str) -> str:
+    table, purpose = RULES[key][0], RULES[key][4]
+    return (f"SELECT '{purpose}' AS pay_for, subcode, semyr_code, scanno FROM {table} "
+            f"WHERE payment_status = '0300' AND retotaling_status = 'Y' AND scanno IN ({_paid_ids(purpose)})")
+
+
+PAID_LIST = with_exam(f"SELECT DISTINCT pay_for, course, sem, description FROM {CAPTURED} WHERE pay_for IN ({ALL_PURPOSES})")
+
+PAID_COUNTS = with_exam(f"""
+SELECT pay_for, course, sem, count(*) AS paid_n
+FROM (SELECT DISTINCT pay_for, course, sem, description FROM {CAPTURED} WHERE pay_for IN ({ALL_PURPOSES}))
+GROUP BY pay_for, course, sem""")
+
+ACCEPTED = "\nUNION ALL\n".join(_accepted(k) for k in RULES)
+ACCEPTED_LIST = with_exam(ACCEPTED)
+ACCEPTED_COUNTS = with_exam(
+    f"SELECT pay_for, subcode, semyr_code, count(*) AS accepted_n FROM ({ACCEPTED}) GROUP BY pay_for, subcode, semyr_code")
+
+
+def _gates(key: str, date: str | None = None) -> str:
+    """Every published group with both counts, its class and whether it passes."""
+    _, results, _, _, purpose, suffix, _, _, compare = RULES[key]
+    where = f"WHERE pub_result = '{date}'" if date else ""
+    return f"""
+SELECT pub_result, course, subcode, semyr_code, paid_n, accepted_n,
+       CASE WHEN paid_n <> accepted_n THEN 'mismatch' WHEN paid_n = 0 THEN 'none' ELSE 'match' END AS gate_class,
+       paid_n {compare} accepted_n AND paid_n <> 0 AND accepted_n <> 0 AS passed
+FROM (SELECT pub_result, course, subcode, semyr_code FROM {results} {where} GROUP BY ALL) AS published
+CROSS JOIN LATERAL (
+  SELECT count(*) AS paid_n FROM (SELECT DISTINCT description FROM {CAPTURED} c
+  WHERE c.pay_for = '{purpose}' AND c.course = published.course AND c.sem = published.semyr_code || '{suffix}') listed) AS paid
+CROSS JOIN LATERAL (
+  SELECT count(*) AS accepted_n FROM ({_accepted(key)}) x
+  WHERE x.subcode = published.subcode AND x.semyr_code = published.semyr_code) AS accepted"""
+
+
+def _difference(key: str) -> str:
+    _, results, _, _, purpose, suffix, *_ = RULES[key]
+    groups = f"(SELECT course, subcode, semyr_code FROM {results} GROUP BY ALL) g"
+    paid = (f"SELECT g.course, g.subcode, g.semyr_code, CAST(p.description AS INTEGER) AS scanno FROM {groups} "
+            f"JOIN (SELECT * FROM {CAPTURED} WHERE pay_for = '{purpose}') p ON p.course = g.course AND p.sem = g.semyr_code || '{suffix}'")
+    accepted = (f"SELECT g.course, g.subcode, g.semyr_code, x.scanno FROM {groups} "
+                f"JOIN ({_accepted(key)}) x ON x.subcode = g.subcode AND x.semyr_code = g.semyr_code")
+    return f"""SELECT '{purpose}' AS pay_for, *, 'paid_only' AS side FROM (({paid}) EXCEPT ({accepted}))
+UNION ALL SELECT '{purpose}', *, 'accepted_only' FROM (({accepted}) EXCEPT ({paid}))"""
+
+
+RECON_MISMATCH = with_exam("\nUNION ALL\n".join(_difference(k) for k in RULES))
+
+
+def _deadline(table: str, end: str) -> str:
+    day = "CAST(strptime(pub_result, '%d/%m/%Y') AS DATE) + 15"
+    return with_exam(f"SELECT subcode, course, semyr, pub_result, {end.format(day)} AS end_date, count(*) AS row_count "
+                     f"FROM {table} GROUP BY subcode, course, semyr, pub_result ORDER BY {day}")
+
+
+def _published(table: str) -> str:
+    return with_exam(f"SELECT pub_result, course, subcode, semyr_code FROM {table} GROUP BY pub_result, course, subcode, semyr_code")
+
+
+def _report_body(key: str, history: str | None = None) -> str:
+    """The report over every group: one row per applied paper, equal rows once."""
+    table, results, recorded, kind, purpose, _, types, needs_payment, _ = RULES[key]
+    papers = []
+    for n, m in ANNUAL if key.startswith("annual") else SEMESTER:
+        if key.startswith("semester"):
+            applied = f"form.sub{n} IS NOT NULL AND form.sub{n}_retotaling = 'true'"
+        else:
+            either = "OR" if key == "annual_rv" and (n, m) == (1, 1) else "AND"
+            applied = f"form.sub{n}p{m} IS NOT NULL {either} form.sub{n}p{m}code IS NOT NULL"
+        papers.append(f"(res.sub{n}p{m}, res.sub{n}p{m}code, form.sub{n}p{m}_th, {applied})")
+    earlier = f"SELECT CAST(scanno AS INTEGER) FROM {history or recorded}" + (f" WHERE scrutiny_type IN ({types})" if types else "")
+    where = f"paper.applied AND form.payment_status = '0300' AND form.retotaling_status = 'Y' AND form.scanno NOT IN ({earlier})"
+    if needs_payment:
+        where += f" AND form.scanno IN ({_paid_ids(purpose)})"
+    listed = ",\n  ".join(papers)
+    return f"""SELECT DISTINCT form.scanno, form.ansidrno, form.enrollment_no, form.course, form.semyr_code, form.name, form.fname,
+  form.payment_status, form.centrename, form.centrecode, form.subcode, paper.title AS paper, paper.code AS papercode,
+  paper.marks, strftime(form.app_date, '%d/%m/%Y') AS app_date, '{kind}' AS scrutiny_type
+FROM {table} AS form JOIN {results} AS res ON res.id = form.id
+CROSS JOIN LATERAL (VALUES {listed}) AS paper(title, code, marks, applied)
+WHERE {where}"""
 
 
 def _report_sql(key: str) -> str:
     return with_exam(_report_body(key))
 
 
-def _gated_sql(key: str, pub_result: str | None) -> str:
-    s = REPORTS[key]
-    if s.gate == "equal":
-        passed = "p.paid_n = a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
-    else:
-        passed = "p.paid_n <> a.accepted_n AND p.paid_n <> 0 AND a.accepted_n <> 0"
-    date_filter = f"WHERE pub_result = '{pub_result}'" if pub_result is not None else ""
-    lead = "" if pub_result is not None else "g.pub_result, "
+def _gated_sql(key: str, date: str | None) -> str:
+    lead = "" if date else "passing.pub_result, "
     return with_exam(f"""
-SELECT {lead}rep.* FROM (
-  SELECT g.pub_result, g.subcode, g.semyr_code
-  FROM (SELECT DISTINCT pub_result, course, subcode, semyr_code FROM {s.result_table} {date_filter}) g,
-  LATERAL (SELECT count(DISTINCT description) AS paid_n FROM payment
-           WHERE notes->>'sem' = g.semyr_code || '{s.sem_suffix}' AND notes->>'course' = g.course
-             AND status = 'captured' AND notes->>'pay_for' = '{s.purpose}') p,
-  LATERAL (SELECT count(*) AS accepted_n FROM {s.application_table}
-           WHERE subcode = g.subcode AND semyr_code = g.semyr_code AND {_accepted_where(s.purpose)}) a
-  WHERE {passed}
-) g
-JOIN report rep ON rep.subcode = g.subcode AND rep.semyr_code = g.semyr_code""",
+SELECT {lead}report.* FROM report
+JOIN (SELECT * FROM ({_gates(key, date)}) gates WHERE passed) AS passing
+  ON passing.subcode = report.subcode AND passing.semyr_code = report.semyr_code""",
                      extra_ctes=f"report AS (\n{_report_body(key)}\n)")
 
 
+NULL_HISTORY = "(SELECT scanno, scrutiny_type FROM annual_scrutiny_report UNION ALL SELECT NULL, 'rv')"
+
 FILE_REGISTER = """
 WITH names AS (
   SELECT (CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN 'admission_approval'
@@ -181,23 +150,24 @@ ORACLES: dict[str, str] = {
     "latest_drop": LATEST_DROP,
     "snapshot_load": SNAPSHOT_LOAD,
     "report_export": _report_sql("annual_rt"),
-    "deadline_status_annual": DEADLINE_ANNUAL,
-    "deadline_status_semester": DEADLINE_SEMESTER,
-    "published_groups_annual": PUBLISHED_ANNUAL,
-    "published_groups_semester": PUBLISHED_SEMESTER,
+    "deadline_status_annual": _deadline("result_annual", "CAST({} AS VARCHAR)"),
+    "deadline_status_semester": _deadline("result", "{}"),
+    "published_groups_annual": _published("result_annual"),
+    "published_groups_semester": _published("result"),
     "paid_list": PAID_LIST,
     "paid_counts": PAID_COUNTS,
     "accepted_list": ACCEPTED_LIST,
     "accepted_counts": ACCEPTED_COUNTS,
-    "recon_gate_annual_rt": _gate_sql("annual_rt"),
-    "recon_gate_annual_rv": _gate_sql("annual_rv"),
-    "recon_gate_semester_rt": _gate_sql("semester_rt"),
-    "recon_gate_semester_rv": _gate_sql("semester_rv"),
+    "recon_gate_annual_rt": with_exam(_gates("annual_rt")),
+    "recon_gate_annual_rv": with_exam(_gates("annual_rv")),
+    "recon_gate_semester_rt": with_exam(_gates("semester_rt")),
+    "recon_gate_semester_rv": with_exam(_gates("semester_rv")),
     "recon_mismatch": RECON_MISMATCH,
     "scrutiny_annual_rt": _report_sql("annual_rt"),
     "scrutiny_annual_rv": _report_sql("annual_rv"),
     "scrutiny_semester_rt": _report_sql("semester_rt"),
     "scrutiny_semester_rv": _report_sql("semester_rv"),
+    "scrutiny_null_history": with_exam(_report_body("annual_rt", NULL_HISTORY + " h") + "\nUNION ALL\n" + _report_body("annual_rv", NULL_HISTORY + " h")),
     "gated_annual_rt": _gated_sql("annual_rt", "01/01/1996"),
     "gated_annual_rv": _gated_sql("annual_rv", "01/01/1996"),
     "gated_semester_rt": _gated_sql("semester_rt", "01/01/1996"),

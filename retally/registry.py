@@ -127,6 +127,14 @@ def _report(key: str) -> Job:
     return lambda spark, t, sf_dir: report.scrutiny_report(t, REPORTS[key])
 
 
+def _null_history(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """Both annual reports over a history with one NULL form number of type rv: it empties the rv report alone."""
+    history = t["annual_scrutiny_report"].unionByName(
+        spark.createDataFrame([(None, "rv")], schemas.HISTORY))
+    t = t.with_table("annual_scrutiny_report", history)
+    return _union_all([report.scrutiny_report(t, REPORTS[k]) for k in ("annual_rt", "annual_rv")])
+
+
 def _gated(key: str, pub_result: str | None) -> Job:
     return lambda spark, t, sf_dir: runs.gated_run(t, REPORTS[key], pub_result)
 
@@ -153,6 +161,7 @@ JOBS: dict[str, Job] = {
     "scrutiny_annual_rv": _report("annual_rv"),
     "scrutiny_semester_rt": _report("semester_rt"),
     "scrutiny_semester_rv": _report("semester_rv"),
+    "scrutiny_null_history": _null_history,
     "gated_annual_rt": _gated("annual_rt", RUN_DATE),
     "gated_annual_rv": _gated("annual_rv", RUN_DATE),
     "gated_semester_rt": _gated("semester_rt", RUN_DATE),

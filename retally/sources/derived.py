@@ -10,9 +10,10 @@ Rules (fixed values of the test recipe):
 * header per order: id = o_orderkey, scanno = int(o_orderkey),
   ansidrno = "A"||o_custkey, enrollment_no = "E"||o_custkey, name = c_name,
   fname = "F"||c_mktsegment, centrename = n_name, centrecode = n_nationkey,
-  course = o_orderpriority, subcode = "S"||first letter of the priority,
+  course = o_orderpriority, subcode = "S"||least(first digit of the priority, 4),
+  so one subcode holds two courses,
   semyr = semyr_code = text of (year(o_orderdate) % 3 + 1),
-  pub_result = "01/01/"||year, app_date = date(o_orderdate),
+  pub_result = "01/01/"||year, spelt "1/1/"||year in odd years for courses 2 and 4, app_date = date(o_orderdate),
   payment_status = "0399" when o_orderkey % 7 = 0 and the course starts with
   "1", else "0300"; retotaling_status = "N" when o_orderstatus = "P", else "Y".
 * a line sits in slot l_partkey % 40 (annual) or l_partkey % 12 (semester);
@@ -20,12 +21,16 @@ Rules (fixed values of the test recipe):
   marks = max(int(l_quantity)); semester applications: subject = max(p_brand),
   flag = "true" when max(l_quantity) > 25 else "false"; annual applications
   blank the paper name of lines with l_partkey % 9 = 0.
+* a line is applied for when (l_partkey + l_linenumber) % 2 = 0.
 * result tables: every order with lines, all lines.  Re-totalling
-  applications: orders with o_orderkey % 3 = 0, lines 1-3; re-valuation:
-  o_orderkey % 3 = 1, lines 1-3.
+  applications: orders with o_orderkey % 3 = 0, the lines applied for;
+  re-valuation: o_orderkey % 3 = 1, the lines applied for.
 * payment: per application with retotaling_status "Y", one row per purpose
   of its kind (annual and semester); status "captured", except scanno % 5 = 4
-  ("attempted"); scanno % 13 = 0 pays twice.
+  ("attempted"); scanno % 13 = 0 pays twice.  Further captured rows as a real
+  payment table has them: scanno % 17 = 0 a payment of another purpose with a
+  text description, scanno % 19 = 0 of course 3 one of its annual purpose without a
+  description, scanno % 23 = 0 one with notes that are not JSON.
 * history: orders with o_orderkey % 15 = 0 or % 11 = 0; type "rt" for even
   keys, "rv" for odd ones; scanno kept as text.
 
@@ -68,10 +73,11 @@ def _header(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("centrename"),
             F.col("n_nationkey").cast("int").alias("centrecode"),
             course.alias("course"),
-            F.concat(F.lit("S"), F.substring(course, 1, 1)).alias("subcode"),
+            F.concat(F.lit("S"), F.least(F.substring(course, 1, 1), F.lit("4"))).alias("subcode"),
             semyr.alias("semyr"),
             semyr.alias("semyr_code"),
-            F.concat(F.lit("01/01/"), year.cast("string")).alias("pub_result"),
+            F.concat(F.when((year % 2 == 1) & F.substring(course, 1, 1).isin("2", "4"), F.lit("1/1/")).otherwise(F.lit("01/01/")),
+                     year.cast("string")).alias("pub_result"),
             F.col("o_orderdate").cast("date").alias("app_date"),
             F.when((F.col("o_orderkey") % 7 == 0) & course.startswith("1"), F.lit("0399"))
             .otherwise(F.lit("0300")).alias("payment_status"),
@@ -141,8 +147,10 @@ def exam_tables_from_tpch(spark: SparkSession, sf_dir: str) -> ExamTables:
             state["lines"] = _lines(spark, sf_dir)
         return state["lines"]
 
+    applied_for = (F.col("l_partkey") + F.col("l_linenumber")) % 2 == 0
+
     def applied_lines(residue: int) -> DataFrame:
-        return lines().where((F.col("l_orderkey") % 3 == residue) & (F.col("l_linenumber") <= 3))
+        return lines().where((F.col("l_orderkey") % 3 == residue) & applied_for)
 
     def result_table(slots: tuple[Slot, ...], modulus: int) -> DataFrame:
         piv = _pivot(lines(), modulus, [F.col("p_name"), F.col("code")])
@@ -172,28 +180,38 @@ def exam_tables_from_tpch(spark: SparkSession, sf_dir: str) -> ExamTables:
         return _with_header(header(), piv, APPLICATION_HEADER, cols)
 
     def payment() -> DataFrame:
-        # One pass over the applicants of both kinds: each yields one row per
-        # purpose of its kind, twice when scanno % 13 = 0.
+        # One pass over the applicants of both kinds: each yields its rows as one array.
         kind = F.col("id") % 3
-        applied = (lines().where(((F.col("l_orderkey") % 3).isin(0, 1)) & (F.col("l_linenumber") <= 3))
+        applied = (lines().where(((F.col("l_orderkey") % 3).isin(0, 1)) & applied_for)
                    .select("l_orderkey").distinct())
         applicants = (header().where(F.col("retotaling_status") == "Y")
                       .join(applied, F.col("id") == F.col("l_orderkey"), "left_semi"))
+        scanno = F.col("scanno")
+        form = scanno.cast("string")
 
-        def purposes(*pairs: tuple[str, str]) -> Column:
-            return F.array(*[F.struct(F.lit(p).alias("pay_for"), F.lit(x).alias("suffix")) for p, x in pairs])
-
-        by_kind = F.when(kind == 0, purposes(("RETOT_ANNUAL", "y"), ("RETOT", "s"))) \
-                   .otherwise(purposes(("REVAL_ANNUAL", "y"), ("REVAL", "s")))
-        copies = F.when(F.col("scanno") % 13 == 0, F.lit(2)).otherwise(F.lit(1))
-        rows = applicants.select("scanno", "semyr_code", "course", F.inline(by_kind))
-        rows = rows.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
-        return rows.select(
-            F.col("scanno").cast("string").alias("description"),
-            F.when(F.col("scanno") % 5 == 4, F.lit("attempted")).otherwise(F.lit("captured")).alias("status"),
-            payment_notes(F.concat(F.col("semyr_code"), F.col("suffix")), F.col("course"),
-                          F.col("pay_for")).alias("notes"),
-        )
+        def row(description: Column, status: Column, notes: Column) -> Column:
+            return F.struct(description.alias("description"), status.alias("status"), notes.alias("notes"))
+
+        def notes(pay_for: str, suffix: str) -> Column:
+            return payment_notes(F.concat(F.col("semyr_code"), F.lit(suffix)), F.col("course"), F.lit(pay_for))
+
+        status = F.when(scanno % 5 == 4, F.lit("attempted")).otherwise(F.lit("captured"))
+        captured, nothing = F.lit("captured"), F.lit(None).cast("string")
+
+        def own(annual: str, semester: str) -> Column:
+            return F.array(row(form, status, notes(annual, "y")), row(form, status, notes(semester, "s")))
+
+        def when(condition: Column, extra: Column) -> Column:
+            return F.when(condition, F.array(extra)).otherwise(F.array().cast("array<struct<description:string,status:string,notes:string>>"))
+
+        first = F.when(kind == 0, own("RETOT_ANNUAL", "RETOT")).otherwise(own("REVAL_ANNUAL", "REVAL"))
+        annual = F.when(kind == 0, notes("RETOT_ANNUAL", "y")).otherwise(notes("REVAL_ANNUAL", "y"))
+        rows = F.concat(
+            first, F.when(scanno % 13 == 0, first).otherwise(F.array().cast("array<struct<description:string,status:string,notes:string>>")),
+            when(scanno % 17 == 0, row(F.concat(F.lit("Admission fee "), F.col("semyr_code")), captured, notes("ADMISSION", "y"))),
+            when((scanno % 19 == 0) & F.col("course").startswith("3"), row(nothing, captured, annual)),
+            when(scanno % 23 == 0, row(form, captured, F.concat(F.lit('{"sem": '), F.col("semyr_code")))))
+        return applicants.select(F.inline(rows))
 
     def history() -> DataFrame:
         orders = _read(spark, sf_dir, "orders", ["o_orderkey"])
