@@ -150,6 +150,8 @@ ORACLES: dict[str, str] = {
     "latest_drop": LATEST_DROP,
     "snapshot_load": SNAPSHOT_LOAD,
     "report_export": _report_sql("annual_rt"),
+    "staged_report": _report_sql("semester_rt"),
+    "register_append": FILE_REGISTER,
     "deadline_status_annual": _deadline("result_annual", "CAST({} AS VARCHAR)"),
     "deadline_status_semester": _deadline("result", "{}"),
     "published_groups_annual": _published("result_annual"),

@@ -22,10 +22,10 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from retally.plans import ingest, reconcile, runs, status
-from retally.plans.status import published_groups
+from retally.plans import ingest, runs, status
 from retally.sources.derived import exam_tables_from_tpch
-from retally.sources.sinks import export_report, stage_report
+from retally.sources.files import CSV_WRITE
+from retally.sources.sinks import checkpointed, export_report, stage_report
 from retally.sources.snapshot import load_snapshot, write_snapshot
 from retally.sources.tables import ExamTables
 from retally.specs import REPORTS
@@ -71,18 +71,17 @@ def _add_source(p: argparse.ArgumentParser) -> None:
 def cmd_run(args) -> None:
     spark = _session()
     t = _tables(spark, args)
-    keys = [k for k in REPORTS if REPORTS[k].layout == args.layout]
-    for key in keys:
-        spec = REPORTS[key]
-        gates = runs.gate_table(t, spec, args.date)
-        gates.write.mode("overwrite").parquet(f"{args.out}/gate_{key}")
-        groups = published_groups(t[spec.result_table], args.date)
-        (reconcile.mismatch(groups, t[spec.application_table], t["payment"], spec)
-         .write.mode("overwrite").parquet(f"{args.out}/mismatch_{key}"))
-        report = runs.gated_run(t, spec, args.date, gates=gates)
+    script = runs.annual_run if args.layout == "annual" else runs.semester_run
+    rules = dict(r.split("=", 1) for r in args.gate)
+    if unknown := set(rules) - {k for k, spec in REPORTS.items() if spec.layout == args.layout}:
+        raise SystemExit(f"no such report in this layout: {', '.join(sorted(unknown))}")
+    for key, done in script(t, args.date, rules=rules).items():
+        done.gates.write.mode("overwrite").parquet(f"{args.out}/gate_{key}")
+        done.mismatch.write.mode("overwrite").parquet(f"{args.out}/mismatch_{key}")
+        report = checkpointed(spark, done.report, f"report-{key}") if args.stage else done.report
         export_report(report, f"{args.out}/{EXPORT_NAMES[key]}")
         if args.stage:
-            stage_report(report, f"{STAGING_TABLES[args.layout]}_{spec.scrutiny_type}")
+            stage_report(report, f"{STAGING_TABLES[args.layout]}_{REPORTS[key].scrutiny_type}")
         print(f"{key}: report written to {args.out}/{EXPORT_NAMES[key]}")
 
 
@@ -99,7 +98,13 @@ def cmd_status(args) -> None:
     spark = _session()
     t = _tables(spark, args)
     table = "result_annual" if args.layout == "annual" else "result"
-    status.deadline_status(t[table], end_date_as_text=args.layout == "annual").show(args.rows, truncate=False)
+    rows = status.deadline_status(t[table], end_date_as_text=args.layout == "annual")
+    if args.out:
+        rows.write.mode("overwrite").options(**CSV_WRITE).csv(args.out)
+        return
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():          # every group, a partition at a time
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def cmd_import(args) -> None:
@@ -118,6 +123,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("layout", choices=["annual", "semester"])
     p.add_argument("--date", required=True, help="publish date as stored, e.g. 04/07/2024")
     p.add_argument("--out", required=True, help="output folder (shared storage)")
+    p.add_argument("--gate", action="append", default=[], metavar="REPORT=RULE",
+                   help="gate rule of one report, e.g. annual_rv=equal (rules: equal, unequal)")
     p.add_argument("--stage", action="store_true", help="also replace the staging tables")
     _add_source(p)
     p.set_defaults(fn=cmd_run)
@@ -132,7 +139,7 @@ def main(argv: list[str] | None = None) -> int:
 
     p = sub.add_parser("status", help="deadline status per group")
     p.add_argument("layout", choices=["annual", "semester"])
-    p.add_argument("--rows", type=int, default=100)
+    p.add_argument("--out", help="write the table there as CSV instead of printing it")
     _add_source(p)
     p.set_defaults(fn=cmd_status)
 

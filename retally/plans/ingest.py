@@ -55,6 +55,6 @@ def latest_drop(spark: SparkSession, folder: str, prefix: str = "payments", sche
 
 def import_payments(spark: SparkSession, folder: str, table: str = "payment", prefix: str = "payments",
                     fmt: str | None = None, path: str | None = None) -> None:
-    """Replace ``table`` with the newest payment drop (fails loudly if there is none)."""
-    df = latest_drop(spark, folder, prefix, schemas.PAYMENT, fmt)
-    replace_table(df.select(*[F.col(c).cast("string") for c in schemas.PAYMENT.names]), table, path)
+    """Replace ``table`` with the newest payment drop, all its columns (fails loudly if there is none
+    or a payment column is missing)."""
+    replace_table(latest_drop(spark, folder, prefix, schemas.PAYMENT, fmt), table, path)

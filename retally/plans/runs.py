@@ -22,10 +22,12 @@ a third of all applications is still spread over every task.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retally.plans.reconcile import captured_forms, gate
+from retally.plans.reconcile import captured_forms, gate, mismatch
 from retally.plans.report import scrutiny_report
 from retally.plans.status import published_groups
 from retally.sources.sinks import checkpointed
@@ -58,11 +60,34 @@ def gated_run(tables: ExamTables, spec: ReportSpec, pub_result: str | None = Non
     return report.join(passed, ["subcode", "semyr_code"]).select(*extra, *REPORT_COLUMNS)
 
 
-def annual_run(tables: ExamTables, pub_result: str | None, strict: bool = True) -> dict[str, DataFrame]:
-    """Both annual reports (re-totalling and re-valuation) for one publish date."""
-    return {k: gated_run(tables, REPORTS[k], pub_result, strict) for k in ("annual_rt", "annual_rv")}
+class Run(NamedTuple):
+    """What a run writes for one report."""
+
+    gates: DataFrame
+    mismatch: DataFrame
+    report: DataFrame
+
+
+def layout_run(tables: ExamTables, layout: str, pub_result: str | None, strict: bool = True,
+               rules: dict[str, str] | None = None) -> dict[str, Run]:
+    """Both reports of a layout, in the source's order; ``rules`` replaces a report's gate rule by its key."""
+    out = {}
+    for key, spec in REPORTS.items():
+        if spec.layout == layout:
+            gates = gate_table(tables, spec, pub_result, strict, (rules or {}).get(key))
+            groups = published_groups(tables[spec.result_table], pub_result)
+            out[key] = Run(gates, mismatch(groups, tables[spec.application_table], captured_forms(tables), spec, strict),
+                           gated_run(tables, spec, pub_result, strict, gates))
+    return out
+
+
+def annual_run(tables: ExamTables, pub_result: str | None, strict: bool = True,
+               rules: dict[str, str] | None = None) -> dict[str, Run]:
+    """The annual script: re-totalling and re-valuation for one publish date."""
+    return layout_run(tables, "annual", pub_result, strict, rules)
 
 
-def semester_run(tables: ExamTables, pub_result: str | None, strict: bool = True) -> dict[str, DataFrame]:
-    """The two semester passes (re-totalling, then re-valuation) for one publish date."""
-    return {k: gated_run(tables, REPORTS[k], pub_result, strict) for k in ("semester_rt", "semester_rv")}
+def semester_run(tables: ExamTables, pub_result: str | None, strict: bool = True,
+                 rules: dict[str, str] | None = None) -> dict[str, Run]:
+    """The semester script: its two passes for one publish date."""
+    return layout_run(tables, "semester", pub_result, strict, rules)

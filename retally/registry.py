@@ -13,6 +13,7 @@ which is how the jobs meet their data in production.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from retally import schemas
 from retally.plans import ingest, reconcile, report, runs, status
 from retally.session import scratch_path
 from retally.sources.derived import exam_tables_from_tpch
-from retally.sources.sinks import checkpointed, export_report
+from retally.sources.sinks import append_table, checkpointed, export_report, read_export, stage_report
 from retally.sources.snapshot import write_snapshot
 from retally.sources.tables import ExamTables
 from retally.specs import GROUP_COLUMNS, REPORTS
@@ -73,7 +74,28 @@ def _snapshot_load(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame
 def _report_export(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     export_report(report.scrutiny_report(t, REPORTS["annual_rt"]), path)
-    return spark.read.schema(schemas.REPORT).option("header", True).csv(path)
+    return read_export(spark, path)
+
+
+def _staged_report(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """The staging table after the reset: written for one report, then replaced by the next, by position."""
+    table, path = f"retally_staging_{uuid.uuid4().hex}", scratch_path(spark, "staging")
+    stage_report(report.scrutiny_report(t, REPORTS["semester_rv"]), table, path)
+    stage_report(report.scrutiny_report(t, REPORTS["semester_rt"]), table)
+    rows = spark.read.schema(schemas.REPORT).parquet(path)
+    spark.sql(f"DROP TABLE {table}")          # an external table: its files stay for the result
+    return rows
+
+
+def _register_append(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """The register after two appends: the files of even and of odd colleges."""
+    table, path = f"retally_register_{uuid.uuid4().hex}", scratch_path(spark, "register")
+    entries = _file_register(spark, t, sf_dir)
+    for half in (0, 1):
+        append_table(entries.where(F.col("coll_code") % 2 == half), table, path)
+    rows = spark.read.schema(schemas.FILE_REGISTER).parquet(path)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
 
 
 def _deadline(table: str, as_text: bool) -> Job:
@@ -144,6 +166,8 @@ JOBS: dict[str, Job] = {
     "latest_drop": _latest_drop,
     "snapshot_load": _snapshot_load,
     "report_export": _report_export,
+    "staged_report": _staged_report,
+    "register_append": _register_append,
     "deadline_status_annual": _deadline("result_annual", True),
     "deadline_status_semester": _deadline("result", False),
     "published_groups_annual": _published("result_annual"),

@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retally import schemas
 from retally.session import scratch_path
+from retally.sources.files import CSV_READ, CSV_WRITE
 from retally.specs import REPORT_COLUMNS
 
 
@@ -51,11 +53,16 @@ def export_report(report: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write the report as files, one folder per scrutiny type, header row included."""
     writer = report.write.mode("overwrite").partitionBy("scrutiny_type")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**CSV_WRITE).csv(path)
     else:
         writer.format(fmt).save(path)
 
 
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """An exported CSV report, every value as it was written."""
+    return spark.read.schema(schemas.REPORT).options(**CSV_READ).csv(path)
+
+
 def checkpointed(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """Materialise ``df`` as parquet under the shared folder and read it back.
 

@@ -10,6 +10,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from retally import schemas
 from retally.plans.ingest import register_entries
 from retally.session import shared_dir
+from retally.sources.files import read_drop
 from retally.sources.sinks import replace_table
 
 # Fixed schema of the binaryFile source.
@@ -34,38 +35,44 @@ def register_stream(spark: SparkSession, folder: str, table: str, checkpoint: st
     return writer.outputMode("append").toTable(table)
 
 
-def _newest_drop(batch: DataFrame) -> DataFrame:
-    """Rows of the newest file in a micro-batch (modification time, then path)."""
-    newest = batch.agg(F.max_by(F.struct("_mtime", "_file"), F.struct("_mtime", "_file")).alias("n")).first()
-    if newest is None or newest["n"] is None:
-        return batch.limit(0)
-    return batch.where((F.col("_mtime") == newest["n"]["_mtime"]) & (F.col("_file") == newest["n"]["_file"]))
+# Table property that names the drop a payment table holds: "<modification time in microseconds> <path>".
+DROP_PROPERTY = "retally.drop"
+
+
+def _held_drop(spark: SparkSession, table: str) -> tuple[int, str]:
+    """(modification time, path) of the drop that ``table`` holds; (-1, "") if none."""
+    if not spark.catalog.tableExists(table):
+        return -1, ""
+    for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect():
+        if row["key"] == DROP_PROPERTY:
+            at, path = row["value"].split(" ", 1)
+            return int(at), path
+    return -1, ""
 
 
 def payment_drop_stream(spark: SparkSession, folder: str, table: str = "payment", prefix: str = "payments",
-                        fmt: str = "csv", checkpoint: str | None = None,
+                        fmt: str | None = None, checkpoint: str | None = None,
                         available_now: bool = True) -> StreamingQuery:
     """Replace ``table`` with the newest ``prefix*`` drop among the files new since the last run.
 
-    Each micro-batch overwrites the table, so replaying a batch after a
-    failure gives the same table (idempotent), and the checkpoint's file log
-    keeps old drops from being imported again.
+    The stream carries file names and times only; the newest file of a batch
+    is read once, by column name, as ``import_payments`` does.  The table
+    remembers its drop, so an older file that arrives later changes nothing and
+    a batch replayed after a failure gives the same table.
     """
-    reader = spark.readStream.format(fmt).schema(schemas.PAYMENT).option("pathGlobFilter", f"{prefix}*")
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    src = reader.load(folder).select(
-        *schemas.PAYMENT.names,
-        F.col("_metadata.file_modification_time").alias("_mtime"),
-        F.col("_metadata.file_path").alias("_file"),
-    )
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", f"{prefix}*").load(folder)
+             .select("path", F.unix_micros("modificationTime").alias("at")))
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        rows = _newest_drop(batch)
-        if not rows.isEmpty():
-            replace_table(rows.select(*schemas.PAYMENT.names), table)
-            spark.catalog.refreshTable(table)   # the batch runs in a cloned session
+        newest = batch.agg(F.max(F.struct("at", "path")).alias("n")).first()["n"]
+        session = batch.sparkSession
+        if newest is None or (newest["at"], newest["path"]) <= _held_drop(session, table):
+            return
+        replace_table(read_drop(session, newest["path"], schemas.PAYMENT, fmt), table)
+        value = f"{newest['at']} {newest['path']}".replace("'", "\\'")
+        session.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{DROP_PROPERTY}' = '{value}')")
+        spark.catalog.refreshTable(table)   # the batch runs in a cloned session
 
-    writer = src.writeStream.option("checkpointLocation", _checkpoint(spark, f"drops-{table}", checkpoint))
+    writer = files.writeStream.option("checkpointLocation", _checkpoint(spark, f"drops-{table}", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.foreachBatch(replace).start()

@@ -5,6 +5,7 @@ import tempfile
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from retally import schemas
 from retally.plans.ingest import file_register, import_payments, latest_drop, record_files
@@ -59,8 +60,8 @@ def test_e18_newest_payment_drop_wins(spark):
     _touch(d, "payments b.csv", hdr + '2,captured,"{""sem"": ""1y""}"\n3,captured,{}\n', now - 100)
     _touch(d, "payments c.csv", hdr + '4,captured,{}\n', now - 200)
     _touch(d, "zz newest other.csv", hdr + '9,captured,{}\n', now)
-    got = sorted(r.description for r in latest_drop(spark, d, "payments", schemas.PAYMENT).collect())
-    assert got == ["2", "3"]
+    got = sorted((r.description, r.notes) for r in latest_drop(spark, d, "payments", schemas.PAYMENT).collect())
+    assert got == [("2", '{"sem": "1y"}'), ("3", "{}")]
     spark.sql("DROP TABLE IF EXISTS payment_t")
     import_payments(spark, d, "payment_t")
     assert sorted(r.description for r in spark.table("payment_t").collect()) == ["2", "3"]
@@ -113,6 +114,7 @@ def test_load_snapshot_from_csv_dump(spark, tmp_path):
     """J3: a CSV dump read with explicit schemas gives the same report as the source tables."""
     from retally.plans.report import scrutiny_report
     from retally.sources.derived import exam_tables_from_tpch
+    from retally.sources.files import CSV_WRITE
     from retally.sources.snapshot import load_snapshot
     from retally.sources.tables import ALL_TABLES
     from retally.specs import REPORTS
@@ -120,9 +122,52 @@ def test_load_snapshot_from_csv_dump(spark, tmp_path):
     src = exam_tables_from_tpch(spark, "/root/testdata/sf0.001")
     dump = str(tmp_path / "dump")
     for name in ALL_TABLES:
-        src[name].write.option("header", True).csv(f"{dump}/{name}")
+        src[name].write.options(**CSV_WRITE).csv(f"{dump}/{name}")
     snap = load_snapshot(spark, dump, str(tmp_path / "snap"), fmt="csv")
     for key in ("annual_rv", "semester_rt"):
         want = sorted(map(tuple, scrutiny_report(src, REPORTS[key]).collect()), key=repr)
         got = sorted(map(tuple, scrutiny_report(snap, REPORTS[key]).collect()), key=repr)
         assert got == want and len(got) > 0, key
+
+
+def test_drop_written_by_pandas_is_read_by_column_name(spark):
+    """Other column order, extra columns, quotes and line breaks in values, glob characters in the name, a subfolder."""
+    import pandas as pd
+
+    d = tempfile.mkdtemp(prefix="drop-")
+    notes = ['{"sem": "1y", "course": "C1", "pay_for": "RETOT_ANNUAL"}', '{"sem": "2y",\n "course": "C \\"x\\"", "pay_for": "REVAL"}']
+    frame_ = pd.DataFrame({"id": ["pay_1", "pay_2"], "notes": notes, "status": "captured", "description": ["11", " 12 "], "email": "a@b"})
+    frame_.to_csv(f"{d}/payments [1].csv", index=False)
+    os.mkdir(f"{d}/year=2024")
+    _touch(f"{d}/year=2024", "payments later.csv", "description,status,notes\n99,captured,{}\n", time.time() + 50)
+    got = latest_drop(spark, d, "payments", schemas.PAYMENT)
+    assert got.columns == ["description", "status", "notes", "id", "email"]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(
+        (x, "captured", n, i, "a@b") for x, n, i in zip(frame_.description, notes, frame_.id))
+    from retally.plans.reconcile import paid_list
+    assert sorted(tuple(r) for r in paid_list(got).collect()) == [
+        ("RETOT_ANNUAL", "C1", "1y", "11"), ("REVAL", 'C "x"', "2y", " 12 ")]
+    _touch(d, "payments z.csv", "description,status\n1,captured\n", time.time() + 99)
+    with pytest.raises(ValueError, match="notes"):
+        latest_drop(spark, d, "payments", schemas.PAYMENT)
+
+
+def test_export_keeps_quotes_newlines_and_blanks(spark):
+    from retally.sources.sinks import read_export
+
+    out = os.path.join(tempfile.mkdtemp(prefix="exp-"), "report")
+    rep = _report(spark).withColumn("name", F.lit(' a "quoted" name,\nnext line \\ '))
+    export_report(rep, out)
+    assert sorted(map(tuple, read_export(spark, out).collect())) == sorted(map(tuple, rep.collect()))
+    import csv
+    import glob
+    rows = [r for f in glob.glob(f"{out}/*/*.csv") for r in csv.DictReader(open(f, newline=""))]
+    assert {r["name"] for r in rows} == {' a "quoted" name,\nnext line \\ '}
+
+
+def test_dump_options_keep_the_header(spark, tmp_path):
+    from retally.sources.snapshot import read_source
+
+    _touch(tmp_path, "h.csv", 'scrutiny_type;scanno\nrt;"1"\n')
+    got = read_source(spark, str(tmp_path / "h.csv"), "csv", schemas.HISTORY, {"sep": ";"})
+    assert [tuple(r) for r in got.collect()] == [("1", "rt")]

@@ -71,3 +71,64 @@ def test_no_unaggregated_shuffle_on_group_keys(spark, tmp_path):
             keys = {k.split("#")[0].strip() for k in inner.split(")")[0].split(",")[:-1]}
             if keys and keys <= GROUP_KEYS:
                 assert "partial_" in lines[i + 1] or "HashAggregate" in lines[i + 1], (key, ln, lines[i + 1])
+
+
+def _no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+
+
+def _restore(spark):
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, str(32 * 1024 * 1024))
+
+
+def _depth(line: str) -> int:
+    return len(line) - len(line.lstrip(" :+-"))
+
+
+def test_reports_never_exchange_the_wide_application_rows(spark, tmp_path):
+    """Without broadcasts, the application scan reaches its first exchange only as narrow fanned-out rows."""
+    snap = write_snapshot(exam_tables_from_tpch(spark, SF), str(tmp_path / "snap"))
+    _no_broadcast(spark)
+    try:
+        for key, spec in REPORTS.items():
+            plan = scrutiny_report(snap, spec)._jdf.queryExecution().executedPlan()
+            lines = plan.toString().splitlines()
+            at = next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "retotaling_status" in ln)
+            above, depth = [], _depth(lines[at])
+            for ln in lines[:at][::-1]:                     # the scan's ancestors, nearest first
+                if _depth(ln) < depth:
+                    above.append(ln)
+                    depth = _depth(ln)
+            first = next(i for i, ln in enumerate(above) if "Exchange" in ln)
+            assert any("Generate inline" in ln for ln in above[:first]), (key, above[:first])
+    finally:
+        _restore(spark)
+
+
+def test_payments_are_scanned_once(spark, tmp_path):
+    from retally.plans.reconcile import accepted_counts_for_purposes, accepted_for_purposes
+
+    snap = write_snapshot(exam_tables_from_tpch(spark, SF), str(tmp_path / "snap"))
+    pairs = [(snap[s.application_table], s.purpose) for s in REPORTS.values()]
+    _no_broadcast(spark)
+    try:
+        for df in (accepted_for_purposes(pairs, snap["payment"]), accepted_counts_for_purposes(pairs, snap["payment"])):
+            scans = [ln for ln in _scan_lines(_plan(df)) if "notes" in ln]
+            assert len(scans) == 1, scans
+    finally:
+        _restore(spark)
+
+
+def test_gates_of_all_reports_parse_the_payments_once(spark, tmp_path):
+    from retally.plans.reconcile import captured_forms
+    from retally.plans.runs import annual_run, semester_run
+
+    snap = write_snapshot(exam_tables_from_tpch(spark, SF), str(tmp_path / "snap"))
+    forms = captured_forms(snap)
+    for run in (annual_run, semester_run):
+        for done in run(snap, "01/01/1996").values():
+            assert not [ln for ln in _scan_lines(_plan(done.report)) + _scan_lines(_plan(done.mismatch)) if "notes" in ln]
+            assert done.gates.count() > 0
+    assert captured_forms(snap) is forms

@@ -41,3 +41,14 @@ def test_payment_drop_stream_keeps_newest(spark):
     _touch(d, "payments 3.csv", hdr + "4,captured,{}\n", now)
     payment_drop_stream(spark, d, "payment_stream_t", checkpoint=ck).awaitTermination(120)
     assert [r.description for r in spark.table("payment_stream_t").collect()] == ["4"]
+
+
+def test_an_older_drop_that_arrives_later_changes_nothing(spark):
+    d, ck = tempfile.mkdtemp(prefix="ps-"), tempfile.mkdtemp(prefix="ps-ck-")
+    now = time.time()
+    _touch(d, "payments new.csv", 'notes,status,description\n"{""sem"": ""1y""}",captured,2\n', now - 50)
+    spark.sql("DROP TABLE IF EXISTS payment_late_t")
+    payment_drop_stream(spark, d, "payment_late_t", checkpoint=ck).awaitTermination(120)
+    _touch(d, "payments old.csv", "description,status,notes\n1,captured,{}\n", now - 500)
+    payment_drop_stream(spark, d, "payment_late_t", checkpoint=ck).awaitTermination(120)
+    assert [(r.description, r.notes) for r in spark.table("payment_late_t").collect()] == [("2", '{"sem": "1y"}')]
