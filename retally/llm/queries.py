@@ -86,6 +86,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) >= 20)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS place FROM win) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM again, range(20) t(k)),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.p) AS text
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d) w
+  LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.p = w.p WHERE gone.p IS NULL GROUP BY w.doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id""",
     "op4_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
