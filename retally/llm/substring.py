@@ -13,7 +13,7 @@ it repeats, when blocks lie back to back from each document's first word and
    back the windows that meet a reference block elsewhere.
 3. Extension: around every hit a batch forms the WINDOW-word windows that hold
    it (the hit extended by up to ``WINDOW - BLOCK`` words to either side) and
-   sends their 64-bit hashes the same way.  Batches are numbered in document
+   sends their 128-bit hashes the same way.  Batches are numbered in document
    order, so the first batch of a hash holds its first occurrence, and the
    others hear that theirs is a repeat.
 4. Each batch marks the words covered by repeated windows; runs of covered
@@ -25,8 +25,10 @@ a batch and a hash range grow with the square root of the corpus once it
 passes some billions of words, which keeps their product, the number of
 shuffled pieces, in proportion to the corpus.
 
-Equality of two windows rests on 64-bit hashes of their words (XXH3 per word,
-a rolling polynomial over them); the shorter anchor hashes only select.
+Equality of two windows rests on 128 bits: two rolling polynomials with
+different multipliers over the XXH3 hashes of their words.  The chance that any
+two different windows of a corpus of 10**13 words agree by accident is about
+10**-13.  The shorter anchor hashes only select.
 
 Defined results: a null or blank text has no words and nothing removed; a null
 id sorts last; rows that repeat an id are separate documents in the order of a
@@ -56,7 +58,7 @@ BATCH_BYTES = 4 * 1024 * 1024
 RANGE_WORDS = 1_000_000        # distinct windows a hash range holds, about
 PIECE_WORDS = 64               # and at least so many per batch and range
 SPARE_BITS = 13                # anchor hashes: bits beyond those that number the corpus's words
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+MULTIPLIER, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -65,7 +67,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def rolling(words: np.ndarray, width: int) -> np.ndarray:
+def rolling(words: np.ndarray, width: int, multiplier: np.uint64 = MULTIPLIER) -> np.ndarray:
     """Polynomial hash of every ``width`` consecutive word hashes (modulo 2**64)."""
     if len(words) < width:
         return np.empty(0, np.uint64)
@@ -73,7 +75,7 @@ def rolling(words: np.ndarray, width: int) -> np.ndarray:
     span, left = 1, width                     # ``at`` hashes ``span`` words
 
     def power(n: int) -> np.uint64:
-        return np.uint64(pow(int(MULTIPLIER), n, 1 << 64))
+        return np.uint64(pow(int(multiplier), n, 1 << 64))
 
     while left:
         if left & 1:
@@ -111,12 +113,25 @@ class Batch:
         at = self.positions(BLOCK)
         return at, _mixed(rolling(self.hashes, BLOCK)[at])
 
-    def candidates(self, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the WINDOW-word windows that hold a hit."""
+    def candidates(self, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and both hashes of the WINDOW-word windows that hold a hit."""
         at = self.positions(WINDOW)
         upto = np.concatenate(([0], np.cumsum(hit)))
         at = at[upto[at + WINDOW - BLOCK + 1] > upto[at]]
-        return at, _mixed(rolling(self.hashes, WINDOW)[at] if len(at) else np.empty(0, np.uint64))
+        if not len(at):
+            return at, np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return at, _mixed(rolling(self.hashes, WINDOW)[at]), rolling(self.hashes, WINDOW, SECOND)[at]
+
+
+def _distinct(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, where each comes first, and which pair each row is."""
+    order = np.lexsort((two, one))                 # stable: equal pairs stay in text order
+    one, two = one[order], two[order]
+    starts = np.ones(len(one), bool)
+    starts[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    which = np.empty(len(one), np.int64)
+    which[order] = np.cumsum(starts) - 1
+    return one[starts], two[starts], order[starts], which
 
 
 def _ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
@@ -125,45 +140,50 @@ def _ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return np.searchsorted(number, np.arange(ranges + 1, dtype=np.uint64))
 
 
-def _packed(values: np.ndarray, *flags: np.ndarray) -> bytes:
-    """Sorted numbers as differences, byte plane by byte plane, and bit flags."""
+def _packed(values: np.ndarray, check: np.ndarray | None, *flags: np.ndarray) -> bytes:
+    """Sorted numbers as differences, byte plane by byte plane, their check numbers as they are, and bit flags."""
     gaps = np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
     return zstandard.ZstdCompressor(level=1).compress(
-        len(values).to_bytes(8, "little") + gaps.tobytes() + b"".join(np.packbits(f).tobytes() for f in flags))
+        len(values).to_bytes(8, "little") + gaps.tobytes() + (b"" if check is None else check.tobytes())
+        + b"".join(np.packbits(f).tobytes() for f in flags))
 
 
-def _unpacked(data: bytes, flags: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _unpacked(data: bytes, checked: bool, flags: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     n = int.from_bytes(raw[:8], "little")
     planes = np.frombuffer(raw, np.uint8, 8 * n, 8).reshape(8, n)
-    values = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel())
-    bits = np.frombuffer(raw, np.uint8, -1, 8 + 8 * n).reshape(flags, -1) if n and flags else np.zeros((flags, 0), np.uint8)
-    return values, [np.unpackbits(b, count=n).astype(bool) for b in bits]
+    values, at = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel()), 8 + 8 * n
+    check = np.frombuffer(raw, np.uint64, n, at) if checked else np.zeros(n, np.uint64)
+    at += 8 * n * checked
+    bits = np.frombuffer(raw, np.uint8, -1, at).reshape(flags, -1) if n and flags else np.zeros((flags, 0), np.uint8)
+    return values, check, [np.unpackbits(b, count=n).astype(bool) for b in bits]
 
 
 PIECES = pa.schema([("range", pa.int64()), ("batch", pa.int64()), ("data", pa.binary())])
 
 
-def _pieces(batch: int, hashes: np.ndarray, ranges: int, drop_bits: int, *flags: np.ndarray) -> pa.Table:
+def _pieces(batch: int, hashes: np.ndarray, ranges: int, drop_bits: int, check: np.ndarray | None, *flags: np.ndarray) -> pa.Table:
     bounds = _ranges(hashes, ranges)
     kept = [(r, int(a), int(b)) for r, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
     values = hashes >> np.uint64(drop_bits)
     return pa.table([pa.array([r for r, _, _ in kept], pa.int64()), pa.array([batch] * len(kept), pa.int64()),
-                     pa.array([_packed(values[a:b], *[f[a:b] for f in flags]) for _, a, b in kept], pa.binary())], schema=PIECES)
+                     pa.array([_packed(values[a:b], None if check is None else check[a:b], *[f[a:b] for f in flags])
+                               for _, a, b in kept], pa.binary())], schema=PIECES)
 
 
-def _per_range(rows: Iterator[pa.RecordBatch], flags: int, decide) -> Iterator[pa.RecordBatch]:
+def _per_range(rows: Iterator[pa.RecordBatch], checked: bool, flags: int, decide) -> Iterator[pa.RecordBatch]:
     """Read each hash range whole and report ``decide``'s bits back to its batches."""
     def answer(found: list[tuple[int, bytes]], number: int) -> pa.RecordBatch:
-        opened = [_unpacked(data, flags) for _, data in found]
-        values = np.concatenate([v for v, _ in opened])
-        order = np.argsort(values, kind="stable")
+        opened = [_unpacked(data, checked, flags) for _, data in found]
+        values, checks = (np.concatenate([o[k] for o in opened]) for k in (0, 1))
+        order = np.lexsort((checks, values)) if checked else np.argsort(values, kind="stable")
+        one, two = values[order], checks[order]
         starts = np.ones(len(values), bool)
-        starts[1:] = values[order][1:] != values[order][:-1]
+        starts[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
         bits = np.empty(len(values), bool)
-        bits[order] = decide(starts, [np.concatenate([f[k] for _, f in opened])[order] for k in range(flags)])
-        ends = np.cumsum([len(v) for v, _ in opened])
-        told = [(b, bits[e - len(v):e]) for (b, _), (v, _), e in zip(found, opened, ends)]
+        bits[order] = decide(starts, [np.concatenate([o[2][k] for o in opened])[order] for k in range(flags)])
+        ends = np.cumsum([len(o[0]) for o in opened])
+        told = [(b, bits[e - len(o[0]):e]) for (b, _), o, e in zip(found, opened, ends)]
         told = [(b, np.packbits(x).tobytes()) for b, x in told if x.any()]
         return pa.record_batch([pa.array([number] * len(told), pa.int64()), pa.array([b for b, _ in told], pa.int64()),
                                 pa.array([x for _, x in told], pa.binary())], schema=PIECES)
@@ -261,12 +281,12 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 distinct, where, count = np.unique(hashes, return_inverse=True, return_counts=True)
                 block = np.zeros(len(distinct), bool)
                 block[where[batch.blocks(at)]] = True
-                yield from _pieces(number, distinct, plan.ranges, plan.drop_bits, block, count > 1).to_batches()
+                yield from _pieces(number, distinct, plan.ranges, plan.drop_bits, None, block, count > 1).to_batches()
 
-    def asked(pieces: DataFrame, flags: int, decide, round_: int) -> DataFrame:
+    def asked(pieces: DataFrame, checked: bool, flags: int, decide, round_: int) -> DataFrame:
         schema = "range long, batch long, data binary"
         sent = pieces.repartition("range").sortWithinPartitions("range", "batch")
-        return sent.mapInArrow(lambda rows: _per_range(rows, flags, decide), schema).withColumn("round", F.lit(round_))
+        return sent.mapInArrow(lambda rows: _per_range(rows, checked, flags, decide), schema).withColumn("round", F.lit(round_))
 
     def hits(batch: Batch, answers: pa.Table) -> np.ndarray:
         at, hashes = batch.anchors()
@@ -279,8 +299,9 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not left.num_rows or not answers.num_rows:
             return PIECES.empty_table()
         batch = Batch(left.column("payload")[0].as_py())
-        _, hashes = batch.candidates(hits(batch, answers))
-        return _pieces(left.column("batch")[0].as_py(), np.unique(hashes), plan.ranges, 0)
+        _, one, two = batch.candidates(hits(batch, answers))
+        one, two, _, _ = _distinct(one, two)
+        return _pieces(left.column("batch")[0].as_py(), one, plan.ranges, 0, two)
 
     result = pa.schema([(id_col, pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))]
@@ -292,8 +313,8 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         batch = Batch(left.column("payload")[0].as_py())
         change = np.zeros(len(batch.words) + 1, np.int32)
         if answers.num_rows:
-            at, hashes = batch.candidates(hits(batch, answers))
-            distinct, first, where = np.unique(hashes, return_index=True, return_inverse=True)
+            at, one, two = batch.candidates(hits(batch, answers))
+            distinct, _, first, where = _distinct(one, two)
             repeat = _told(answers, 2, _ranges(distinct, plan.ranges))[where] | (np.arange(len(at)) != first[where])
             np.add.at(change, at[repeat], 1)
             np.add.at(change, at[repeat] + WINDOW, -1)
@@ -316,10 +337,10 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, result)], schema=result)
 
     anchors = batches.select("batch", "payload").mapInArrow(send_anchors, "range long, batch long, data binary")
-    first = materialise(asked(anchors, 2, _meets_block, 1), "substring-hits")
+    first = materialise(asked(anchors, False, 2, _meets_block, 1), "substring-hits")
     candidates = (batches.select("batch", "payload").groupBy("batch").cogroup(first.groupBy("batch"))
                   .applyInArrow(send_candidates, "range long, batch long, data binary"))
-    second = materialise(asked(candidates, 0, _not_first, 2), "substring-repeats")
+    second = materialise(asked(candidates, True, 0, _not_first, 2), "substring-repeats")
     spans_type = "array<struct<start:long,length:long>>"
     schema = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string, spans {spans_type}"
     return (batches.groupBy("batch").cogroup(first.unionByName(second).groupBy("batch"))
