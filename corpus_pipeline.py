@@ -13,8 +13,8 @@ passed on).  A stage's decision takes effect in the rows it returns:
    2048 ids: ``doc_id``, ``start``, ``length``, ``ids``, ``doc_tokens``,
    ``sequence_id``, ``offset``.
 
-Verdicts per row are joined back by the id and a hash of the row, so a null or
-repeated id does no harm.  Repeated rows are judged alike; for near duplicates
+Where verdicts per row are joined back, it is by the id and a hash of the row, so
+a null or repeated id does no harm.  Repeated rows are judged alike; for near duplicates
 a document is its id, whatever rows share it.  Small verdict tables are written
 first, so Spark knows their size when it chooses between a broadcast and a sort
 merge join.  An empty table passes through all stages as an empty table.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from retally.llm.exact_dedup import drop_exact
 from retally.llm.mixing import mix
 from retally.llm.packing import pack_documents
-from retally.llm.quality import judge
+from retally.llm.quality import good_documents
 from retally.llm.shared import materialise
 from retally.llm.simhash import near_groups
 
@@ -49,9 +49,7 @@ def _same_row(docs: DataFrame, verdicts: DataFrame) -> Column:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rejected = materialise(judge(_keyed(docs), ["doc_id", "row_hash"]).where(~F.col("kept"))
-                           .select("doc_id", "row_hash"), "pipeline-rejected")
-    return docs.join(rejected, _same_row(docs, rejected), "left_anti")
+    return good_documents(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,14 +40,22 @@ PREFIX_CHARS = 24      # length of the text prefix in the sort key
 
 
 def _ordered(docs: DataFrame, id_col: str, text_col: str, carry: list[str], parts: int | None) -> DataFrame:
+    """Rows in content order.  Where the carried row holds the text, the normalised text is made
+    from it again after the shuffle, so that every text travels once."""
+    carried = text_col in carry
+    text = F.col(f"`{text_col}`")
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
-        F.col(id_col).cast("long").alias("id"),
-        F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("chars"),
-        without_white(F.col(text_col)).alias("norm"),
-    ).withColumn("sha", F.unhex(F.sha2(F.encode("norm", "UTF-8"), 256)))
-    key = [F.substring("norm", 1, PREFIX_CHARS), F.col("sha"), F.col("chars").desc(), F.col("id").asc_nulls_last()]
-    return keyed.repartitionByRange(parts or parts_for(docs, text_col), *key).sortWithinPartitions(*key)
+        F.col(f"`{id_col}`").cast("long").alias("id"),
+        F.char_length(F.coalesce(text, F.lit(""))).alias("chars"),
+        without_white(text).alias("norm"),
+    )
+    keyed = keyed.select(
+        "row", "id", "chars", F.substring("norm", 1, PREFIX_CHARS).alias("prefix"),
+        F.unhex(F.sha2(F.encode("norm", "UTF-8"), 256)).alias("sha"), *([] if carried else ["norm"]))
+    key = [F.col("prefix"), F.col("sha"), F.col("chars").desc(), F.col("id").asc_nulls_last()]
+    ordered = keyed.repartitionByRange(parts or parts_for(docs, text_col), *key).sortWithinPartitions(*key)
+    return ordered.select("row", "id", "sha", without_white(F.col("row").getField(text_col)).alias("norm") if carried else "norm")
 
 
 def _compare(batches: Iterator[pa.RecordBatch], schema: pa.Schema, only_first: bool) -> Iterator[pa.RecordBatch]:
@@ -117,8 +125,7 @@ def _passed(docs: DataFrame, id_col: str, text_col: str, carry: list[str], only_
         T.StructField("keep", T.LongType()), T.StructField("size", T.LongType()),
         T.StructField("text", T.StringType())])
     arrow = to_arrow_schema(out)
-    return materialise(ordered.select("row", "id", "norm", "sha")
-                       .mapInArrow(lambda it: _compare(it, arrow, only_first), out), "content-sort")
+    return materialise(ordered.mapInArrow(lambda it: _compare(it, arrow, only_first), out), "content-sort")
 
 
 def _continued(passed: DataFrame) -> DataFrame:

@@ -156,17 +156,17 @@ def thresholds(bins: DataFrame) -> DataFrame:
         .otherwise(F.col(f"_a_{n}")).alias(n) for n in names])
 
 
-def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source") -> DataFrame:
-    """The ``keep`` columns of every row with its counts, ``base_failed`` and the verdict ``kept``.
+def _judged(docs: DataFrame, keep: list[str], text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """Counts, ``base_failed`` and ``kept`` per row; the ``keep`` columns as ``k0``, ``k1``, ...
 
-    Two small tables go through the shared folder: the counts per row (so that
-    texts are read once) and the limits (so that Spark knows their size when it
+    Two tables go through the shared folder: the counts per row (so that texts
+    are read once) and the limits (so that Spark knows their size when it
     chooses how to join them).
     """
-    metrics = base_metrics(docs.select(*[F.col(c).alias(f"k_{c}") for c in keep], F.col(lang_col).alias("g_lang"),
+    names = [f"k{i}" for i in range(len(keep))]
+    metrics = base_metrics(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col(lang_col).alias("g_lang"),
                                        F.col(source_col).alias("g_source"), F.col(text_col).alias("g_text")),
-                           [*[f"k_{c}" for c in keep], "g_lang", "g_source"], "g_text")
+                           [*names, "g_lang", "g_source"], "g_text")
     rows = materialise(with_ratios(metrics), "quality-rows")
     limits = materialise(thresholds(sketches(rows, "g_lang", "g_source")), "quality-limits")
     within = F.lit(True)
@@ -175,6 +175,18 @@ def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: st
     for m in TWO_SIDED:
         within = within & (F.col(m) >= F.col(f"{m}_min"))
     joined = rows.join(limits, F.col("g_lang").eqNullSafe(F.col("lang")) & F.col("g_source").eqNullSafe(F.col("source")), "left")
-    return joined.select(
-        *[F.col(f"k_{c}").alias(c) for c in keep], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", (~F.col("base_failed") & F.coalesce(within, F.lit(True))).alias("kept"))
+    return joined.select(*names, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", (~F.col("base_failed") & F.coalesce(within, F.lit(True))).alias("kept"))
+
+
+def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: str = "lang",
+          source_col: str = "source") -> DataFrame:
+    """The ``keep`` columns of every row with its counts, ``base_failed`` and the verdict ``kept``."""
+    judged = _judged(docs, keep, text_col, lang_col, source_col)
+    return judged.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *judged.columns[len(keep):])
+
+
+def good_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows that pass, with all columns of ``docs``; the rows travel with their counts, so nothing is joined back."""
+    kept = _judged(docs, docs.columns, text_col, lang_col, source_col).where("kept")
+    return kept.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
