@@ -3,7 +3,7 @@
     python -m retally run annual   --date 04/07/2024 --catalog exams --out /shared/reports
     python -m retally run semester --date 06/08/2024 --snapshot /shared/exam_snapshot --out ...
     python -m retally status annual --catalog exams
-    python -m retally snapshot --dump /shared/dump --format csv --out /shared/exam_snapshot --buckets 512
+    python -m retally snapshot --dump /shared/dump --format csv --out /shared/exam_snapshot --buckets 0
     python -m retally import-payments --folder /shared/drops --table payment
     python -m retally register --folder /shared/admissions --table document_details
 
@@ -133,7 +133,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--dump", help="dump folder with one dataset per table (read with explicit schemas)")
     p.add_argument("--format", default="parquet", help="format of the dump: parquet, csv, json, orc")
     p.add_argument("--out", required=True)
-    p.add_argument("--buckets", type=int, default=None, help="bucket result/application tables by id")
+    p.add_argument("--buckets", type=int, default=None, help="bucket result/application tables by id (0: sized from the data)")
     _add_source(p)
     p.set_defaults(fn=cmd_snapshot)
 

@@ -8,6 +8,7 @@ read is a lazy DataFrame (column pruning and filters reach the scan).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +69,32 @@ class ExamTables:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, folder: str) -> ExamTables:
-        """One parquet dataset per table under ``folder`` (a snapshot, see ``sources.snapshot``)."""
+        """One parquet dataset per table under ``folder`` (a snapshot, see ``sources.snapshot``).
+
+        Tables written in buckets are read as bucketed: joins on ``id`` need no shuffle.
+        """
         folder = folder.rstrip("/")
-        return cls(spark, {t: (lambda t=t: spark.read.parquet(f"{folder}/{t}")) for t in ALL_TABLES})
+        counts = {r["name"]: r["buckets"] for r in _bucket_counts(spark, folder)}
+        return cls(spark, {t: (lambda t=t: _bucketed(spark, f"{folder}/{t}", counts[t]) if t in counts
+                               else spark.read.parquet(f"{folder}/{t}")) for t in ALL_TABLES})
+
+
+# Dataset beside the tables of a snapshot: (name, buckets) of those written in buckets.
+BUCKET_COUNTS = "bucket_counts"
+
+
+def _bucket_counts(spark: SparkSession, folder: str) -> list:
+    """At most one row per wide table; none for a folder without the dataset."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{BUCKET_COUNTS}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return []
+    return spark.read.schema("name string, buckets int").parquet(f"{folder}/{BUCKET_COUNTS}").collect()
+
+
+def _bucketed(spark: SparkSession, path: str, buckets: int) -> DataFrame:
+    """The files of a bucketed table as a catalog table of this session that knows its buckets."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    name = f"retally_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (id) SORTED BY (id) INTO {buckets} BUCKETS "
+              f"LOCATION '{path}'")
+    return spark.table(name)

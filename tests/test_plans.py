@@ -132,3 +132,31 @@ def test_gates_of_all_reports_parse_the_payments_once(spark, tmp_path):
             assert not [ln for ln in _scan_lines(_plan(done.report)) + _scan_lines(_plan(done.mismatch)) if "notes" in ln]
             assert done.gates.count() > 0
     assert captured_forms(snap) is forms
+
+
+def test_a_bucketed_snapshot_is_known_as_bucketed_in_a_later_session(spark, tmp_path):
+    """Read back by folder, the result side of the report join is not exchanged."""
+    from retally.sources.tables import ExamTables
+
+    names = ["result_annual", "result_annual_retotaling", "annual_scrutiny_report"]
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+    write_snapshot(exam_tables_from_tpch(spark, SF), str(tmp_path / "snap"), names=names, buckets=8)
+    again = ExamTables.from_parquet(spark, str(tmp_path / "snap"))
+    _no_broadcast(spark)
+    try:
+        df = scrutiny_report(again, REPORTS["annual_rt"])
+        lines = _plan(df).splitlines()
+        at = next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "sub1p1code" in ln and "retotaling_status" not in ln)
+        above, depth = [], _depth(lines[at])
+        for ln in lines[:at][::-1]:
+            if _depth(ln) < depth:
+                above.append(ln)
+                depth = _depth(ln)
+        join = next(i for i, ln in enumerate(above) if "SortMergeJoin" in ln)
+        assert not any("Exchange" in ln for ln in above[:join]), above[:join]
+        assert df.count() > 0
+    finally:
+        _restore(spark)
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
