@@ -42,6 +42,13 @@ from pyspark.sql import functions as F
 from retally.llm.shared import materialise
 
 ATTEMPTS = 100
+SLICE_ROWS = 256      # texts taken out of an Arrow batch at once
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
 
 # Titles and their gender (f, m, n unknown).
 TITLES = {
@@ -296,7 +303,7 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out = [(h, a, b, kind, c, text[a:b])
                    for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for a, b, kind, c in detect(text)]
             columns = list(zip(*out)) if out else [[]] * 6
@@ -316,7 +323,7 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts, counts, places = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 out, at, spans, length = [], 0, [], 0
