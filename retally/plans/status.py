@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retally.functions.dates import deadline, parse_day
+from retally.functions.dates import deadline
 from retally.specs import GROUP_COLUMNS
 
 
@@ -38,8 +38,3 @@ def published_groups(results: DataFrame, pub_result: str | None = None) -> DataF
     if pub_result is not None:
         return results.where(F.col("pub_result") == F.lit(pub_result)).select(*GROUP_COLUMNS).distinct()
     return results.select("pub_result", *GROUP_COLUMNS).distinct()
-
-
-def publish_dates(results: DataFrame, strict: bool = True) -> DataFrame:
-    """Distinct publish dates with their parsed form (helper for callers that pick a date)."""
-    return results.select("pub_result").distinct().withColumn("published_on", parse_day("pub_result", strict))

@@ -7,7 +7,6 @@ cluster the deployment supplies the session and its configuration.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -22,7 +21,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Partition sizing: scans split at 256 MiB, shuffle partitions coalesced
     # by AQE towards 128 MiB, skewed join partitions split beyond 5x median.
@@ -99,11 +97,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unused location under the shared folder."""
     return f"{shared_dir(spark)}/retally/{purpose}/{uuid.uuid4().hex}"
-
-
-def strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def local_path_exists(path: str) -> bool:
-    return os.path.exists(strip_scheme(path))

@@ -55,8 +55,7 @@ def _header(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
     customer = _read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    # nation has 25 rows by definition of the schema: a bounded broadcast.
-    nation = F.broadcast(_read(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
+    nation = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     year = F.year("o_orderdate")
     semyr = (year % 3 + 1).cast("string")
     course = F.col("o_orderpriority")
