@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 12 * 1024 * 1024     # text gathered at once
-REMEMBER = 200_000                # word stems kept between slices, per Python worker
+REMEMBER = 300_000                # word stems kept between slices, per Python worker
 PROBE = ("hello", "straße", "élève", "ñandú", "слово", "überzeugung", "a")
 PLAIN_END = ".,;:!?#$%&*|"       # a run of these after letters is a token run of its own
 
