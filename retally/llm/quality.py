@@ -147,10 +147,10 @@ def thresholds(bins: DataFrame) -> DataFrame:
     own = limits_of(bins, ["lang", "source"])
     by_lang = limits_of(bins, ["lang"]).select(
         F.col("lang").alias("_lang"), F.col("docs").alias("_l_docs"), *[F.col(n).alias(f"_l_{n}") for n in names])
-    # one row, joined on a computed zero: an equality join, which Spark runs as a broadcast of that row
-    overall = limits_of(bins.select((F.col("n") * 0).alias("_all"), "ratio", "bin", "n"), ["_all"]).select(
+    # one row, joined on a computed zero (n mod 1, which Catalyst does not fold): an equality join, not a nested loop
+    overall = limits_of(bins.select(F.pmod(F.col("n"), F.lit(1)).alias("_all"), "ratio", "bin", "n"), ["_all"]).select(
         F.col("_all"), *[F.col(n).alias(f"_a_{n}") for n in names])
-    joined = (own.withColumn("_zero", F.col("docs") * 0).join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")))
+    joined = (own.withColumn("_zero", F.pmod(F.col("docs"), F.lit(1))).join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")))
               .join(overall, F.col("_zero") == F.col("_all")))
     return joined.select("lang", "source", *[
         F.when(F.col("docs") >= MIN_GROUP, F.col(n)).when(F.col("_l_docs") >= MIN_GROUP, F.col(f"_l_{n}"))
