@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -84,6 +85,18 @@ PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in (
     ("phone", r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,5}\)[ .-]?|\d{2,5}[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3}(?![\w-]|\.\d)"),
     ("phone", r"(?<![\w+.-])\+\d{8,15}(?!\w)"),
 )]
+# Cards and IBANs beside other digits or capitals are looked for in the whole run, at its group borders.
+_DIGIT_RUN = re.compile(r"(?<![\d+.-])\d(?:[ -]?\d){12,}(?![\d-]|\.\d)")
+_IBAN_RUN = re.compile(r"(?=(\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}))")
+# Prefixes and lengths of the card issuers (Visa, Mastercard, Amex, Diners, JCB, Maestro and others of 5 and 6, Mir, Troy).
+_ISSUED = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|3(?:0[0-5]|[689]\d)\d{11,16}|35\d{14,17}"
+                     r"|(?:5[06-8]|6\d|8[12])\d{11,17}|220[0-4]\d{12,15}|9792\d{12}")
+# Length of an IBAN by country.
+IBAN_LENGTHS = {word[:2]: int(word[2:]) for word in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 "
+    "MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 "
+    "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 _TITLED = re.compile(rf"\b({'|'.join(map(re.escape, TITLES))})\.?[ \t]+({_NAME}(?:[ \t]+{_NAME}){{0,2}})")
 _KNOWN = re.compile(rf"\b({'|'.join(GENDER)})[ \t]+({_NAME})\b")
 # Cheap signs that a text can hold values of the patterns, or a name.
@@ -127,6 +140,56 @@ def _canonical(kind: str, surface: str) -> str | None:
 Mention = tuple[int, int, str, str]       # start, stop, kind, canonical value
 
 
+def _card_stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Valid cards that begin and end at group borders of a run of digits, without overlaps.
+
+    A group of 13 to 19 digits needs the check digit alone, several groups also
+    an issuer's prefix and length: of all stretches of a table of numbers a
+    tenth pass the check digit.
+    """
+    for run in _DIGIT_RUN.finditer(text):
+        groups = [(run.start() + m.start(), run.start() + m.end()) for m in re.finditer(r"\d+", run.group())]
+        found = []
+        for i, (a, _) in enumerate(groups):
+            digits = ""
+            for j in range(i, len(groups)):
+                digits += text[slice(*groups[j])]
+                if len(digits) > 19:
+                    break
+                issued = len(digits) >= 13 and _ISSUED.fullmatch(digits) is not None
+                if len(digits) >= 13 and (issued or i == j) and _canonical("card", digits):
+                    found.append((not issued, i != j, -len(digits), a, groups[j][1]))
+        yield from _apart([(a, b) for *_, a, b in sorted(found)])
+
+
+def _iban_stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Valid IBANs at group borders: of their country's length, or the longest that passes where no length is known."""
+    for run in _IBAN_RUN.finditer(text):
+        a, ends = run.start(), []
+        plain = 0
+        for b, c in enumerate(run.group(1), a + 1):
+            plain += c != " "
+            if plain >= 15 and c != " " and not re.match(r"\w", text[b:b + 1]):
+                ends.append((plain, b))
+        length = IBAN_LENGTHS.get(text[a:a + 2])
+        for plain, b in reversed(ends):
+            if length in (None, plain) and _canonical("iban", text[a:b]):
+                yield a, b
+                break
+
+
+def _apart(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that overlap none before them in the list."""
+    starts: list[int] = []
+    kept: list[tuple[int, int]] = []
+    for a, b in spans:
+        k = bisect_left(starts, b)
+        if not k or kept[k - 1][1] <= a:
+            starts.insert(k, a)
+            kept.insert(k, (a, b))
+    return kept
+
+
 def _names(text: str) -> Iterator[Mention]:
     def parts(words: str, offset: int, gender: str) -> Iterator[Mention]:
         found = list(re.finditer(_NAME, words))
@@ -161,6 +224,9 @@ def detect(text: str | None) -> list[Mention]:
             canonical = _canonical(kind, m.group(group))
             if canonical is not None:
                 found.append((m.start(group), m.end(group), rank, kind, canonical))
+        if kind in ("card", "iban"):
+            spans = _card_stretches(text) if kind == "card" else _iban_stretches(text)
+            found += [(a, b, rank - 0.5, kind, _canonical(kind, text[a:b])) for a, b in spans]      # before whole matches
     if any(m.group(1) in TITLES or m.group(1) in GENDER for m in _BEFORE_CAPITAL.finditer(text)) or any(t in text for t in _LOWER_TITLES):
         found += [(a, b, len(PATTERNS), kind, c) for a, b, kind, c in _names(text)]
     out = []

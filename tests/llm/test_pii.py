@@ -75,3 +75,17 @@ def test_empty_table_and_repeated_rows(spark):
     row = (1, PRIVATE[1][0], None, None, None)
     got = replace_pii(spark.createDataFrame([row, row, (None, PRIVATE[1][0], None, None, None)], SCHEMA), KEY).collect()
     assert len(got) == 3 and len({r.text for r in got}) == 1
+
+
+def test_cards_and_ibans_beside_other_digits_and_capitals():
+    iban, card = "DE89370400440532013000", "4111111111111111"
+    for text, kind, value in [
+        (f"IBAN {iban} BIC COBADEFFXXX", "iban", iban), ("GB82 WEST 1234 5698 7654 32 EUR 500", "iban", "GB82WEST12345698765432"),
+        (f"AB12 {iban} 2026", "iban", iban), ("NO9386011117947 ABC", "iban", "NO9386011117947"), (f"card {card} 12/27", "card", card),
+        (f"card {card} 123 cvv", "card", card), (f"exp 12 {card}", "card", card), (f"2026-12-01 {card} 737", "card", card),
+        ("12 4111 1111 1111 1111 737 99", "card", card), (f"{card}-123", "card", card), ("5 3782 822463 10005 12", "card", "378282246310005"),
+    ]:
+        assert [(k, c) for _, _, k, c in detect(text) if k in ("card", "iban")] == [(kind, value)], text
+    text = f"12 {card} 737 5555555555554444 12 {iban} EUR GB82 WEST 1234 5698 7654 32 BIC"
+    assert [c for _, _, k, c in detect(text) if k in ("card", "iban")] == [card, "5555555555554444", iban, "GB82WEST12345698765432"]
+    assert len([1 for *_, k, c in detect("x 4111 1111 1111 1112 12 DE89 3704 0044 0532 0130 01 EUR")  if k in ("card", "iban")]) == 0
