@@ -4,7 +4,9 @@
    payment cards (Luhn), IBANs (mod 97), social security numbers, IP
    addresses, credentials (password / token / key assignments, access key ids)
    and personal names (after a title, or a known given name before a
-   capitalised surname).  Only places and canonical values leave the pass.
+   capitalised surname).  Names and secrets found are looked up again in the
+   whole of their text, so a bare "Doe" goes as well.  Only places and
+   canonical values leave the pass.
 2. Every distinct (kind, canonical value) of the corpus gets a surrogate from a
    keyed hash (HMAC-SHA256): same kind, same character classes and
    punctuation, valid check digits, names of the same gender and script.  One
@@ -62,20 +64,33 @@ TITLES = {
 GIVEN = {
     "f": "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Emily Emma Olivia Sophie Julia Anna Maria Laura "
          "Claire Camille Chloé Marie Isabelle Petra Sabine Ursula Heike Monika Carmen Lucía Sofía Elena Isabel Ana Jane Alice "
+         "Agnieszka Małgorzata Katarzyna Zofia Tereza Kateřina Ayşe "
          "Анна Мария Елена Ольга Наталья Татьяна Ирина",
     "m": "James Robert John Michael David William Richard Joseph Thomas Charles Daniel Matthew Peter Paul Mark George Henry Jack "
          "Pierre Jean Jacques Louis Hans Klaus Jürgen Stefan Wolfgang Günter Carlos José Juan Luis Miguel Javier Alejandro Bob "
+         "Łukasz Paweł Michał Krzysztof Jiří Ondřej Mehmet "
          "Иван Сергей Алексей Дмитрий Андрей Михаил Николай",
 }
 GENDER = {name: g for g, names in GIVEN.items() for name in names.split()}
 
-_CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
+# Letters of the Latin script (with Extended-A, -B and Additional) and of the Cyrillic one.
+_LETTERS = [chr(c) for r in (range(0xC0, 0x250), range(0x400, 0x500), range(0x1E00, 0x1F00)) for c in r]
+_UP = "A-Z" + "".join(c for c in _LETTERS if c.isupper())
+_LOW = "a-z" + "".join(c for c in _LETTERS if c.islower())
+_CAPITAL = rf"(?:[{_UP}]['’])?(?:[{_UP}][{_LOW}]+)+"
 _NAME = rf"{_CAPITAL}(?:-{_CAPITAL})?"
+_INITIALS = rf"(?:[{_UP}](?:\.[ \t]*|[ \t]+)){{0,3}}"
+# Parts of patterns: a secret's characters, and what stands between a call word and a bare number.
+_SECRET = r"[\w+/!@#$%^*?~-]"
+_CALL = (r"(?i:\b(?:call|phone|tel|telephone|mobile|cell|fax|dial|ring|text|sms|whatsapp|contact|telefon|handy|mobil|rufnummer|ruf|fon"
+         r"|téléphone|tél|portable|appelez|teléfono|móvil|llame|llamar|телефон|тел|звоните|позвоните|моб)\b"
+         r"(?:[^\w\n+]{1,3}(?:me|us|him|her|them|at|on|is|no|nr|number|now|today|the|my|our|us|unter|au|le|al|по)\b){0,3}[^\w\n+]{1,3})")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # Kinds in order of precedence; group "v" is the value where the match holds more.
 PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in (
     ("email", r"(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}(?![\w@-])"),
-    ("secret", r"(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key))[\"']?\s*[=:]\s*[\"']?(?P<v>[A-Za-z0-9+/_-]{8,}={0,2})"),
+    ("secret", r"(?:\b|_|(?<=[a-z0-9])(?=[A-Z]))(?i:password|passwd|passphrase|pwd|token|secret|(?:api|access|secret|private)[_-]?key)[\"']?\s*[=:]\s*[\"']?"
+               rf"(?P<v>(?=(?:[^\sA-Za-z0-9]*[A-Za-z0-9]){{4}})(?=(?:{_SECRET}|&(?!\w+=)|\.(?={_SECRET})){{8}})(?:{_SECRET}|&(?!\w+=)|\.(?={_SECRET}))+={{0,2}})"),
     ("access_key", r"\b(?:AKIA|ASIA)(?P<v>[0-9A-Z]{16})\b"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b"),
     ("card", r"(?<![\d+.-])\d(?:[ -]?\d){12,18}(?![\d-]|\.\d)"),
@@ -84,6 +99,9 @@ PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in (
     ("ipv4", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"),
     ("phone", r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,5}\)[ .-]?|\d{2,5}[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3}(?![\w-]|\.\d)"),
     ("phone", r"(?<![\w+.-])\+\d{8,15}(?!\w)"),
+    ("phone", r"(?<![\w+.-])\+\d{1,3}(?:[ .-]?\(\d{1,5}\))?(?:[ ./-]?\d)+(?![\w-]|\.\d)"),
+    ("phone", r"(?<![\w+./-])\(?0\d{1,5}\)?(?:[ -]|[ ]?/[ ]?)\d{5,9}(?![\w-]|\.\d)"),
+    ("phone", rf"{_CALL}(?P<v>\d{{9,12}})(?![\w-]|\.\d)"),
 )]
 # Cards and IBANs beside other digits or capitals are looked for in the whole run, at its group borders.
 _DIGIT_RUN = re.compile(r"(?<![\d+.-])\d(?:[ -]?\d){12,}(?![\d-]|\.\d)")
@@ -97,11 +115,16 @@ IBAN_LENGTHS = {word[:2]: int(word[2:]) for word in (
     "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 "
     "MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 "
     "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
-_TITLED = re.compile(rf"\b({'|'.join(map(re.escape, TITLES))})\.?[ \t]+({_NAME}(?:[ \t]+{_NAME}){{0,2}})")
-_KNOWN = re.compile(rf"\b({'|'.join(GENDER)})[ \t]+({_NAME})\b")
+# Digits of an international number by country code, where the plan has one length.
+PHONE_LENGTHS = {"1": 11, "7": 11, "33": 11, "34": 11, "48": 11}
+_TITLED = re.compile(rf"\b({'|'.join(map(re.escape, TITLES))})\.?[ \t]+({_INITIALS}{_NAME}(?:[ \t]+{_INITIALS}{_NAME}){{0,2}})")
+_KNOWN = re.compile(rf"\b({'|'.join(GENDER)})[ \t]+{_INITIALS}({_NAME})\b")
+# A word that can be a name found elsewhere in the text: as written there, or in capitals.
+_BARE = re.compile(rf"(?<!\w)(?:{_NAME}|(?:[{_UP}]['’])?[{_UP}]{{2,}}(?:-[{_UP}]{{2,}})?)(?!\w)")
+_BARE_PART = re.compile(rf"{_CAPITAL}|(?:[{_UP}]['’])?[{_UP}]{{2,}}")
 # Cheap signs that a text can hold values of the patterns, or a name.
 _DIGIT = re.compile(r"[\d@]")
-_BEFORE_CAPITAL = re.compile(r"([A-ZÀ-ÖØ-ÞА-ЯЁ][\w-]*)\.?(?=[ \t]+[A-ZÀ-ÖØ-ÞА-ЯЁ])")
+_BEFORE_CAPITAL = re.compile(rf"([{_UP}][\w-]*)\.?(?=[ \t]+[{_UP}])")
 _LOWER_TITLES = tuple(t for t in TITLES if t[0].islower())
 
 
@@ -178,6 +201,20 @@ def _iban_stretches(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
+def _phone_end(text: str, a: int, b: int) -> int:
+    """Where an international number ends whose match took in groups beside it: at its plan's length, else at 15 digits."""
+    if text[a] != "+":
+        return b
+    ends, plain = [], 0
+    for at in range(a + 1, b):
+        if text[at].isdigit():
+            plain += 1
+            if at + 1 == b or not text[at + 1].isdigit():
+                ends.append((plain, at + 1))
+    length = next((n for code, n in PHONE_LENGTHS.items() if text.startswith(code, a + 1)), None)
+    return next((e for n, e in ends if n == length), max((e for n, e in ends if n <= 15), default=b))
+
+
 def _apart(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The spans that overlap none before them in the list."""
     starts: list[int] = []
@@ -190,6 +227,10 @@ def _apart(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
+def _plain(name: str) -> str:
+    return name.lower().replace("’", "'")
+
+
 def _names(text: str) -> Iterator[Mention]:
     def parts(words: str, offset: int, gender: str) -> Iterator[Mention]:
         found = list(re.finditer(_NAME, words))
@@ -201,7 +242,7 @@ def _names(text: str) -> Iterator[Mention]:
                 kind = f"given:{GENDER.get(word, gender)}:{script}"
             else:
                 kind = f"surname:{gender if script == 'cyrillic' else 'n'}:{script}"
-            yield offset + m.start(), offset + m.end(), kind, word.lower()
+            yield offset + m.start(), offset + m.end(), kind, _plain(word)
 
     for m in _TITLED.finditer(text):
         yield from parts(m.group(2), m.start(2), TITLES[m.group(1)])
@@ -209,6 +250,24 @@ def _names(text: str) -> Iterator[Mention]:
         yield from parts(m.group(), m.start(), GENDER[m.group(1)])
 
 
+def _again(text: str, found: list[tuple]) -> Iterator[Mention]:
+    """Other places of the names and secrets found in a text: bare given names and surnames, values without their keyword."""
+    names: dict[str, str] = {}
+    secrets: set[str] = set()
+    for *_, kind, canonical in sorted(found, key=lambda f: (f[0], f[2])):
+        if ":" in kind:
+            names.setdefault(canonical, kind)
+        elif kind == "secret" and any(c.isdigit() for c in canonical):
+            secrets.add(canonical)
+    if names:
+        for m in _BARE.finditer(text):
+            whole = [m] if _plain(m.group()) in names else _BARE_PART.finditer(text, m.start(), m.end())
+            yield from ((p.start(), p.end(), names[_plain(p.group())], _plain(p.group())) for p in whole if _plain(p.group()) in names)
+    for value in secrets:
+        for m in re.finditer(rf"(?<!\w){re.escape(value)}(?!\w)", text):
+            yield m.start(), m.end(), "secret", value
+
+
 def detect(text: str | None) -> list[Mention]:
     """All mentions of a text, without overlaps, in order of place."""
     if not text:
@@ -221,21 +280,23 @@ def detect(text: str | None) -> list[Mention]:
             continue
         for m in pattern.finditer(text):
             group = "v" if "v" in pattern.groupindex else 0
-            canonical = _canonical(kind, m.group(group))
+            a, b = m.span(group)
+            if kind == "phone":
+                b = _phone_end(text, a, b)
+            canonical = _canonical(kind, text[a:b])
             if canonical is not None:
-                found.append((m.start(group), m.end(group), rank, kind, canonical))
+                found.append((a, b, rank, kind, canonical))
         if kind in ("card", "iban"):
             spans = _card_stretches(text) if kind == "card" else _iban_stretches(text)
             found += [(a, b, rank - 0.5, kind, _canonical(kind, text[a:b])) for a, b in spans]      # before whole matches
     if any(m.group(1) in TITLES or m.group(1) in GENDER for m in _BEFORE_CAPITAL.finditer(text)) or any(t in text for t in _LOWER_TITLES):
         found += [(a, b, len(PATTERNS), kind, c) for a, b, kind, c in _names(text)]
-    out = []
-    taken: list[tuple[int, int]] = []
+    if found:
+        found += [(a, b, len(PATTERNS) + 1, kind, c) for a, b, kind, c in _again(text, found)]
+    named = {}
     for a, b, _, kind, canonical in sorted(found, key=lambda f: (f[2], f[0], -f[1])):
-        if all(b <= x or a >= y for x, y in taken):
-            taken.append((a, b))
-            out.append((a, b, kind, canonical))
-    return sorted(out)
+        named.setdefault((a, b), (a, b, kind, canonical))
+    return [named[span] for span in _apart(list(named))]
 
 
 class _Stream:
@@ -321,6 +382,8 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
         return private + ".".join(str(1 + draw.below(222 if k == 0 and not kept else 254)) for k in range(4 - kept))
     if kind == "ipv6":
         return ":".join(["2001", "db8", *(f"{draw.below(65536):x}" for _ in range(6))])
+    if kind == "secret":
+        return _shape(value, draw) + "".join(draw.pick(DIGITS) for _ in range(attempt // 10))      # longer when few characters can change
     return _shape(value, draw)
 
 

@@ -89,3 +89,35 @@ def test_cards_and_ibans_beside_other_digits_and_capitals():
     text = f"12 {card} 737 5555555555554444 12 {iban} EUR GB82 WEST 1234 5698 7654 32 BIC"
     assert [c for _, _, k, c in detect(text) if k in ("card", "iban")] == [card, "5555555555554444", iban, "GB82WEST12345698765432"]
     assert len([1 for *_, k, c in detect("x 4111 1111 1111 1112 12 DE89 3704 0044 0532 0130 01 EUR")  if k in ("card", "iban")]) == 0
+
+
+WIDER = {
+    1: ("Mrs. Jane Doe left. Doe said that Jane and DOE's mail were gone; doe and Janet stay.", ["Doe", "Jane ", "DOE"], ["doe", "Janet"]),
+    2: ("Mr. O'Brien, Mrs. J. Smith, Mr. McDonald, Łukasz Żółkiewski and Dr. Şimşek. Later O’Brien, McDonald and Smith.",
+        ["Brien", "Smith", "Donald", "Łukasz", "kiewski", "Şimşek"], ["J."]),
+    3: ("db_password=Tr0ub4dor3x AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMIK7MDENG client_secret: q9Zk2LmP0sTe apiToken='x!y@9z8w7' "
+        "password=p@ss!w0rd99 and p@ss!w0rd99 again", ["Tr0ub4dor3x", "wJalrXUtnFEMIK7MDENG", "q9Zk2LmP0sTe", "x!y@9z8w7", "p@ss!w0rd99"], ["again"]),
+    4: ("Ring +49 30 1234567, 030 12345678, +33 6 12 34 56 78 or call 9885552485; +44 (0)20 7946 0958 12 and +1 988 555 2485 12.",
+        ["1234567", "12345678", "6 12 34 56 78", "9885552485", "7946 0958", "555 2485"], ["12."]),
+    5: ("password=******** token: -------- 9885552485 rows of 0301234567 and +5", [], ["********", "9885552485", "0301234567"]),
+}
+
+
+def test_wider_names_secrets_and_phones(spark):
+    rows = [(k, v[0], None, None, None) for k, v in WIDER.items()]
+    got = {r.doc_id: r.text for r in replace_pii(spark.createDataFrame(rows, SCHEMA), KEY).collect()}
+    for k, (text, gone, kept) in WIDER.items():
+        assert not [v for v in gone if v in got[k]] and all(v in got[k] for v in kept), got[k]
+    # the same name has the same surrogate wherever it stands
+    jane, doe, again, first, caps = re.fullmatch(r"Mrs. (\w+) (\w+) left. (\w+) said that (\w+) and (\w+)'s mail .*", got[1]).groups()
+    assert jane == first and doe == again and caps == doe.upper()
+    titled = re.match(r"Mr. (\w+), Mrs. J. (\w+), Mr. (\w+), ", got[2]).groups()
+    assert re.search(r"Later (\w+), (\w+) and (\w+)\.", got[2]).groups() == (titled[0], titled[2], titled[1])
+    secret = re.search(r" password=(\S+) and (\S+) again", got[3]).groups()
+    assert secret[0] == secret[1]
+    assert got[5] == WIDER[5][0]
+
+
+def test_long_digit_runs_take_no_time():
+    found = detect("+1" + "1" * 5000 + "x +1" + " 1" * 5000 + "x 1" + "-1" * 5000 + "- password=" + "!" * 5000)
+    assert {k for _, _, k, _ in found} <= {"phone"}
