@@ -6,16 +6,17 @@ passed on).  A stage's decision takes effect in the rows it returns:
 
 1. ``quality_rules``: rows that the rules reject go;
 2. ``exact_dedup``: one row of each group of equal texts stays;
-3. ``simhash_near_dedup``: the document with the smallest id of each group
-   stays (3-word shingles, at most 3 bits apart);
+3. ``simhash_near_dedup``: one row of each group stays, the one with the
+   smallest id, null last, then the smallest hash (3-word shingles, at most 3
+   bits apart);
 4. ``source_mixing``: a row comes as often as the mix takes its document;
 5. ``packing``: pieces of the documents' token ids in sequences of at most
    2048 ids: ``doc_id``, ``start``, ``length``, ``ids``, ``doc_tokens``,
    ``sequence_id``, ``offset``.
 
 Where verdicts per row are joined back, it is by the id and a hash of the row, so
-a null or repeated id does no harm.  Repeated rows are judged alike; for near duplicates
-a document is its id, whatever rows share it.  Small verdict tables are written
+a null or repeated id does no harm.  Repeated rows are judged alike, but both
+dedup stages keep one of them.  Small verdict tables are written
 first, so Spark knows their size when it chooses between a broadcast and a sort
 merge join.  An empty table passes through all stages as an empty table.
 """
@@ -57,10 +58,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    losers = materialise(near_groups(docs, shingle=3, radius=3)
-                         .where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                         .select("doc_id").distinct(), "pipeline-near")
-    return docs.join(losers, docs["doc_id"].eqNullSafe(losers["doc_id"]), "left_anti")
+    rows = (near_groups(_keyed(docs), shingle=3, radius=3, row_key="row_hash").groupBy("doc_id", "row_hash")
+            .agg(F.first("first").alias("first"), F.count("*").alias("n_rows")).where("not first or n_rows > 1"))
+    gone = materialise(rows, "pipeline-near")
+    # Rows that repeat another in every column: all go with the losers, one of each comes back.
+    repeated = materialise(gone.where("first").select("doc_id", "row_hash"), "pipeline-near-repeated")
+    again = docs.join(repeated, _same_row(docs, repeated), "left_semi").dropDuplicates(COLUMNS)
+    return docs.join(gone, _same_row(docs, gone), "left_anti").unionByName(again)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ Defined results: a null or blank text has fingerprint zero and is linked like
 any other; repeated rows share their fingerprint and component; a null id can
 not name a component and takes part with the others' smallest id (null if it
 is alone); an empty table gives an empty result.  Only the named columns and
-those in ``carry`` are read.
+those in ``carry`` or ``row_key`` are read.
 """
 
 from __future__ import annotations
@@ -167,17 +167,28 @@ def similar_links(distinct_fps: DataFrame, radius: int = 3, entry: int = ENTRY)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                radius: int = 3) -> DataFrame:
-    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``."""
-    fps = materialise(fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")),
-                                   ["id"], "t", shingle), "simhash-fp")
-    classes = materialise(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
+                radius: int = 3, row_key: str | None = None) -> DataFrame:
+    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``.
+
+    With ``row_key``, a column that tells rows of one id apart, also that
+    column and ``first``: whether the row is its component's smallest by id
+    (null last) and row key.  Rows alike in both are first together.
+    """
+    key = [F.col(row_key).alias("row_key")] if row_key else []
+    fps = materialise(fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"), *key),
+                                   ["id", "row_key"] if row_key else ["id"], "t", shingle), "simhash-fp")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key") if row_key else F.col("id")
+    classes = materialise(fps.groupBy("fp").agg(F.min(order).alias("least")), "simhash-classes")
     links = materialise(similar_links(classes.select("fp"), radius).distinct(), "simhash-links")
     linked = materialise(components(links), "simhash-components")
     named = linked.join(classes.withColumnRenamed("fp", "node"), "node")
-    least = materialise(named.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-least")
-    by_fp = materialise(linked.join(least, "component").select(F.col("node").alias("fp"), "component_id")
+    least = materialise(named.groupBy("component").agg(F.min("least").alias("chosen")), "simhash-least")
+    by_fp = materialise(linked.join(least, "component").select(F.col("node").alias("fp"), "chosen")
                         .unionByName(classes.join(linked.select(F.col("node").alias("fp")), "fp", "left_anti")
-                                     .select("fp", F.col("least").alias("component_id"))), "simhash-groups")
+                                     .select("fp", F.col("least").alias("chosen"))), "simhash-groups")
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    if not row_key:
+        return fps.join(by_fp, "fp").select(F.col("id").alias(id_col), fingerprint, F.col("chosen").alias("component_id"))
     return fps.join(by_fp, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.col("row_key").alias(row_key), fingerprint, F.col("chosen.id").alias("component_id"),
+        (F.col("id").eqNullSafe(F.col("chosen.id")) & F.col("row_key").eqNullSafe(F.col("chosen.row_key"))).alias("first"))

@@ -12,7 +12,7 @@ from retally.llm.queries import ORACLES
 from retally.llm.shared import materialise
 from tests.llm.test_exact_dedup import slow as slow_exact
 from tests.llm.test_mixing import slow_targets
-from tests.llm.test_simhash import slow_groups
+from tests.llm.test_simhash import slow_fingerprint, slow_groups
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,3 +97,35 @@ def test_run_and_an_empty_table(spark, tmp_path):
     docs.where("false").write.parquet(f"{tmp_path}/documents.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
     assert cp.run(spark, SF).count() > 0
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    def near(word, n):
+        """``n`` different texts of one near group."""
+        base = " ".join(f"{word}{i}" for i in range(600))
+        texts, first = [base], slow_fingerprint(base)
+        for k in range(2000):
+            text = f"{base} {word}x{k}"
+            if bin(slow_fingerprint(text) ^ first).count("1") <= 1:
+                texts.append(text)
+            if len(texts) == n:
+                return texts
+        raise AssertionError("no near texts")
+
+    a, b, c, d, e = near("a", 2), near("b", 2), near("c", 2), near("d", 3), near("e", 2)
+    clean = [" ".join(f"{w}{i}" for i in range(300)) for w in ("p", "q", "r")]
+    rows = [(7, a[0]), (9, a[1]),                     # 7 leads this group ...
+            (3, b[0]), (7, b[1]),                     # ... and loses here
+            (5, c[0]), (5, c[1]),                     # near copies that share an id
+            (None, d[0]), (None, d[1]), (None, d[2]),       # near copies without ids
+            (None, e[0]), (4, e[1]),                  # a null id beside an id
+            (None, clean[0]), (None, clean[1]), (8, clean[2]), (8, clean[2])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in cp.simhash_near_dedup(spark, docs, SF).collect()]
+    assert len(got) == len(set(got))
+    assert {t for _, t in got if t in a + b + e} == {a[0], b[0], e[1]}
+    assert len([t for _, t in got if t in c]) == 1 and len([t for _, t in got if t in d]) == 1
+    assert {(i, t) for i, t in got if t in clean} == {(None, clean[0]), (None, clean[1]), (8, clean[2])}
+    texts = [t for _, t in rows]
+    groups = {c for _, _, c in slow_groups([(k, t) for k, t in enumerate(texts)])}
+    assert len(got) == len(groups)
