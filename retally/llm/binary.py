@@ -201,10 +201,19 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: Iterable[int] | None =
             .mapInArrow(run, "file string, doc_id long, file_start long, n_tokens long, ids binary"))
 
 
+def ids_before(totals: DataFrame) -> DataFrame:
+    """``totals(file, n)``, one row per file -> ``file`` and ``before``: the ids in all files of smaller part numbers.
+
+    Spark pads part numbers to five digits only, so they are compared as numbers.
+    """
+    part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    return totals.select("file", (F.sum("n").over(Window.orderBy(part)) - F.col("n")).alias("before"))
+
+
 def token_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> DataFrame:
     """Write the files, read them back: per document its place among all ids and the checksum of its ids.
 
-    File names follow the range partitions, so their order is the id order; the
+    Part numbers follow the range partitions, so their order is the id order; the
     ids before each file come from a window over one row per file.
     """
     spark = docs.sparkSession
@@ -212,7 +221,6 @@ def token_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     write_tokens(docs, path, id_col, text_col, end_id)
     read = materialise(read_tokens(spark, path).select("file", "doc_id", "file_start", "n_tokens", F.crc32("ids").alias("ids_crc32")),
                        "token-positions")
-    totals = read.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    before = ids_before(read.groupBy("file").agg(F.sum("n_tokens").alias("n")))
     return read.join(F.broadcast(before), "file").select(      # one row per file
         F.col("doc_id").alias(id_col), (F.col("before") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")

@@ -10,7 +10,7 @@ import zstandard
 from tokenizers import Tokenizer
 
 from retally.llm import binary, tokens
-from retally.llm.binary import FileBuilder, TokenFile, read_tokens, token_positions, write_tokens
+from retally.llm.binary import FileBuilder, TokenFile, ids_before, read_tokens, token_positions, write_tokens
 from retally.llm.packing import _grains, _tail, divide, pack, pack_documents, sequence_rows
 from retally.llm.shared import fresh_path
 
@@ -135,3 +135,10 @@ def test_selected_documents_and_empty_table(spark, plain):
     assert token_positions(spark.createDataFrame([], SCHEMA)).count() == 0
     row = (None, "hello", "", "", "", "")
     assert sorted(r.start for r in token_positions(spark.createDataFrame([row, row], SCHEMA)).collect()) == [0, 2]
+
+
+def test_files_are_ordered_by_part_number_not_by_name(spark):
+    parts = [0, 9, 10001, 99999, 100000, 100001, 1000000]
+    rows = [(f"part-{p:05d}-5e0d3f6c-0000-4000-8000-000000000000-c000.txt", 10 ** k) for k, p in enumerate(parts)]
+    got = {r.file: r.before for r in ids_before(spark.createDataFrame(rows[::-1], "file string, n long")).collect()}
+    assert [got[name] for name, _ in rows] == [sum(n for _, n in rows[:k]) for k in range(len(rows))]
