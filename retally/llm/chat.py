@@ -14,7 +14,10 @@ known about its inside; a turn's place is found by rendering:
 Long conversations: whole prefixes are rendered only every ``STEP`` turns.
 Between them the turns are rendered after the last ``CONTEXT`` turns alone, and
 accepted when their added parts put together are exactly what the whole
-prefixes differ by; else that stretch is rendered from whole prefixes.
+prefixes differ by; else that stretch is rendered from whole prefixes.  So past
+the first ``STEP`` turns a template that rewrites something more than
+``CONTEXT`` turns back and undoes it before the next whole prefix is not
+noticed; with ``step=1`` every prefix is rendered whole, and it is.
 
 ``InstTemplate`` is the template used here.  It marks turns with control
 strings and escapes these inside texts: a backslash is doubled, and a control
@@ -140,15 +143,18 @@ FORMATTED = ("conv_id long, text string, rewritten_at int, "
 
 
 def format_conversations(rows: DataFrame, template: Template | None = None, conv_col: str = "conv_id", turn_col: str = "turn",
-                         role_col: str = "role", text_col: str = "text", loss_role: str = "assistant") -> DataFrame:
+                         role_col: str = "role", text_col: str = "text", loss_role: str = "assistant",
+                         step: int = STEP) -> DataFrame:
     """One row per conversation: ``conv_id``, ``text``, ``rewritten_at`` (null when history stands) and ``spans``:
-    per turn its role, place, and for turns under the loss mask the place of the text itself."""
+    per turn its role, place, and for turns under the loss mask the place of the text itself.
+
+    ``step=1`` is for templates not known to look at a turn's last neighbours only."""
     render = template or InstTemplate()
     span = pa.list_(pa.struct([("role", pa.string()), ("start", pa.int64()), ("stop", pa.int64()),
                                ("text_start", pa.int64()), ("text_stop", pa.int64()), ("loss", pa.bool_())]))
 
     def done(conv, turns: list[Turn]) -> pa.RecordBatch:
-        text, spans, at = locate(render, turns, loss_role)
+        text, spans, at = locate(render, turns, loss_role, step)
         rows = None if spans is None else [
             {"role": role, "start": a, "stop": b, "text_start": c, "text_stop": d, "loss": role == loss_role}
             for (role, _), (a, b, c, d) in zip(turns, spans)]

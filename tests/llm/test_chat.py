@@ -69,3 +69,16 @@ def test_digests_and_edge_cases(spark):
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) == (
             len(turns), hashlib.sha256(joined.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(InstTemplate()(turns)))
     assert format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_step_one_sees_rewriting_that_is_undone_later(spark):
+    plain = InstTemplate()
+
+    def passing(turns):
+        return plain([("user", "changed"), *turns[1:]] if len(turns) == 40 else turns)
+
+    turns = [("user" if k % 2 == 0 else "assistant", f"text {k}") for k in range(64)]
+    rows = spark.createDataFrame([(1, k, *t) for k, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    assert format_conversations(rows, passing, step=1).first().rewritten_at == 39
+    whole = format_conversations(rows, step=1).first()
+    assert whole.rewritten_at is None and whole == format_conversations(rows).first()
