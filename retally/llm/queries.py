@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retally.llm.binary import token_positions
 from retally.llm.chat import formatted_digests
+from retally.llm.decontam import contamination
 from retally.llm.exact_dedup import exact_groups
 from retally.llm.mixing import mix
 from retally.llm.packing import pack_documents
@@ -72,6 +73,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_documents(spark, sf_dir), ["doc_id"])
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
+    return found.drop("items", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_binary": op2_token_binary,
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "op11_benchmark_decontamination": op11_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
@@ -212,4 +219,28 @@ use AS (
 SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(r1 <= h1 AND r2 <= h2 AND r3 <= h3 AND r4 <= h4 AND r4 >= l4, TRUE) AS kept
 FROM r LEFT JOIN use ON use.lang = coalesce(r.lang, '?') AND use.source = coalesce(r.source, '?')""",
+    "op11_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(words), 10) AS k, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS s
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+grams AS (
+  SELECT doc_id, k, i, array_to_string(words[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS i
+        FROM d, (SELECT DISTINCT k FROM win) WHERE len(words) >= k)),
+met AS (SELECT doc_id, i, g.k, item FROM grams g JOIN win ON win.s = g.s AND win.k = g.k),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM met)) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id""",
 }
