@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from retally.llm.binary import token_positions
 from retally.llm.chat import formatted_digests
 from retally.llm.decontam import contamination
+from retally.llm.divergence import source_divergence
 from retally.llm.exact_dedup import exact_groups
 from retally.llm.mixing import mix
 from retally.llm.packing import pack_documents
@@ -78,6 +79,10 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.drop("items", "spans")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_binary": op2_token_binary,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
     "op11_benchmark_decontamination": op11_benchmark_decontamination,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -243,4 +249,39 @@ named AS (
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id""",
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 30),
+sized AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+occ AS (
+  SELECT o.lang, source, o.term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM d) o
+  JOIN kept ON kept.lang = o.lang AND kept.term = o.term GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+tot AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN occ ON occ.lang = g.lang AND occ.source = g.source GROUP BY ALL),
+p AS (
+  SELECT tot.lang, tot.source, kept.term, coalesce(n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+  FROM tot JOIN sized ON sized.lang = tot.lang JOIN kept ON kept.lang = tot.lang
+  LEFT JOIN occ ON occ.lang = tot.lang AND occ.source = tot.source AND occ.term = kept.term),
+q AS (
+  SELECT o.lang, o.term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(n) + 5)) // (any_value(t.total) + 5 * any_value(v)) AS q
+  FROM occ o JOIN sized ON sized.lang = o.lang JOIN (SELECT lang, sum(total) AS total FROM tot GROUP BY lang) t ON t.lang = o.lang
+  GROUP BY o.lang, o.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT p1.lang, p1.source, p2.source AS item, sum(abs(p1.p - p2.p)) AS value
+    FROM p p1 JOIN p p2 ON p1.lang = p2.lang AND p1.term = p2.term AND p1.source <> p2.source GROUP BY ALL) x
+  ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (
+  SELECT p.lang, p.source, p.term AS item, p.p - q.q AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE n > 0 AND p.p > q.q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
