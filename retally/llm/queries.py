@@ -19,6 +19,7 @@ from retally.llm.quality import judge
 from retally.llm.shared import read_documents
 from retally.llm.simhash import near_groups
 from retally.llm.substring import repeated_words
+from retally.llm.variants import spelling_variants
 from retally.llm.warc import archived
 
 
@@ -83,6 +84,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(read_documents(spark, sf_dir))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_binary": op2_token_binary,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_benchmark_decontamination": op11_benchmark_decontamination,
     "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -284,4 +290,42 @@ ranked AS (
   UNION ALL
   SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+keyed AS (SELECT run, times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+summed AS (
+  SELECT run, times, 4294967295 - list_reduce(list_concat([4294967295], list_transform(range(1, length(x), 2), lambda i:
+      CAST((instr('0123456789ABCDEF', substr(x, i, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(x, i + 1, 1)) - 1 AS BIGINT))),
+    lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])) AS h
+  FROM keyed, crc),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM summed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place
+  FROM near JOIN words o ON o.word = near.other),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+    CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word AND place = 1),
+walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.at WHERE formed.form IS NOT NULL)
+SELECT formed.word, form, walk.at AS root, n, n_near, form_n
+FROM formed JOIN walk ON walk.word = formed.word JOIN formed last ON last.word = walk.at AND last.form IS NULL""",
 }
