@@ -326,6 +326,6 @@ formed AS (
 walk AS (
   SELECT word, word AS at FROM formed
   UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.at WHERE formed.form IS NOT NULL)
-SELECT formed.word, form, walk.at AS root, n, n_near, form_n
+SELECT formed.word, formed.form, walk.at AS root, formed.n, formed.n_near, formed.form_n
 FROM formed JOIN walk ON walk.word = formed.word JOIN formed last ON last.word = walk.at AND last.form IS NULL""",
 }
