@@ -142,13 +142,83 @@ SELECT split_part(file_name, ' ', 1) AS lable, CAST(split_part(file_name, ' ', 2
 FROM names WHERE split_part(file_name, ' ', 1) = 'admission_approval'"""
 
 LATEST_DROP = "SELECT * FROM orders"
+IMPORT_REPLACE = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders"
+DROP_LEDGER = with_exam("SELECT description, status, notes FROM payment")
+
+PAYMENT_REJECTS = with_exam(f"""
+SELECT description, notes, reason FROM (
+  SELECT description, notes, CASE
+    WHEN pay_for IS NULL AND NOT readable THEN 'notes unreadable'
+    WHEN pay_for IS NULL THEN 'no purpose'
+    WHEN pay_for NOT IN ({ALL_PURPOSES}) THEN NULL
+    WHEN course IS NULL THEN 'no course'
+    WHEN sem IS NULL THEN 'no semester'
+    WHEN description IS NULL THEN 'no form number'
+    WHEN TRY_CAST(description AS INTEGER) IS NULL THEN 'form number is no integer' END AS reason
+  FROM (SELECT description, notes, readable, doc->>'pay_for' AS pay_for, doc->>'course' AS course, doc->>'sem' AS sem
+        FROM (SELECT description, notes, coalesce(json_valid(notes), FALSE) AS readable, CASE WHEN json_valid(notes) THEN notes END AS doc
+              FROM payment WHERE status = 'captured') once) fields) reasons
+WHERE reason IS NOT NULL""")
+
+
+def _equality(key: str) -> str:
+    _, results, _, _, purpose, suffix, *_ = RULES[key]
+    paid = (f"SELECT CAST(p.description AS INTEGER) FROM {CAPTURED} p WHERE p.pay_for = '{purpose}' "
+            f"AND p.course = g.course AND p.sem = g.semyr_code || '{suffix}'")
+    accepted = f"SELECT x.scanno FROM ({_accepted(key)}) x WHERE x.subcode = g.subcode AND x.semyr_code = g.semyr_code"
+    return f"""SELECT '{purpose}' AS pay_for, course, subcode, semyr_code, paid_size, accepted_size,
+  paid_size = accepted_size AND in_both = paid_size AS lists_equal
+FROM (SELECT course, subcode, semyr_code FROM {results} GROUP BY ALL) g
+CROSS JOIN LATERAL (SELECT count(*) AS paid_size FROM (SELECT DISTINCT * FROM ({paid}) a) b) p
+CROSS JOIN LATERAL (SELECT count(*) AS accepted_size FROM (SELECT DISTINCT * FROM ({accepted}) a) b) q
+CROSS JOIN LATERAL (SELECT count(*) AS in_both FROM (({paid}) INTERSECT ({accepted})) b) r"""
+
+
+RECON_EQUAL = with_exam("\nUNION ALL\n".join(_equality(k) for k in RULES))
+
+# Columns of the nine tables, in order, for the checksums.
+RESULT_COLUMNS = ["id", "course", "subcode", "semyr", "semyr_code", "pub_result"]
+FORM_COLUMNS = ["id", "scanno", "ansidrno", "enrollment_no", "course", "semyr_code", "name", "fname", "payment_status", "centrename",
+                "centrecode", "subcode", "app_date", "retotaling_status"]
+
+
+def _paper_columns(slots: list[tuple[int, int]], *patterns: str) -> list[str]:
+    return [p.format(n=n, m=m) for n, m in slots for p in patterns]
+
+
+TABLE_COLUMNS = {
+    "result_annual": RESULT_COLUMNS + _paper_columns(ANNUAL, "sub{n}p{m}", "sub{n}p{m}code"),
+    "result": RESULT_COLUMNS + _paper_columns(SEMESTER, "sub{n}p{m}", "sub{n}p{m}code"),
+    **{t: FORM_COLUMNS + _paper_columns(ANNUAL, "sub{n}p{m}", "sub{n}p{m}code", "sub{n}p{m}_th")
+       for t in ("result_annual_retotaling", "result_annual_reval")},
+    **{t: FORM_COLUMNS + _paper_columns(SEMESTER, "sub{n}", "sub{n}_retotaling", "sub{n}p{m}_th") for t in ("result_retotaling", "result_reval")},
+    "annual_scrutiny_report": ["scanno", "scrutiny_type"], "scrutiny_report": ["scanno", "scrutiny_type"],
+    "payment": ["description", "status", "notes"],
+}
+
+
+def _summed(table: str, columns: list[str]) -> str:
+    text = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    return (f"SELECT '{table}' AS table_name, count(*) AS rows, "
+            f"CAST(coalesce(sum(CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS checksum FROM {table}")
+
+
+SNAPSHOT_TABLES = with_exam("SELECT fmt, summed.* FROM (VALUES ('csv'), ('parquet')) f(fmt), (\n"
+                            + "\nUNION ALL\n".join(_summed(t, c) for t, c in TABLE_COLUMNS.items()) + ") summed")
+
+PUBLISHED_DATED = with_exam("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, course, subcode, semyr_code FROM {t} WHERE pub_result = '01/01/1996' GROUP BY ALL" for t in ("result_annual", "result")))
 
 SNAPSHOT_LOAD = with_exam("SELECT * FROM result_annual")
 
 ORACLES: dict[str, str] = {
     "file_register": FILE_REGISTER,
     "latest_drop": LATEST_DROP,
+    "import_replace": IMPORT_REPLACE,
+    "drop_ledger": DROP_LEDGER,
     "snapshot_load": SNAPSHOT_LOAD,
+    "snapshot_tables": SNAPSHOT_TABLES,
+    "published_groups_dated": PUBLISHED_DATED,
     "report_export": _report_sql("annual_rt"),
     "staged_report": _report_sql("semester_rt"),
     "register_append": FILE_REGISTER,
@@ -165,6 +235,8 @@ ORACLES: dict[str, str] = {
     "recon_gate_semester_rt": with_exam(_gates("semester_rt")),
     "recon_gate_semester_rv": with_exam(_gates("semester_rv")),
     "recon_mismatch": RECON_MISMATCH,
+    "recon_equal": RECON_EQUAL,
+    "payment_rejects": PAYMENT_REJECTS,
     "scrutiny_annual_rt": _report_sql("annual_rt"),
     "scrutiny_annual_rv": _report_sql("annual_rv"),
     "scrutiny_semester_rt": _report_sql("semester_rt"),

@@ -12,13 +12,14 @@ purpose.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from retally.functions.casts import to_int
 from retally.functions.notes import NOTE_KEYS, note_fields
 from retally.operators.gate import gate_class, gate_passes
 from retally.operators.membership import is_in
+from retally.plans.rejects import check_rejects, watched
 from retally.sources.sinks import checkpointed
 from retally.sources.tables import ExamTables
 from retally.specs import APPLIED_STATUS, CAPTURED, GROUP_COLUMNS, PAID_STATUS, REPORTS, ReportSpec
@@ -50,13 +51,22 @@ def paid_ids(payment: DataFrame, *purposes: str, strict: bool = True) -> DataFra
     return paid.withColumn("paid_scanno", F.when(F.col("pay_for").isin(*(purposes or PURPOSES)), to_int("description", strict)))
 
 
-def captured_forms(tables: ExamTables) -> DataFrame:
+def captured_forms(tables: ExamTables, max_reject_share: float | None = None) -> DataFrame:
     """The captured payments of all four purposes, parsed once per set of exam tables.
 
     Written to the shared folder at first use; jobs that need the payments on
     several sides (gates, differences, gated runs) read the small parsed table.
+    Captured payments that fit no list are counted on the way
+    (``plans.rejects``); with ``max_reject_share`` a larger share fails the job.
     """
-    return tables.once("captured_forms", lambda: checkpointed(tables.spark, captured_payments(tables["payment"]), "captured"))
+    def build() -> DataFrame:
+        seen = Observation()
+        rows = watched(tables["payment"], seen).select("description", *NOTE_KEYS)
+        forms = checkpointed(tables.spark, captured_payments(rows), "captured")
+        check_rejects(seen, max_reject_share)
+        return forms
+
+    return tables.once("captured_forms", build)
 
 
 def paid_list(payment: DataFrame, purpose: str | None = None) -> DataFrame:
@@ -187,25 +197,20 @@ def mismatch(groups: DataFrame, applications: DataFrame, payment: DataFrame, spe
                     .alias("side")))
 
 
-def mismatch_for_purposes(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame],
-                          applications: dict[str, DataFrame], payment: DataFrame,
-                          strict: bool = True) -> DataFrame:
-    """``mismatch`` of several reports in one pass (same columns).
+def list_members(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame], applications: dict[str, DataFrame],
+                 payment: DataFrame, strict: bool = True) -> DataFrame:
+    """The distinct members of both lists of every group: pay_for, group columns, scanno, ``accepted`` (False: paid list).
 
-    Give the parsed payments (``captured_forms``): both sides read them.  Each payment's purpose names its layout and
-    semester suffix, so its group key is (layout, course, semyr_code) with the
-    suffix stripped (``sem = semyr_code || suffix`` exactly when ``sem`` ends in
-    the suffix and the rest equals ``semyr_code``).  Applications of all
-    purposes go through one semi join (``accepted_for_purposes``).  Groups of
-    each layout are joined once per side, and one full outer join keyed by
-    (purpose, group, form) yields both differences.
+    Give the parsed payments (``captured_forms``): both lists read them.  Each
+    payment's purpose names its layout and semester suffix, so its group key is
+    (layout, course, semyr_code) with the suffix stripped (``sem = semyr_code ||
+    suffix`` exactly when ``sem`` ends in the suffix and the rest equals
+    ``semyr_code``).  Applications of all purposes go through one semi join
+    (``accepted_for_purposes``).  Groups of each layout are joined once per list.
     """
     layout_of = F.create_map(*[x for s in specs for x in (F.lit(s.purpose), F.lit(s.layout))])
     suffix_of = F.create_map(*[x for s in specs for x in (F.lit(s.purpose), F.lit(s.sem_suffix))])
-    groups = None
-    for layout, g in groups_by_layout.items():
-        part = g.select(F.lit(layout).alias("_layout"), *GROUP_COLUMNS).distinct()
-        groups = part if groups is None else groups.unionByName(part)
+    groups = _all_groups(groups_by_layout)
 
     pay = paid_ids(payment, *[s.purpose for s in specs], strict=strict)
     suffix = suffix_of[F.col("pay_for")]
@@ -217,20 +222,78 @@ def mismatch_for_purposes(specs: list[ReportSpec], groups_by_layout: dict[str, D
         F.when(sem.endswith(suffix), F.expr("substring(sem, 1, length(sem) - 1)")).alias("_p_semyr"),
         F.col("paid_scanno").alias("scanno"),
     )
-    paid_set = (groups.join(pay, (F.col("_layout") == F.col("_p_layout")) & (F.col("course") == F.col("_p_course"))
-                            & (F.col("semyr_code") == F.col("_p_semyr")))
-                .select("pay_for", *GROUP_COLUMNS, "scanno").distinct()
-                .withColumn("_paid", F.lit(True)))
+    paid = (groups.join(pay, (F.col("_layout") == F.col("_p_layout")) & (F.col("course") == F.col("_p_course"))
+                        & (F.col("semyr_code") == F.col("_p_semyr")))
+            .select("pay_for", *GROUP_COLUMNS, "scanno", F.lit(False).alias("accepted")))
 
     acc = accepted_for_purposes([(applications[s.key], s.purpose) for s in specs], payment, strict).select(
         "pay_for", layout_of[F.col("pay_for")].alias("_a_layout"),
         F.col("subcode").alias("_a_subcode"), F.col("semyr_code").alias("_a_semyr"), "scanno")
-    acc_set = (groups.join(acc, (F.col("_layout") == F.col("_a_layout")) & (F.col("subcode") == F.col("_a_subcode"))
-                           & (F.col("semyr_code") == F.col("_a_semyr")))
-               .select("pay_for", *GROUP_COLUMNS, "scanno").distinct()
-               .withColumn("_acc", F.lit(True)))
-    both = paid_set.join(acc_set, ["pay_for", *GROUP_COLUMNS, "scanno"], "full_outer")
-    return (both.where(F.col("_paid").isNull() | F.col("_acc").isNull())
-            .select("pay_for", *GROUP_COLUMNS, "scanno",
-                    F.when(F.col("_acc").isNull(), F.lit("paid_only")).otherwise(F.lit("accepted_only"))
-                    .alias("side")))
+    accepted = (groups.join(acc, (F.col("_layout") == F.col("_a_layout")) & (F.col("subcode") == F.col("_a_subcode"))
+                            & (F.col("semyr_code") == F.col("_a_semyr")))
+                .select("pay_for", *GROUP_COLUMNS, "scanno", F.lit(True).alias("accepted")))
+    return paid.unionByName(accepted).distinct()
+
+
+def _all_groups(groups_by_layout: dict[str, DataFrame]) -> DataFrame:
+    groups = None
+    for layout, g in groups_by_layout.items():
+        part = g.select(F.lit(layout).alias("_layout"), *GROUP_COLUMNS).distinct()
+        groups = part if groups is None else groups.unionByName(part)
+    return groups
+
+
+def compared(members: DataFrame) -> DataFrame:
+    """Both lists of every group as order-free digests, compared: one row per group that has a member.
+
+    A list's digest is its size and the sums of two independent hashes of its
+    members (a NULL entry is a member).  All three add up, so they are combined
+    on the map side: a hot group sends one row per task.  Lists of one size whose
+    sums agree are equal up to an accident of 2**-128.
+    """
+    def digest(side: Column, name: str) -> list[Column]:
+        one, two = F.xxhash64("scanno"), F.xxhash64(F.lit(0x5BD1E995), "scanno")
+        return [F.count_if(side).alias(f"{name}_size"),
+                F.sum(F.when(side, one.cast("decimal(38,0)"))).alias(f"{name}_one"),
+                F.sum(F.when(side, two.cast("decimal(38,0)"))).alias(f"{name}_two")]
+
+    per_group = members.groupBy("pay_for", *GROUP_COLUMNS).agg(*digest(~F.col("accepted"), "paid"), *digest(F.col("accepted"), "accepted"))
+    equal = ((F.col("paid_size") == F.col("accepted_size")) & F.col("paid_one").eqNullSafe(F.col("accepted_one"))
+             & F.col("paid_two").eqNullSafe(F.col("accepted_two")))
+    return per_group.select("pay_for", *GROUP_COLUMNS, "paid_size", "accepted_size", equal.alias("lists_equal"))
+
+
+def list_equality(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame], applications: dict[str, DataFrame],
+                  payment: DataFrame, strict: bool = True) -> DataFrame:
+    """Per purpose and group: the sizes of both lists as sets and whether they are equal (two empty lists are)."""
+    found = compared(list_members(specs, groups_by_layout, applications, payment, strict))
+    purposes = F.explode(F.array(*[F.struct(F.lit(s.purpose).alias("pay_for"), F.lit(s.layout).alias("_of")) for s in specs]))
+    every = (_all_groups(groups_by_layout).select("*", purposes.alias("_p")).where(F.col("_p._of") == F.col("_layout"))
+             .select(F.col("_p.pay_for").alias("pay_for"), *GROUP_COLUMNS))
+    same = None
+    for c in ("pay_for", *GROUP_COLUMNS):
+        test = every[c].eqNullSafe(found[c])
+        same = test if same is None else same & test
+    nothing = F.lit(0).cast("long")
+    return every.join(found, same, "left").select(
+        *[every[c] for c in ("pay_for", *GROUP_COLUMNS)], F.coalesce("paid_size", nothing).alias("paid_size"),
+        F.coalesce("accepted_size", nothing).alias("accepted_size"), F.coalesce("lists_equal", F.lit(True)).alias("lists_equal"))
+
+
+def mismatch_for_purposes(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame],
+                          applications: dict[str, DataFrame], payment: DataFrame,
+                          strict: bool = True) -> DataFrame:
+    """``mismatch`` of several reports in one pass (same columns).
+
+    The members of both lists are written once.  Their digests tell which
+    groups differ; only members of these groups meet by form number, so a group
+    whose lists agree costs no comparison.
+    """
+    spark = payment.sparkSession
+    key = ["pay_for", *GROUP_COLUMNS]
+    members = checkpointed(spark, list_members(specs, groups_by_layout, applications, payment, strict), "list-members")
+    unequal = checkpointed(spark, compared(members).where(~F.col("lists_equal")).select(*key), "unequal-groups")
+    differing = members.join(unequal, key, "left_semi")
+    sides = differing.groupBy(*key, "scanno").agg(F.count("*").alias("_n"), F.max("accepted").alias("_accepted"))
+    return sides.where(F.col("_n") == 1).select(
+        *key, "scanno", F.when(F.col("_accepted"), F.lit("accepted_only")).otherwise(F.lit("paid_only")).alias("side"))

@@ -16,16 +16,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from retally import schemas
-from retally.plans import ingest, reconcile, report, runs, status
+from retally.plans import ingest, reconcile, rejects, report, runs, status
 from retally.session import scratch_path
 from retally.sources.derived import exam_tables_from_tpch
+from retally.sources.files import CSV_WRITE
+from retally.sources.ledger import import_newest
 from retally.sources.sinks import append_table, checkpointed, export_report, read_export, stage_report
-from retally.sources.snapshot import write_snapshot
-from retally.sources.tables import ExamTables
+from retally.sources.snapshot import load_snapshot, table_checksums, write_dump, write_snapshot
+from retally.sources.tables import RESULT_TABLES, ExamTables
 from retally.specs import GROUP_COLUMNS, REPORTS
 
 Job = Callable[[SparkSession, ExamTables, str], DataFrame]
@@ -71,6 +75,72 @@ def _snapshot_load(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame
     return snap["result_annual"]
 
 
+# Columns of the typed drop that ``import_replace`` writes and reads.
+ORDER_DROP = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+                         StructField("o_orderstatus", StringType()), StructField("o_orderpriority", StringType())])
+
+
+def _csv_drop(rows: DataFrame, folder: str, name: str) -> None:
+    """A drop as a folder of CSV part files."""
+    rows.write.options(**CSV_WRITE).csv(f"{folder}/{name}")
+
+
+def _version_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The table's rows after its entry is gone: an external table leaves its files."""
+    rows, location = spark.table(table), spark.table(table).inputFiles()
+    kept = spark.read.schema(rows.schema).parquet(*location)
+    spark.sql(f"DROP TABLE {table}")
+    return kept
+
+
+def _import_replace(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """A drop of order rows is imported; the next one has text for order keys and fails; the rows stay."""
+    folder, ledger = scratch_path(spark, "drops"), scratch_path(spark, "ledger")
+    table, path = f"retally_import_{uuid.uuid4().hex}", scratch_path(spark, "imports")
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDER_DROP.names)
+    _csv_drop(rows, folder, "payments 1.csv")
+    import_newest(spark, folder, table, ledger, schema=ORDER_DROP, path=path)
+    spoilt = F.when(F.col("o_custkey") % 2 == 0, F.lit("n/a")).otherwise(F.col("o_orderkey").cast("string"))
+    _csv_drop(rows.withColumn("o_orderkey", spoilt), folder, "payments 2.csv")
+    try:
+        import_newest(spark, folder, table, ledger, schema=ORDER_DROP, path=path)
+    except PySparkException:
+        return _version_rows(spark, table)
+    raise AssertionError("a drop with text for order keys was imported")
+
+
+def _drop_ledger(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """The payments by the ledger: an older drop, then the newer one, then nothing new."""
+    folder, ledger = scratch_path(spark, "drops"), scratch_path(spark, "ledger")
+    table, path = f"retally_payment_{uuid.uuid4().hex}", scratch_path(spark, "imports")
+    payment = t["payment"].select(*schemas.PAYMENT.names)
+    _csv_drop(payment.withColumn("status", F.lit("attempted")), folder, "payments of May.csv")
+    import_newest(spark, folder, table, ledger, schema=schemas.PAYMENT, path=path)
+    _csv_drop(payment.select("notes", "description", F.lit("x").alias("email"), "status"), folder, "payments of April.csv")
+    import_newest(spark, folder, table, ledger, schema=schemas.PAYMENT, path=path)
+    if import_newest(spark, folder, table, ledger, schema=schemas.PAYMENT, path=path) is not None:
+        raise AssertionError("a drop was imported twice")
+    return _version_rows(spark, table).select(*schemas.PAYMENT.names)
+
+
+def _snapshot_tables(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """All nine tables dumped as CSV and as parquet, loaded and checked: rows and checksum of each stored table."""
+    out = []
+    for fmt in ("csv", "parquet"):
+        dump, target = scratch_path(spark, "dump"), scratch_path(spark, "snapshot")
+        write_dump(t, dump, fmt)
+        loaded = load_snapshot(spark, dump, target, fmt, by_date=fmt == "csv")
+        out.append(table_checksums(loaded).select(F.lit(fmt).alias("fmt"), "table_name", "rows", "checksum"))
+    return _union_all(out)
+
+
+def _published_dated(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """Groups of the run date from result tables that are filed by publish date."""
+    snap = write_snapshot(t, scratch_path(spark, "dated"), names=RESULT_TABLES, by_date=True)
+    return _union_all([status.published_groups(snap[n], RUN_DATE).select(F.lit(n).alias("table_name"), *GROUP_COLUMNS)
+                       for n in RESULT_TABLES])
+
+
 def _report_export(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     export_report(report.scrutiny_report(t, REPORTS["annual_rt"]), path)
@@ -81,10 +151,8 @@ def _staged_report(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame
     """The staging table after the reset: written for one report, then replaced by the next, by position."""
     table, path = f"retally_staging_{uuid.uuid4().hex}", scratch_path(spark, "staging")
     stage_report(report.scrutiny_report(t, REPORTS["semester_rv"]), table, path)
-    stage_report(report.scrutiny_report(t, REPORTS["semester_rt"]), table)
-    rows = spark.read.schema(schemas.REPORT).parquet(path)
-    spark.sql(f"DROP TABLE {table}")          # an external table: its files stay for the result
-    return rows
+    stage_report(report.scrutiny_report(t, REPORTS["semester_rt"]), table, path)
+    return _version_rows(spark, table)
 
 
 def _register_append(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
@@ -136,13 +204,20 @@ def _gate(key: str) -> Job:
     return run
 
 
-def _recon_mismatch(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
-    specs = list(REPORTS.values())
-    groups = {"annual": t["result_annual"], "semester": t["result"]}
-    # Written, so that Spark sees how small they are: the wide tables then meet them without a shuffle on group keys.
-    groups = {k: checkpointed(spark, g.select(*GROUP_COLUMNS).distinct(), "groups") for k, g in groups.items()}
-    return reconcile.mismatch_for_purposes(specs, groups, {s.key: t[s.application_table] for s in specs},
-                                           reconcile.captured_forms(t))
+def _lists(compare) -> Job:
+    """``compare`` over both lists of all four reports."""
+    def run(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+        specs = list(REPORTS.values())
+        groups = {"annual": t["result_annual"], "semester": t["result"]}
+        # Written, so that Spark sees how small they are: the wide tables then meet them without a shuffle on group keys.
+        groups = {k: checkpointed(spark, g.select(*GROUP_COLUMNS).distinct(), "groups") for k, g in groups.items()}
+        return compare(specs, groups, {s.key: t[s.application_table] for s in specs}, reconcile.captured_forms(t))
+
+    return run
+
+
+def _payment_rejects(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    return rejects.payment_rejects(t["payment"])
 
 
 def _report(key: str) -> Job:
@@ -164,7 +239,11 @@ def _gated(key: str, pub_result: str | None) -> Job:
 JOBS: dict[str, Job] = {
     "file_register": _file_register,
     "latest_drop": _latest_drop,
+    "import_replace": _import_replace,
+    "drop_ledger": _drop_ledger,
     "snapshot_load": _snapshot_load,
+    "snapshot_tables": _snapshot_tables,
+    "published_groups_dated": _published_dated,
     "report_export": _report_export,
     "staged_report": _staged_report,
     "register_append": _register_append,
@@ -180,7 +259,9 @@ JOBS: dict[str, Job] = {
     "recon_gate_annual_rv": _gate("annual_rv"),
     "recon_gate_semester_rt": _gate("semester_rt"),
     "recon_gate_semester_rv": _gate("semester_rv"),
-    "recon_mismatch": _recon_mismatch,
+    "recon_mismatch": _lists(reconcile.mismatch_for_purposes),
+    "recon_equal": _lists(reconcile.list_equality),
+    "payment_rejects": _payment_rejects,
     "scrutiny_annual_rt": _report("annual_rt"),
     "scrutiny_annual_rv": _report("annual_rv"),
     "scrutiny_semester_rt": _report("semester_rt"),

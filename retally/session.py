@@ -7,6 +7,7 @@ cluster the deployment supplies the session and its configuration.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -77,23 +78,52 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and read here.  Only when it is
-    unset (local tests) a private folder is created and registered, so that
-    checkpoints and intermediate tables always land where every executor sees
-    them.
+    Set by the deployment and read here.  Where it is unset, a folder in the
+    warehouse is registered, which executors reach as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
-                           "(intermediate tables and stream checkpoints are written there)")
-    local = tempfile.mkdtemp(prefix="retally-ckpt-")
-    sc.setCheckpointDir(local)
-    return (sc.getCheckpointDir() or local).rstrip("/")
+    sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/retally-scratch")
+    return sc.getCheckpointDir().rstrip("/")
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, unused location under the shared folder."""
-    return f"{shared_dir(spark)}/retally/{purpose}/{uuid.uuid4().hex}"
+    """A fresh, unused location under the shared folder; ``release_scratch`` removes what is written there."""
+    path = f"{shared_dir(spark)}/retally/{purpose}/{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def release_scratch(spark: SparkSession | None = None) -> None:
+    """Remove the intermediate tables of this process (of one session's, if given).
+
+    Call it when results are stored elsewhere: DataFrames of gates, gated runs
+    and parsed payments read these folders.  It also runs when the driver's
+    interpreter ends.
+    """
+    for item in list(_SCRATCH):
+        if spark is None or item[0] is spark:
+            _SCRATCH.remove(item)
+            try:
+                delete_path(*item)
+            except Exception:  # the session has ended; its deployment cleans the folder
+                continue
+
+
+atexit.register(release_scratch)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file through the Hadoop file system it lies in (nothing there: nothing happens)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -1,9 +1,9 @@
 """Writing tables and reports.
 
-* ``replace_table``  — overwrite a table with a finished DataFrame (the
-  payment import, the staging reset): readers see the old or the new table.
-* ``append_table``   — append rows (the file register).
-* ``stage_report``   — write a finished report to its staging table by column
+* ``replace_table``  — make a finished DataFrame the content of a table (the
+  payment import, the staging reset), see ``sources.versions``.
+* ``append_table``   — append rows, columns found by name (the file register).
+* ``stage_report``   — replace the staging table by a finished report, by column
   *position*, as ``INSERT INTO t SELECT ...`` does, after checking the arity.
 * ``export_report``  — the report file: CSV with a header, one folder per
   scrutiny type.
@@ -13,24 +13,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
 from retally import schemas
 from retally.session import scratch_path
 from retally.sources.files import CSV_READ, CSV_WRITE
+from retally.sources.versions import replace_table
 from retally.specs import REPORT_COLUMNS
 
 
-def replace_table(df: DataFrame, table: str, path: str | None = None, fmt: str = "parquet") -> None:
-    writer = df.write.mode("overwrite").format(fmt)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-
-
 def append_table(df: DataFrame, table: str, path: str | None = None, fmt: str = "parquet") -> None:
+    """Append rows to ``table``, made at first use.
+
+    Columns are found by name, whatever their order; a column that either side
+    lacks fails before anything is written.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df.write.insertInto(table)
+        names = spark.table(table).columns
+        if sorted(names) != sorted(df.columns):
+            raise ValueError(f"{table} has the columns {', '.join(names)}, the rows have {', '.join(df.columns)}")
+        df.select(*[F.col(f"`{n}`") for n in names]).write.insertInto(table)
         return
     writer = df.write.mode("append").format(fmt)
     if path:
@@ -38,15 +42,24 @@ def append_table(df: DataFrame, table: str, path: str | None = None, fmt: str =
     writer.saveAsTable(table)
 
 
-def stage_report(report: DataFrame, table: str, path: str | None = None) -> None:
-    """Replace the staging table with ``report`` (the reset and the insert in one write)."""
+def _is_text(field: StructField) -> bool:
+    return isinstance(field.dataType, StringType)
+
+
+def stage_report(report: DataFrame, table: str, path: str | None = None) -> str:
+    """Replace the staging table with ``report`` (the reset and the insert in one switch); returns its folder.
+
+    The report's columns go by position into the staged columns and are cast to
+    their types, as in ``INSERT INTO ... SELECT``.  A report that fails to be
+    written leaves the staging table as it was.
+    """
     if len(report.columns) != len(REPORT_COLUMNS):
         raise ValueError(f"a staged report has {len(REPORT_COLUMNS)} columns, got {len(report.columns)}")
-    spark = report.sparkSession
-    if spark.catalog.tableExists(table):
-        report.write.insertInto(table, overwrite=True)   # by position, like INSERT ... SELECT
-    else:
-        replace_table(report.toDF(*REPORT_COLUMNS), table, path)
+    wrong = [f"{c.name} ({f.name})" for c, f in zip(report.schema, schemas.REPORT) if _is_text(c) and not _is_text(f)]
+    if wrong:
+        raise TypeError(f"text can not go into the columns {', '.join(wrong)}")
+    placed = report.toDF(*REPORT_COLUMNS)
+    return replace_table(placed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.REPORT]), table, path)
 
 
 def export_report(report: DataFrame, path: str, fmt: str = "csv") -> None:

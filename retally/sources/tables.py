@@ -13,6 +13,9 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retally import schemas
+from retally.session import path_exists
+
 # Source table names.
 RESULT_TABLES = ("result_annual", "result")
 APPLICATION_TABLES = (
@@ -71,12 +74,25 @@ class ExamTables:
     def from_parquet(cls, spark: SparkSession, folder: str) -> ExamTables:
         """One parquet dataset per table under ``folder`` (a snapshot, see ``sources.snapshot``).
 
-        Tables written in buckets are read as bucketed: joins on ``id`` need no shuffle.
+        Tables written in buckets are read as bucketed: joins on ``id`` need no
+        shuffle.  Result tables filed by publish date are read so.
         """
         folder = folder.rstrip("/")
         counts = {r["name"]: r["buckets"] for r in _bucket_counts(spark, folder)}
-        return cls(spark, {t: (lambda t=t: _bucketed(spark, f"{folder}/{t}", counts[t]) if t in counts
-                               else spark.read.parquet(f"{folder}/{t}")) for t in ALL_TABLES})
+
+        def load(name: str) -> DataFrame:
+            path = f"{folder}/{name}"
+            if name in counts:
+                return _bucketed(spark, path, counts[name])
+            return read_dated(spark, path, name) if name in RESULT_TABLES else spark.read.parquet(path)
+
+        return cls(spark, {t: (lambda t=t: load(t)) for t in ALL_TABLES})
+
+
+def read_dated(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A result table, filed by publish date or not: the date stays text, columns keep their order."""
+    schema = schemas.BY_TABLE[name]
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 # Dataset beside the tables of a snapshot: (name, buckets) of those written in buckets.
@@ -85,8 +101,7 @@ BUCKET_COUNTS = "bucket_counts"
 
 def _bucket_counts(spark: SparkSession, folder: str) -> list:
     """At most one row per wide table; none for a folder without the dataset."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{BUCKET_COUNTS}")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not path_exists(spark, f"{folder}/{BUCKET_COUNTS}"):
         return []
     return spark.read.schema("name string, buckets int").parquet(f"{folder}/{BUCKET_COUNTS}").collect()
 

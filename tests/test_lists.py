@@ -1,0 +1,111 @@
+"""Equality of the two lists of a group, the differences, and payments on no list."""
+
+import json
+import random
+
+import pytest
+
+from retally import schemas
+from retally.plans import reconcile
+from retally.plans.rejects import TooManyRejects, payment_rejects
+from retally.specs import GROUP_COLUMNS, REPORTS
+from tests.fixtures import app_row, frame, pay_row, result_row, rows, tables
+
+PURPOSE = {k: s.purpose for k, s in REPORTS.items()}
+
+
+def lists_of(spark, t, compare):
+    specs = list(REPORTS.values())
+    groups = {"annual": t["result_annual"], "semester": t["result"]}
+    return compare(specs, groups, {s.key: t[s.application_table] for s in specs}, reconcile.captured_forms(t))
+
+
+def made(spark, seed):
+    """Random payments and forms of a few groups: some lists agree, some differ, some are empty."""
+    rng = random.Random(seed)
+    results = [result_row(k, course=f"C{k % 3}", subcode=f"S{k % 2}", semyr=str(k % 4 + 1)) for k in range(24)]
+    payment, forms, n = [], {k: [] for k in REPORTS}, 0
+    for key, spec in REPORTS.items():
+        for course, subcode, semyr in {(r["course"], r["subcode"], r["semyr"]) for r in results}:
+            for _ in range(rng.randrange(0, 4)):
+                n += 1
+                accepted = rng.random() < .85
+                forms[key].append(app_row(n, course=course, subcode=subcode, semyr=semyr, applied="Y" if accepted else "N"))
+                pays = rng.choice([course, course, course, "C0"])
+                for _ in range(rng.choice([1, 1, 2])):
+                    payment.append(pay_row(n, spec.purpose, pays, semyr + spec.sem_suffix, rng.choice(["captured"] * 9 + ["failed"])))
+    payment.append(dict(description=None, status="captured", notes=json.dumps({"sem": "1y", "course": "C1", "pay_for": "RETOT_ANNUAL"})))
+    t = tables(spark, result_annual=results, result=results, annual_rt=forms["annual_rt"], annual_rv=forms["annual_rv"],
+               semester_rt=forms["semester_rt"], semester_rv=forms["semester_rv"], payment=payment)
+    paid, accepted = {}, {}
+    captured = {(json.loads(p["notes"])["pay_for"], p["description"]) for p in payment if p["status"] == "captured"}
+    for key, spec in REPORTS.items():
+        for g in {(r["course"], r["subcode"], r["semyr"]) for r in results}:
+            paid[spec.purpose, *g] = {None if p["description"] is None else int(p["description"]) for p in payment if p["status"] == "captured"
+                                      and json.loads(p["notes"]) == {"sem": g[2] + spec.sem_suffix, "course": g[0], "pay_for": spec.purpose}}
+            accepted[spec.purpose, *g] = {f["scanno"] for f in forms[key] if f["retotaling_status"] == "Y" and f["subcode"] == g[1]
+                                          and f["semyr_code"] == g[2] and (spec.purpose, str(f["scanno"])) in captured}
+    return t, paid, accepted
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equality_and_difference_against_python_sets(spark, seed):
+    t, paid, accepted = made(spark, seed)
+    want = sorted(((*k, len(paid[k]), len(accepted[k]), paid[k] == accepted[k]) for k in paid), key=repr)
+    got = rows(lists_of(spark, t, reconcile.list_equality), "pay_for", *GROUP_COLUMNS, "paid_size", "accepted_size", "lists_equal")
+    assert got == want and {x[-1] for x in want} == {True, False}
+    differing = sorted(((*k, x, "paid_only" if x in paid[k] else "accepted_only") for k in paid for x in paid[k] ^ accepted[k]), key=repr)
+    assert rows(lists_of(spark, t, reconcile.mismatch_for_purposes), "pay_for", *GROUP_COLUMNS, "scanno", "side") == differing
+
+
+def test_only_unequal_groups_reach_the_comparison(spark):
+    results = [result_row(1, course="C1"), result_row(2, course="C2", subcode="S2")]
+    forms = [app_row(k) for k in range(100, 150)] + [app_row(7, course="C2", subcode="S2")]
+    payment = [pay_row(k, "RETOT_ANNUAL") for k in range(100, 150)] + [pay_row(7, "RETOT_ANNUAL", "C2"), pay_row(8, "RETOT_ANNUAL", "C2")]
+    t = tables(spark, result_annual=results, annual_rt=forms, payment=payment)
+    df = lists_of(spark, t, reconcile.mismatch_for_purposes)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = df.select("*")
+        assert [tuple(r) for r in df.collect()] == [("RETOT_ANNUAL", "C2", "S2", "1", 8, "paid_only")]
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi" in text.split("FileScan")[0]               # the members meet the unequal groups before they are grouped
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_digests_are_combined_before_the_shuffle(spark):
+    t, _, _ = made(spark, 4)
+    df = lists_of(spark, t, lambda *a: reconcile.compared(reconcile.list_members(*a)))
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    merged = next(i for i, ln in enumerate(lines) if "HashAggregate" in ln)
+    exchange = next(i for i, ln in enumerate(lines) if i > merged and "Exchange hashpartitioning(pay_for" in ln and "scanno" not in ln)
+    assert "partial_sum" in lines[exchange + 1]
+
+
+def test_rejects_and_their_reasons(spark):
+    def pay(description, notes, status="captured"):
+        return dict(description=description, status=status, notes=notes)
+
+    good = json.dumps({"sem": "1y", "course": "C1", "pay_for": "RETOT_ANNUAL"})
+    cases = [
+        (pay("1", good), None), (pay(" 2 ", good), None), (pay("3", "{broken"), "notes unreadable"), (pay("4", None), "notes unreadable"),
+        (pay("5", "[1]"), "notes unreadable"), (pay("6", '{"sem": "1y"}'), "no purpose"), (pay("7", '{"pay_for": null}'), "no purpose"),
+        (pay("8", '{"pay_for": "REVAL", "sem": "1s"}'), "no course"), (pay("9", '{"pay_for": "REVAL", "course": "C1"}'), "no semester"),
+        (pay(None, good), "no form number"), (pay("form 11", good), "form number is no integer"), (pay("12", "{broken", "failed"), None),
+        (pay("text", '{"pay_for": "ADMISSION"}'), None), (pay("", '""'), "notes unreadable"),
+    ]
+    payment = frame(spark, schemas.PAYMENT, [p for p, _ in cases])
+    want = sorted(((p["description"], p["notes"], why) for p, why in cases if why), key=repr)
+    assert rows(payment_rejects(payment)) == want
+    assert payment_rejects(payment.limit(0)).count() == 0
+
+
+def test_too_many_rejects_fail_the_parse(spark):
+    good = [pay_row(k, "RETOT_ANNUAL") for k in range(19)]
+    t = tables(spark, payment=[*good, dict(description="99", status="captured", notes="{")])
+    assert reconcile.captured_forms(t, max_reject_share=0.05).count() == 19
+    t = tables(spark, payment=[*good, *[dict(description="99", status="captured", notes="{")] * 2])
+    with pytest.raises(TooManyRejects, match="2 of 21"):
+        reconcile.captured_forms(t, max_reject_share=0.05)
+    assert reconcile.captured_forms(t).count() == 19                # the source loses them in silence

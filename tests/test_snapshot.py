@@ -1,0 +1,128 @@
+"""Snapshots: checksums, loads that are checked, result tables filed by publish date, bucket sizes."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from retally import schemas
+from retally.plans.report import scrutiny_report
+from retally.plans.status import published_groups
+from retally.session import release_scratch, scratch_path, shared_dir
+from retally.sources import snapshot
+from retally.sources.checksum import checksum
+from retally.sources.derived import exam_tables_from_tpch
+from retally.sources.snapshot import MAX_BUCKETS, bucket_count, load_snapshot, table_checksums, write_dump, write_snapshot
+from retally.sources.tables import ALL_TABLES, ExamTables
+from retally.specs import REPORTS
+from tests.fixtures import result_row, tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def one(df):
+    return tuple(checksum(df).first())
+
+
+def test_checksum_depends_on_rows_alone(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "b"), (2, None, "b"), (3, "", "c")], "id int, x string, y string")
+    assert one(df) == one(df.repartition(3).orderBy(F.desc("id"))) and one(df)[0] == 4
+    assert one(df) != one(df.distinct())
+    assert one(df) != one(df.select("id", F.col("y").alias("x"), F.col("x").alias("y")))      # values change places
+    assert one(df) != one(df.na.fill(""))                                                      # NULL is not empty text
+    assert one(df.limit(0)) == (0, "0")
+    a = spark.createDataFrame([("1:", "x")], "a string, b string")
+    b = spark.createDataFrame([("1", ":x")], "a string, b string")
+    assert one(a) != one(b)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_all_nine_tables_survive_dump_and_load(spark, tmp_path, fmt):
+    source = exam_tables_from_tpch(spark, SF)
+    write_dump(source, str(tmp_path / "dump"), fmt)
+    loaded = load_snapshot(spark, str(tmp_path / "dump"), str(tmp_path / "snap"), fmt)
+    want, got = ({r.table_name: (r.rows, r.checksum) for r in table_checksums(t).collect()} for t in (source, loaded))
+    assert got == want and set(got) == set(ALL_TABLES) and all(n > 0 for n, _ in got.values())
+
+
+def test_a_load_that_loses_rows_fails(spark, tmp_path, monkeypatch):
+    write_dump(exam_tables_from_tpch(spark, SF), str(tmp_path / "dump"))
+    honest = snapshot.write_snapshot
+
+    def losing(t, folder, **more):
+        return honest(t.with_table("payment", t["payment"].where("description <> '1'").limit(50)), folder, **more)
+
+    monkeypatch.setattr(snapshot, "write_snapshot", losing)
+    with pytest.raises(ValueError, match="payment"):
+        load_snapshot(spark, str(tmp_path / "dump"), str(tmp_path / "snap"))
+
+
+def _files_read(df) -> int:
+    """Files that the scans of a plan read, from the plan's own counters."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    rows = df.collect()
+    assert rows is not None
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    total = 0
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if "AdaptiveSparkPlan" in plan.nodeName():
+            leaf = leaf
+        metrics = leaf.metrics()
+        if metrics.contains("numFiles"):
+            total += metrics.apply("numFiles").value()
+    return total
+
+
+def test_one_date_reads_the_files_of_that_date(spark, tmp_path):
+    rows = [result_row(k, course=f"C{k % 3}", pub=f"{d:02d}/07/2024") for d in range(1, 11) for k in range(d * 100, d * 100 + 20)]
+    rows += [result_row(5000, pub=None), result_row(5001, pub="2024")]
+    t = tables(spark, result_annual=rows, result=rows)
+    snap = write_snapshot(t, str(tmp_path / "snap"), names=["result_annual", "result"], by_date=True)
+    again = ExamTables.from_parquet(spark, str(tmp_path / "snap"))
+    for read in (snap, again):
+        for name in ("result_annual", "result"):
+            assert read[name].schema.names == schemas.BY_TABLE[name].names
+            assert sorted(map(repr, read[name].collect())) == sorted(map(repr, t[name].collect()))
+            groups = published_groups(read[name], "04/07/2024")
+            plan = groups._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [isnotnull(pub_result" in plan
+            assert sorted(r.course for r in groups.collect()) == ["C0", "C1", "C2"]
+            one_date = read[name].where("pub_result = '04/07/2024'")
+            assert {p.split("pub_result=")[1].split("/")[0] for p in
+                    (r[0] for r in one_date.select(F.input_file_name()).distinct().collect())} <= {"04%2F07%2F2024", "04%252F07%252F2024"}
+
+
+def test_scans_of_one_date_open_one_folder(spark, tmp_path):
+    t = exam_tables_from_tpch(spark, SF)
+    snap = write_snapshot(t, str(tmp_path / "snap"), names=["result_annual"], by_date=True)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        everything = snap["result_annual"].select("course")
+        one_date = snap["result_annual"].where("pub_result = '01/01/1996'").select("course")
+        assert 0 < _files_read(one_date) < _files_read(everything)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_reports_from_a_dated_snapshot_are_the_same(spark, tmp_path):
+    t = exam_tables_from_tpch(spark, SF)
+    snap = write_snapshot(t, str(tmp_path / "snap"), by_date=True, names=[n for n in ALL_TABLES if "semester" not in n])
+    for key in ("annual_rv", "semester_rt"):
+        want, got = (sorted(map(repr, scrutiny_report(x, REPORTS[key]).collect())) for x in (t, snap))
+        assert got == want and got
+
+
+def test_buckets_stay_within_what_spark_accepts():
+    assert bucket_count(1) == 1 and bucket_count(1024**3) == 4
+    for size in (10**13, 10**14, 10**16):                      # 10 TB, 100 TB, 10 PB
+        assert bucket_count(size) == MAX_BUCKETS < 100_000
+
+
+def test_scratch_is_removed_on_request(spark):
+    import os
+    path = scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local) and path.startswith(shared_dir(spark))
+    release_scratch(spark)
+    assert not os.path.exists(local)
