@@ -36,29 +36,48 @@ columns cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retally.llm.shared import fresh_path, materialise
+from retally.llm.tokens import slices
 
 MIN_DOCS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
 TOP = 50
 TILE = 64            # sources of a tile, about
-BLOCK = 65536        # terms of a block
+BLOCK = 2048         # terms of a block
 ALL_TERMS = 2**31 - 1
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TERM_SLICE = 4 * 1024 * 1024      # bytes of text parted at once
+_TABLE = bytes(b if 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+
+
+def with_terms(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The other columns of ``docs`` and ``terms``, the terms of the whole text in order."""
+    others = [c for c in docs.columns if c != text]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).cast(pa.binary())
+            for a, b in slices(texts, TERM_SLICE):
+                lists = [(t.as_py() or b"").translate(_TABLE).split() for t in texts.slice(a, b - a)]
+                flat = pa.array(chain.from_iterable(lists), pa.binary(), size=sum(map(len, lists))).cast(pa.string())
+                bounds = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+                yield pa.record_batch([*[c.slice(a, b - a) for c in batch.columns[:-1]], pa.ListArray.from_arrays(bounds, flat)],
+                                      names=[*others, "terms"])
 
-def terms_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), F.lit(0))
+    read = docs.select(*others, text)
+    return read.mapInArrow(run, read.drop(text).schema.add("terms", T.ArrayType(T.StringType())))
 
 
 def group_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
@@ -66,9 +85,9 @@ def group_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
     """Tables (lang, source, term, n) of kept terms per group, (lang, source) of all groups, (lang, v) of vocabulary sizes."""
     spark = docs.sparkSession
     path = fresh_path(spark, "divergence-terms")
-    (docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-                 F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), terms_of(F.col(text_col)).alias("terms"))
-     .withColumn("file_key", F.hex(F.xxhash64("lang"))).write.partitionBy("file_key").parquet(path))
+    read = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
+                       F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).alias("text"))
+    with_terms(read).withColumn("file_key", F.hex(F.xxhash64("lang"))).write.partitionBy("file_key").parquet(path)
     terms = spark.read.schema("lang string, source string, terms array<string>, file_key string").parquet(path)
     groups = materialise(terms.groupBy("lang", "source", "file_key").agg(F.count("*").alias("docs")), "divergence-groups")
     sums_path, vocabulary_path = fresh_path(spark, "divergence-sums"), fresh_path(spark, "divergence-vocabulary")
