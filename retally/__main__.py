@@ -22,10 +22,13 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from retally import schemas
 from retally.plans import ingest, runs, status
 from retally.sources.derived import exam_tables_from_tpch
 from retally.sources.files import CSV_WRITE
-from retally.sources.sinks import checkpointed, export_report, stage_report
+from retally.sources.ledger import import_newest
+from retally.sources.manifest import RunManifest
+from retally.sources.sinks import export_report, stage_report
 from retally.sources.snapshot import load_snapshot, write_snapshot
 from retally.sources.tables import ExamTables
 from retally.specs import REPORTS
@@ -75,22 +78,27 @@ def cmd_run(args) -> None:
     rules = dict(r.split("=", 1) for r in args.gate)
     if unknown := set(rules) - {k for k, spec in REPORTS.items() if spec.layout == args.layout}:
         raise SystemExit(f"no such report in this layout: {', '.join(sorted(unknown))}")
-    for key, done in script(t, args.date, rules=rules).items():
+    source = f"catalog {args.catalog}" if args.catalog is not None else args.snapshot or args.tpch
+    run_key = f"{args.layout} {args.date} {sorted(rules.items())} {source}"
+    manifest = RunManifest(spark, f"{args.out.rstrip('/')}/_run_{args.layout}", run_key)
+    if args.afresh:
+        manifest.close()
+    for key, done in script(t, args.date, rules=rules, manifest=manifest).items():
         done.gates.write.mode("overwrite").parquet(f"{args.out}/gate_{key}")
         done.mismatch.write.mode("overwrite").parquet(f"{args.out}/mismatch_{key}")
-        report = checkpointed(spark, done.report, f"report-{key}") if args.stage else done.report
-        export_report(report, f"{args.out}/{EXPORT_NAMES[key]}")
+        export_report(done.report, f"{args.out}/{EXPORT_NAMES[key]}")
         if args.stage:
-            stage_report(report, f"{STAGING_TABLES[args.layout]}_{REPORTS[key].scrutiny_type}")
+            stage_report(done.report, f"{STAGING_TABLES[args.layout]}_{REPORTS[key].scrutiny_type}")
         print(f"{key}: report written to {args.out}/{EXPORT_NAMES[key]}")
+    manifest.close()
 
 
 def cmd_snapshot(args) -> None:
     spark = _session()
     if args.dump:
-        load_snapshot(spark, args.dump, args.out, args.format, args.buckets)
+        load_snapshot(spark, args.dump, args.out, args.format, args.buckets, by_date=args.by_date)
     else:
-        write_snapshot(_tables(spark, args), args.out, buckets=args.buckets)
+        write_snapshot(_tables(spark, args), args.out, buckets=args.buckets, by_date=args.by_date)
     print(f"snapshot written to {args.out}")
 
 
@@ -108,6 +116,10 @@ def cmd_status(args) -> None:
 
 
 def cmd_import(args) -> None:
+    if args.ledger:
+        took = import_newest(_session(), args.folder, args.table, args.ledger, args.prefix, schemas.PAYMENT, args.format)
+        print(f"{args.table}: {'nothing new' if took is None else took}")
+        return
     ingest.import_payments(_session(), args.folder, args.table, args.prefix, args.format)
 
 
@@ -126,6 +138,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--gate", action="append", default=[], metavar="REPORT=RULE",
                    help="gate rule of one report, e.g. annual_rv=equal (rules: equal, unequal)")
     p.add_argument("--stage", action="store_true", help="also replace the staging tables")
+    p.add_argument("--afresh", action="store_true", help="forget what an earlier run with the same output that stopped has finished")
     _add_source(p)
     p.set_defaults(fn=cmd_run)
 
@@ -134,6 +147,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--format", default="parquet", help="format of the dump: parquet, csv, json, orc")
     p.add_argument("--out", required=True)
     p.add_argument("--buckets", type=int, default=None, help="bucket result/application tables by id (0: sized from the data)")
+    p.add_argument("--by-date", action="store_true", help="file the result tables by publish date instead")
     _add_source(p)
     p.set_defaults(fn=cmd_snapshot)
 
@@ -148,6 +162,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--table", default="payment")
     p.add_argument("--prefix", default="payments")
     p.add_argument("--format", default=None)
+    p.add_argument("--ledger", help="dataset of drops seen: import only a drop that is new and the newest")
     p.set_defaults(fn=cmd_import)
 
     p = sub.add_parser("register", help="append the admission files of a folder to the register")

@@ -4,9 +4,10 @@ The source statement has one UNION branch per slot, each re-reading and
 re-joining both tables (40 branches → 120 scans, 80 joins).  Here:
 
 * ``explode_applied``  turns each wide row into one row per slot it applies
-  for (decided by that row's own columns): one ``inline`` over an array of
-  per-slot structs (a single Generate node) and a filter.  Rows applying for
-  nothing vanish here, before any join or shuffle.
+  for (decided by that row's own columns).  A single Generate yields the numbers
+  of the applied slots only, so the rows that leave it are the applied papers
+  and rows without any vanish there.  Values are read at the row's slot
+  afterwards.
 * ``slot_case``        reads the *other* side's column group at a row's slot
   with one ``CASE`` (only the matching branch is evaluated), after the join,
   so the other side is never reshaped: it is pruned to the key and the slot
@@ -39,8 +40,14 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _struct_sql(fields: Sequence[tuple[str, str]]) -> str:
-    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields) + ")"
+def applied_slots(slots: Sequence[Slot], keep: SlotSql) -> str:
+    """SQL of the array of slot numbers for which ``keep(slot)`` is true (NULL: not).
+
+    It stands in the Generate itself: a filter on it would let Catalyst infer
+    constraints on every slot column, which takes minutes for 40 slots.
+    """
+    numbers = ", ".join(f"if({keep(s)}, {s.index}, -1)" for s in slots)
+    return f"array_remove(array({numbers}), -1)"
 
 
 def explode_applied(df: DataFrame, slots: Sequence[Slot], keep: SlotSql, values: Mapping[str, SlotSql],
@@ -49,14 +56,8 @@ def explode_applied(df: DataFrame, slots: Sequence[Slot], keep: SlotSql, values:
 
     A NULL keep predicate counts as not applied (SQL ``WHERE`` semantics).
     """
-    entries = ", ".join(
-        _struct_sql([(slot_column, str(s.index)), ("_keep", f"({keep(s)})"),
-                     *[(k, fn(s)) for k, fn in values.items()]])
-        for s in slots
-    )
-    return (df.select(*keep_columns, F.expr(f"inline(array({entries}))"))
-            .where(F.col("_keep"))
-            .drop("_keep"))
+    long = df.select("*", F.expr(f"explode({applied_slots(slots, keep)}) AS _at"))
+    return long.select(*keep_columns, F.col("_at").alias(slot_column), *[slot_case(slots, "_at", fn).alias(k) for k, fn in values.items()])
 
 
 def slot_case(slots: Sequence[Slot], slot_column: str, value: SlotSql) -> Column:

@@ -23,6 +23,17 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner would broadcast ``df`` by its estimate (never with broadcasts switched off)."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return planned_bytes(df) <= limit
+
+
 def distinct_keys(sub: DataFrame, key: Column | str, name: str) -> DataFrame:
     """Distinct non-NULL keys of ``sub`` in one column ``name``."""
     return sub.select(_col(key).alias(name)).where(F.col(name).isNotNull()).distinct()

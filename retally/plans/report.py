@@ -4,16 +4,19 @@ parameter rows (``retally.specs.REPORTS``).
 
 Plan, in order of cost:
 1. the row filters of the application table (applied, paid in the form) at the scan;
-2. one Generate turns each application row into its applied slots (rows with
+2. the groups that passed the gate, the ``NOT IN`` history exclusion and
+   (semester) the captured-payment ``IN``, each where its other side fits a
+   broadcast by the planner's estimate: wide rows of other groups, reported or
+   unpaid forms go before anything is made of them, without an exchange;
+3. one Generate turns each application row into its applied slots (rows with
    none vanish): from here on a row is its 13 header columns, the slot number
    and the marks, so no exchange ever carries the wide slot columns;
-3. the groups that passed the gate, the ``NOT IN`` history exclusion and
-   (semester) the captured-payment ``IN`` as joins on these narrow rows.  They
-   are written as inner / outer joins on distinct keys: Catalyst would move
-   semi and anti joins back below the Generate, onto the wide rows;
-4. one equi join with the result table on ``id`` (pruned to ``id`` and the
+4. those of the joins of step 2 whose other side is too large to broadcast, on
+   these narrow rows.  They are written as inner / outer joins on distinct keys:
+   Catalyst would move semi and anti joins back below the Generate;
+5. one equi join with the result table on ``id`` (pruned to ``id`` and the
    paper columns), paper and code read at the row's slot with one ``CASE``;
-5. one ``distinct`` over the 16 report columns, which is the source's
+6. one ``distinct`` over the 16 report columns, which is the source's
    UNION: equal rows of a group collapse.
 
 Because ``subcode`` and ``semyr_code`` are report columns, one distinct over
@@ -22,13 +25,15 @@ all groups equals the union of per-group reports; no per-group loop.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retally.functions.casts import to_int
 from retally.functions.dates import format_day
 from retally.operators.fanout import explode_applied, q, slot_case
-from retally.operators.membership import is_in, not_in
+from retally.operators.membership import fits_broadcast, is_in, not_in
 from retally.plans.reconcile import paid_ids
 from retally.sources.tables import ExamTables
 from retally.specs import (APPLIED_STATUS, FLAG_TRUE, HEADER_COLUMNS, PAID_STATUS,
@@ -52,18 +57,27 @@ def applied_papers(tables: ExamTables, spec: ReportSpec, groups: DataFrame | Non
     """One narrow row per applied paper that may enter the report: ``id``, header, ``app_date``, ``_slot``, ``marks``."""
     apps = tables[spec.application_table].where(
         (F.col("retotaling_status") == APPLIED_STATUS) & (F.col("payment_status") == PAID_STATUS))
-    rows = explode_applied(
-        apps, spec.slots, applied_rule(spec), {"marks": lambda s: q(s.name + "_th")},
-        keep_columns=["id", *HEADER_COLUMNS, "app_date"], slot_column="_slot",
-    )
-    if groups is not None:
-        rows = rows.join(groups.select("subcode", "semyr_code").distinct(), ["subcode", "semyr_code"])
     history = tables[spec.history_table]
     if spec.history_types is not None:
         history = history.where(F.col("scrutiny_type").isin(*spec.history_types))
-    rows = not_in(rows, "scanno", history, to_int("scanno", strict), in_place=True)
+    # (what the form numbers or groups meet, the step that keeps the rows it allows)
+    steps: list[tuple[DataFrame, Callable[[DataFrame, bool], DataFrame]]] = []
+    if groups is not None:
+        keys = groups.select("subcode", "semyr_code").distinct()
+        steps.append((keys, lambda df, above: df.join(keys, ["subcode", "semyr_code"])))
+    steps.append((history, lambda df, above: not_in(df, "scanno", history, to_int("scanno", strict), in_place=above)))
     if spec.payment_semi_join:
-        rows = is_in(rows, "scanno", paid_ids(tables["payment"], spec.purpose, strict=strict), "paid_scanno", in_place=True)
+        paid = paid_ids(tables["payment"], spec.purpose, strict=strict)
+        steps.append((paid, lambda df, above: is_in(df, "scanno", paid, "paid_scanno", in_place=above)))
+    above = [not fits_broadcast(side) for side, _ in steps]
+    for (_, step), late in zip(steps, above):
+        apps = apps if late else step(apps, False)
+    rows = explode_applied(
+        apps, spec.slots, applied_rule(spec), {"marks": lambda s: q(s.name + "_th")},
+        keep_columns=["id", *HEADER_COLUMNS, "app_date"], slot_column="_slot",
+    )
+    for (_, step), late in zip(steps, above):
+        rows = step(rows, True) if late else rows
     return rows
 
 
