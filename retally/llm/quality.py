@@ -13,11 +13,14 @@ document comes from:
    a few hundred counts per task.
 2. A (language, source) with fewer than ``MIN_GROUP`` documents takes the
    merged sketch of its language, and below that the merge of all.
-3. From each sketch come the median and the 10 % and 90 % quantiles.  The
-   upper limit of a ratio is its median plus ``SPREAD`` times the distance
-   from the 10 % quantile to the median (the half of the distribution that
-   junk does not reach), at least ``SLACK``.  The lower limit of the word
-   length mirrors it with the 90 % quantile.
+3. Every limit comes from quantiles of a sketch (``LIMITS``).  The upper limit of
+   a ratio is its median plus a factor times the distance to an upper quantile;
+   the lower limit of the word length mirrors it with the lower quantile.  A
+   quantile is known up to the width of its bin, so the far end of the bin
+   counts: a group whose documents do not differ still has a tolerance, that of
+   its sketch.  Ratios that most clean documents spread over (symbols, word
+   length) take the quartile, which junk reaches only where it is a quarter of
+   a group; rare ones, zero in most documents, take the 95 % or 99 % quantile.
 4. The thin table of ratios is joined with the limits and filtered.
 
 Ratios are integers: symbols per 10,000 word characters, repeated lines per
@@ -40,13 +43,12 @@ from retally.llm.shared import WHITE, materialise, without_white, words_of
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 30
-SPREAD = 6
 SYMBOLS = "#*$%&|<>"
 
-# Ratio -> least distance of a limit from the median (the tolerance where a
-# group's documents hardly differ), in the ratio's unit.
-SLACK = {"symbol_rate": 500, "dup_line_rate": 4000, "repeat_rate": 4500, "word_length": 300}
-TWO_SIDED = ("word_length",)
+# Ratio -> (upper quantile in percent, how many times its distance from the median a document may be away).
+LIMITS = {"symbol_rate": (75, 6), "dup_line_rate": (90, 6), "repeat_rate": (95, 3), "word_length": (75, 6)}
+LEAST = {"dup_line_rate": 4000}       # least distance from the median, in the ratio's unit
+TWO_SIDED = ("word_length",)          # limited below as well, by the mirrored quantile
 
 
 def base_metrics(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -69,12 +71,18 @@ def base_metrics(docs: DataFrame, keep: list[str], text_col: str = "text") -> Da
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         windows(lambda i: F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2))).alias("_h"))
-    # Different hashes mean different windows, so only texts with an equal pair go on; those compare the words.
+    # Different hashes mean different windows, so only texts with an equal pair go on, and of these only the windows
+    # whose hash comes again; those compare the words.
     alike = F.size(F.array_distinct("_h")) < F.size("_h")
-    ordered = hashed.select(
+    hashes = hashed.select(
+        *keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "_w",
+        F.when(alike, F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("_s"))
+    again = F.filter("_s", lambda x, k: F.get("_s", k + 1)["h"].eqNullSafe(x["h"]) | F.get("_s", k - 1)["h"].eqNullSafe(x["h"]))
+    ordered = hashes.select(
+        *keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "_w", again.alias("_a")).select(
         *keep, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-        F.when(alike, F.sort_array(windows(lambda i: F.struct(
-            F.concat_ws(" ", F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)).alias("s"), i.alias("i")))))
+        F.sort_array(F.transform("_a", lambda x: F.struct(
+            F.concat_ws(" ", F.get("_w", x["i"]), F.get("_w", x["i"] + 1), F.get("_w", x["i"] + 2)).alias("s"), x["i"].alias("i"))))
         .alias("_o"))
     twice = F.filter("_o", lambda x, k: F.get("_o", k + 1)["s"].eqNullSafe(x["s"])
                      | F.get("_o", k - 1)["s"].eqNullSafe(x["s"]))
@@ -102,17 +110,25 @@ def with_ratios(metrics: DataFrame) -> DataFrame:
         per("word_chars", "n_words", 100).alias("word_length"))
 
 
+def _step(value: Column) -> Column:
+    return F.pow(F.lit(2.0), F.greatest(F.length(F.bin(value)) - 6, F.lit(0))).cast("long")
+
+
 def bin_of(value: Column) -> Column:
     """The lower end of a value's log-linear bin: its six leading binary digits."""
-    step = F.pow(F.lit(2.0), F.greatest(F.length(F.bin(value)) - 6, F.lit(0))).cast("long")
-    return value - value % step
+    return value - value % _step(value)
+
+
+def upper_end(lower: Column) -> Column:
+    """The upper end of the bin that begins at ``lower``."""
+    return lower + _step(lower)
 
 
 def sketches(ratios: DataFrame, lang: str, source: str) -> DataFrame:
     """Bin counts per (lang, source, ratio): the mergeable sketch."""
     long = ratios.where(~F.col("base_failed")).select(
         F.col(lang).alias("lang"), F.col(source).alias("source"),
-        F.explode(F.array(*[F.struct(F.lit(m).alias("ratio"), bin_of(F.col(m)).alias("bin")) for m in SLACK])).alias("x"))
+        F.explode(F.array(*[F.struct(F.lit(m).alias("ratio"), bin_of(F.col(m)).alias("bin")) for m in LIMITS])).alias("x"))
     return long.groupBy("lang", "source", F.col("x.ratio").alias("ratio"), F.col("x.bin").alias("bin")).agg(F.count("*").alias("n"))
 
 
@@ -121,20 +137,22 @@ def limits_of(bins: DataFrame, keys: list[str]) -> DataFrame:
     merged = bins.groupBy(*keys, "ratio", "bin").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy(*keys, "ratio")
     placed = merged.select("*", F.sum("n").over(whole.orderBy("bin")).alias("upto"), F.sum("n").over(whole).alias("docs"))
-    # quantile q in tenths: the first bin at which upto * 10 >= q * docs
-    def quantile(q: int) -> Column:
-        return F.min(F.when(F.col("upto") * 10 >= q * F.col("docs"), F.col("bin")))
-    found = placed.groupBy(*keys, "ratio").agg(
-        F.max("docs").alias("docs"), quantile(1).alias("q10"), quantile(5).alias("q50"), quantile(9).alias("q90"))
-    slack = F.element_at(F.create_map(*[F.lit(x) for m, s in SLACK.items() for x in (m, s)]), F.col("ratio"))
+    # a quantile in percent: the first bin at which upto * 100 >= percent * docs
+    percents = sorted({50} | {q for p, _ in LIMITS.values() for q in (p, 100 - p)})
+    found = placed.groupBy(*keys, "ratio").agg(F.max("docs").alias("docs"), *[
+        F.min(F.when(F.col("upto") * 100 >= p * F.col("docs"), F.col("bin"))).alias(f"q{p}") for p in percents])
+
+    def by_ratio(make, ratios=LIMITS) -> Column:
+        return F.coalesce(*[F.when(F.col("ratio") == m, make(*LIMITS[m], F.lit(LEAST.get(m, 0)))) for m in ratios])
+
+    middle, above = F.col("q50"), upper_end(F.col("q50"))
     limits = found.select(
         *keys, "ratio", "docs",
-        (F.col("q50") + F.greatest(SPREAD * (F.col("q50") - F.col("q10")), slack)).alias("high"),
-        F.when(F.col("ratio").isin(*TWO_SIDED), F.col("q50") - F.greatest(SPREAD * (F.col("q90") - F.col("q50")), slack))
-        .alias("low"))
+        by_ratio(lambda p, k, least: middle + F.greatest(k * (upper_end(F.col(f"q{p}")) - middle), least)).alias("high"),
+        by_ratio(lambda p, k, least: above - F.greatest(k * (above - F.col(f"q{100 - p}")), least), TWO_SIDED).alias("low"))
     return limits.groupBy(*keys).agg(
         F.max("docs").alias("docs"),
-        *[F.max(F.when(F.col("ratio") == m, F.col("high"))).alias(f"{m}_max") for m in SLACK],
+        *[F.max(F.when(F.col("ratio") == m, F.col("high"))).alias(f"{m}_max") for m in LIMITS],
         *[F.max(F.when(F.col("ratio") == m, F.col("low"))).alias(f"{m}_min") for m in TWO_SIDED])
 
 
@@ -143,7 +161,7 @@ def thresholds(bins: DataFrame) -> DataFrame:
 
     One row per (lang, source) seen; every level is a sum of the bin counts.
     """
-    names = [f"{m}_max" for m in SLACK] + [f"{m}_min" for m in TWO_SIDED]
+    names = [f"{m}_max" for m in LIMITS] + [f"{m}_min" for m in TWO_SIDED]
     own = limits_of(bins, ["lang", "source"])
     by_lang = limits_of(bins, ["lang"]).select(
         F.col("lang").alias("_lang"), F.col("docs").alias("_l_docs"), *[F.col(n).alias(f"_l_{n}") for n in names])
@@ -171,7 +189,7 @@ def _judged(docs: DataFrame, keep: list[str], text_col: str, lang_col: str, sour
     rows = materialise(with_ratios(metrics), "quality-rows")
     limits = materialise(thresholds(sketches(rows, "g_lang", "g_source")), "quality-limits")
     within = F.lit(True)
-    for m in SLACK:
+    for m in LIMITS:
         within = within & (F.col(m) <= F.col(f"{m}_max"))
     for m in TWO_SIDED:
         within = within & (F.col(m) >= F.col(f"{m}_min"))

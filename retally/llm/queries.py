@@ -193,34 +193,39 @@ r AS (
     CASE WHEN n_words = 0 THEN 0 ELSE word_chars * 100 // n_words END AS r4
   FROM m),
 x AS (
-  SELECT coalesce(lang, '?') AS lang, coalesce(source, '?') AS source, 1 AS ratio, r1 AS v, 500 AS slack FROM r WHERE NOT base_failed
-  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 2, r2, 4000 FROM r WHERE NOT base_failed
-  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 3, r3, 4500 FROM r WHERE NOT base_failed
-  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 4, r4, 300 FROM r WHERE NOT base_failed),
+  SELECT coalesce(lang, '?') AS lang, coalesce(source, '?') AS source, 1 AS ratio, r1 AS v FROM r WHERE NOT base_failed
+  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 2, r2 FROM r WHERE NOT base_failed
+  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 3, r3 FROM r WHERE NOT base_failed
+  UNION ALL SELECT coalesce(lang, '?'), coalesce(source, '?'), 4, r4 FROM r WHERE NOT base_failed),
 b AS (
-  SELECT lang, source, ratio, slack,
+  SELECT lang, source, ratio,
     v - v % CAST(power(2, greatest(CASE WHEN v < 64 THEN 0 ELSE length(bin(v)) - 6 END, 0)) AS BIGINT) AS bin FROM x),
 lv AS (
-  SELECT 1 AS level, lang, source, ratio, slack, bin, count(*) AS n FROM b GROUP BY ALL
-  UNION ALL SELECT 2, lang, '', ratio, slack, bin, count(*) FROM b GROUP BY ALL
-  UNION ALL SELECT 3, '', '', ratio, slack, bin, count(*) FROM b GROUP BY ALL),
+  SELECT 1 AS level, lang, source, ratio, bin, count(*) AS n FROM b GROUP BY ALL
+  UNION ALL SELECT 2, lang, '', ratio, bin, count(*) FROM b GROUP BY ALL
+  UNION ALL SELECT 3, '', '', ratio, bin, count(*) FROM b GROUP BY ALL),
 c AS (
   SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bin) AS upto,
     sum(n) OVER (PARTITION BY level, lang, source, ratio) AS docs FROM lv),
 q AS (
-  SELECT level, lang, source, ratio, slack, max(docs) AS docs,
-    min(CASE WHEN upto * 10 >= docs THEN bin END) AS q10,
-    min(CASE WHEN upto * 10 >= 5 * docs THEN bin END) AS q50,
-    min(CASE WHEN upto * 10 >= 9 * docs THEN bin END) AS q90
-  FROM c GROUP BY level, lang, source, ratio, slack),
+  SELECT level, lang, source, ratio, max(docs) AS docs,
+    min(CASE WHEN upto * 100 >= 25 * docs THEN bin END) AS q25,
+    min(CASE WHEN upto * 100 >= 50 * docs THEN bin END) AS q50,
+    min(CASE WHEN upto * 100 >= 75 * docs THEN bin END) AS q75,
+    min(CASE WHEN upto * 100 >= 95 * docs THEN bin END) AS q95,
+    min(CASE WHEN upto * 100 >= 90 * docs THEN bin END) AS q90
+  FROM c GROUP BY level, lang, source, ratio),
+e AS (
+  SELECT *, q50 + CAST(power(2, greatest(length(bin(q50)) - 6, 0)) AS BIGINT) AS e50, q75 + CAST(power(2, greatest(length(bin(q75)) - 6, 0)) AS BIGINT) AS e75,
+    q95 + CAST(power(2, greatest(length(bin(q95)) - 6, 0)) AS BIGINT) AS e95, q90 + CAST(power(2, greatest(length(bin(q90)) - 6, 0)) AS BIGINT) AS e90 FROM q),
 lim AS (
   SELECT level, lang, source, max(docs) AS docs,
-    max(CASE WHEN ratio = 1 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h1,
-    max(CASE WHEN ratio = 2 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h2,
-    max(CASE WHEN ratio = 3 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h3,
-    max(CASE WHEN ratio = 4 THEN q50 + greatest(6 * (q50 - q10), slack) END) AS h4,
-    max(CASE WHEN ratio = 4 THEN q50 - greatest(6 * (q90 - q50), slack) END) AS l4
-  FROM q GROUP BY level, lang, source),
+    max(CASE WHEN ratio = 1 THEN q50 + 6 * (e75 - q50) END) AS h1,
+    max(CASE WHEN ratio = 2 THEN q50 + greatest(6 * (e90 - q50), 4000) END) AS h2,
+    max(CASE WHEN ratio = 3 THEN q50 + 3 * (e95 - q50) END) AS h3,
+    max(CASE WHEN ratio = 4 THEN q50 + 6 * (e75 - q50) END) AS h4,
+    max(CASE WHEN ratio = 4 THEN e50 - 6 * (e50 - q25) END) AS l4
+  FROM e GROUP BY level, lang, source),
 pick AS (
   SELECT a.lang, a.source, CASE WHEN a.docs >= 30 THEN 1 WHEN l.docs >= 30 THEN 2 ELSE 3 END AS level
   FROM lim a JOIN lim l ON l.level = 2 AND l.lang = a.lang WHERE a.level = 1),

@@ -76,3 +76,33 @@ def test_plan_has_no_python(spark):
     df = judge(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), ["doc_id"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_limits_follow_the_quantiles_of_each_source(spark):
+    """The limits recomputed from the bins in plain Python."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(w + ("#" if rng.random() < (i % 4) / 40 else "") for w in prose(rng, 60 + i % 50).split()), "en", f"s{i % 4}", "", "", 0)
+            for i in range(400)]
+    metrics = quality.with_ratios(quality.base_metrics(spark.createDataFrame(rows, SCHEMA), ["lang", "source"]))
+    limits = {r.source: r for r in quality.thresholds(quality.sketches(metrics, "lang", "source")).collect()}
+    by_source = collections.defaultdict(lambda: collections.defaultdict(list))
+    for r in metrics.collect():
+        for m in quality.LIMITS:
+            by_source[r.source][m].append(r[m])
+
+    def ends(v):
+        step = 1 << max(0, v.bit_length() - 6) if v else 1
+        return v - v % step, v - v % step + step
+
+    for source, ratios in by_source.items():
+        for m, (percent, factor) in quality.LIMITS.items():
+            v = sorted(ratios[m])
+
+            def at(p):
+                return ends(v[-(-p * len(v) // 100) - 1])
+
+            least = quality.LEAST.get(m, 0)
+            assert limits[source][f"{m}_max"] == at(50)[0] + max(factor * (at(percent)[1] - at(50)[0]), least), (source, m)
+            if m in quality.TWO_SIDED:
+                assert limits[source][f"{m}_min"] == at(50)[1] - max(factor * (at(50)[1] - at(100 - percent)[0]), least)
+    assert len({limits[s].symbol_rate_max for s in limits}) == 4
