@@ -102,7 +102,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Encode every text and write the files under ``path``, in ascending id order."""
     source = tokenizer or tokens.default_path()
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-               .repartitionByRange(parts or parts_for(docs, text_col), "id")
+               .repartitionByRange(parts or parts_for(docs, text_col), "id", F.xxhash64("text"))     # null or repeated ids spread
                .sortWithinPartitions("id", F.xxhash64("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +221,6 @@ def token_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     write_tokens(docs, path, id_col, text_col, end_id)
     read = materialise(read_tokens(spark, path).select("file", "doc_id", "file_start", "n_tokens", F.crc32("ids").alias("ids_crc32")),
                        "token-positions")
-    before = ids_before(read.groupBy("file").agg(F.sum("n_tokens").alias("n")))
-    return read.join(F.broadcast(before), "file").select(      # one row per file
+    before = materialise(ids_before(read.groupBy("file").agg(F.sum("n_tokens").alias("n"))), "token-files-before")   # one row per file
+    return read.join(before, "file").select(
         F.col("doc_id").alias(id_col), (F.col("before") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")

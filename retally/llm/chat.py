@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from retally.llm.shared import materialise
 
-STEP, CONTEXT = 32, 2
+STEP, CONTEXT = 1, 2         # every prefix is rendered whole unless a caller asks for longer steps
 PROBES = ("①x②", "③x④")
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
@@ -148,7 +148,11 @@ def format_conversations(rows: DataFrame, template: Template | None = None, conv
     """One row per conversation: ``conv_id``, ``text``, ``rewritten_at`` (null when history stands) and ``spans``:
     per turn its role, place, and for turns under the loss mask the place of the text itself.
 
-    ``step=1`` is for templates not known to look at a turn's last neighbours only."""
+    Every successive prefix is rendered whole.  For templates known to look at a
+    turn's last neighbours only, a larger ``step`` renders whole prefixes that far
+    apart and the turns between them after the last two turns alone: linear
+    instead of quadratic in the turns, but rewriting that is undone within a step
+    is then seen only within two turns."""
     render = template or InstTemplate()
     span = pa.list_(pa.struct([("role", pa.string()), ("start", pa.int64()), ("stop", pa.int64()),
                                ("text_start", pa.int64()), ("text_stop", pa.int64()), ("loss", pa.bool_())]))
@@ -180,7 +184,9 @@ def format_conversations(rows: DataFrame, template: Template | None = None, conv
 
 
 def marked_turns(text: str) -> list[Turn]:
-    """Turns of an ``InstTemplate`` output, read from its marks alone."""
+    """Turns of an ``InstTemplate`` output, read from its marks alone (``ValueError`` for any other text)."""
+    if not text.startswith("<s>"):
+        raise ValueError("the text does not begin a conversation")
     at, found = len("<s>"), []
     shapes = (("[INST] ", " [/INST]", "user"), (" ", "</s>", "assistant"), ("[SYS]", "[/SYS]", "system"))
     while at < len(text):
@@ -188,7 +194,10 @@ def marked_turns(text: str) -> list[Turn]:
             if text.startswith(head, at):
                 break
         else:
-            head = re.compile(r"\[ROLE ((?:[^\\\]]|\\.)*)\]", re.S).match(text, at).group(0)
+            named = re.compile(r"\[ROLE ((?:[^\\\]]|\\.)*)\]", re.S).match(text, at)
+            if named is None:
+                raise ValueError(f"no turn begins at {at}")
+            head = named.group(0)
             tail, role = "[/ROLE]", InstTemplate.unescape(head[len("[ROLE "):-1])
         end = text.index(tail, at + len(head))
         found.append((role, InstTemplate.unescape(text[at + len(head):end])))
@@ -198,17 +207,28 @@ def marked_turns(text: str) -> list[Turn]:
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """From formatted conversations: ``conv_id``, ``n_turns``, ``turns_sha256``, ``loss_chars``, ``loss_sha256``,
-    ``formatted_chars``.  Turns come from the marks in the text, the loss text from the mask."""
+    ``formatted_chars``.  Turns come from the marks in the text, the loss text from the mask.
+
+    A conversation whose history the template rewrote has no mask: its loss
+    columns are null.  A text that is no ``InstTemplate`` output has no marks to
+    read: ``n_turns`` and ``turns_sha256`` are null.  ``formatted_chars`` is there
+    always."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                turns = marked_turns(text)
-                loss = "".join(InstTemplate.unescape(text[s["text_start"]:s["text_stop"]]) for s in spans if s["loss"])
-                joined = "".join(f"{role}\n{said}\n" for role, said in turns)
-                out.append((len(turns), hashlib.sha256(joined.encode()).hexdigest(), len(loss),
-                            hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-            yield pa.record_batch([batch.column(0), *[pa.array(c) for c in (zip(*out) if out else [[]] * 5)]],
+                row: list = [None] * 4
+                try:
+                    turns = marked_turns(text)
+                    row[:2] = len(turns), hashlib.sha256("".join(f"{role}\n{said}\n" for role, said in turns).encode()).hexdigest()
+                except ValueError:
+                    pass
+                if spans is not None:
+                    loss = "".join(InstTemplate.unescape(text[s["text_start"]:s["text_stop"]]) for s in spans if s["loss"])
+                    row[2:] = len(loss), hashlib.sha256(loss.encode()).hexdigest()
+                out.append((*row, len(text)))
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            yield pa.record_batch([batch.column(0), *[pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]],
                                   names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     return formatted.select("conv_id", "text", "spans").mapInArrow(

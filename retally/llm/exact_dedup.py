@@ -161,7 +161,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     carry = carry or [id_col]
     passed = _passed(docs, id_col, text_col, carry, False, parts)
-    cross = F.broadcast(_continued(passed))        # two rows per partition at most
+    cross = materialise(_continued(passed), "exact-cross")       # two rows per partition at most; the planner sees its size
     rows = passed.where("edge = 0").join(cross, ["pid", "run"], "left")
     return rows.select(
         *[F.col("row").getField(c).alias(c) for c in carry],
@@ -174,6 +174,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """The rows that stay, with all columns of ``docs``: one per group of equal texts."""
     passed = _passed(docs, id_col, text_col, docs.columns, True, parts)
-    cross = F.broadcast(_continued(passed).where(~F.col("is_start")).select("pid", "run"))
+    cross = materialise(_continued(passed).where(~F.col("is_start")).select("pid", "run"), "exact-cross")
     return (passed.where("edge = 0").join(cross, ["pid", "run"], "left_anti")
             .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -106,6 +106,8 @@ def multipliers(cells: DataFrame, sources: DataFrame, most: int = MOST) -> DataF
         state = state.drop("miss")
         if worst is None or worst <= EXACT:
             break
+    else:
+        raise ArithmeticError(f"a source is still {worst:.2e} off its target after {STEPS} Newton steps")
     # The order in which sums were added shows in the last digits only; without them reruns agree.
     return state.select("place", F.round("multiplier", 10).alias("multiplier"), "mean")
 

@@ -41,6 +41,7 @@ from retally.llm import tokens
 
 WINDOW = 2048
 BATCH = 128
+SLICE = 512          # full windows of one text handed on at once
 FINE_SHARE = 0.1
 GRAIN = 32
 
@@ -141,7 +142,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder_of(path)
         number = TaskContext.get().partitionId() << 32
-        held: dict[int, tuple[object, np.ndarray]] = {}     # row -> id, ids, while pieces of it wait
+        held: dict[int, tuple[object, np.ndarray, int, int]] = {}     # row -> id, waiting ids, ids before them, all ids
         rests: list[Piece] = []
         row = waiting = 0
 
@@ -151,9 +152,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for sequence in sequences:
                 offset = 0
                 for r, start, length in sequence:
-                    doc, ids = held[r]
-                    for column, value in zip(columns, (doc, start, length, ids[start:start + length].tobytes(),
-                                                       len(ids), number, offset)):
+                    doc, ids, before, total = held[r]
+                    for column, value in zip(columns, (doc, start, length, ids[start - before:start - before + length].tobytes(),
+                                                       total, number, offset)):
                         column.append(value)
                     offset += length
                 number += 1
@@ -162,15 +163,16 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             names = batch.column(0)
             for at, ids in tokens.encoded(batch.column(1), encoder, end_id):
-                held[row] = (names[at].as_py(), ids)
-                full = len(ids) - len(ids) % window
-                if full:
-                    yield block([[(row, a, window)] for a in range(0, full, window)])
+                doc, full = names[at].as_py(), len(ids) - len(ids) % window
+                for a in range(0, full, SLICE * window):       # the windows of a long text go out some at a time
+                    upto = min(full, a + SLICE * window)
+                    held[row] = (doc, ids[a:upto], a, len(ids))
+                    yield block([[(row, b, window)] for b in range(a, upto, window)])
+                held.pop(row, None)
                 if full < len(ids):
+                    held[row] = (doc, ids[full:].copy(), full, len(ids))        # not a view, which would keep the whole text's ids
                     rests.append((row, full, len(ids) - full))
                     waiting += len(ids) - full
-                else:
-                    del held[row]
                 row += 1
                 if waiting >= BATCH * window - window // 2:
                     yield block(_sequences(rests, window, False))

@@ -83,9 +83,20 @@ def text_bytes(df: DataFrame, text: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0)
 
 
+MAX_PARTS = 40_000       # Spark refuses more than 100,000 buckets, and shuffle blocks grow with mappers times reducers
+
+
+def part_count(size: int, parallelism: int, target_bytes: int = 16 * 1024 * 1024) -> int:
+    """Partitions for ``size`` bytes of text: about ``target_bytes`` each, no fewer than the parallelism (up to 64).
+
+    From ``MAX_PARTS`` on (640 GB) partitions grow instead of their number, to
+    2.5 GB at 100 TB: tasks stream their rows in batches, so their memory stays.
+    """
+    return max(2, min(MAX_PARTS, -(-size // target_bytes)), min(64, parallelism))
+
+
 def parts_for(df: DataFrame, text: str = "text", target_bytes: int = 16 * 1024 * 1024) -> int:
-    """Partitions of about ``target_bytes`` of text each, and no fewer than the session's parallelism."""
-    return max(2, -(-text_bytes(df, text) // target_bytes), min(64, df.sparkSession.sparkContext.defaultParallelism))
+    return part_count(text_bytes(df, text), df.sparkSession.sparkContext.defaultParallelism, target_bytes)
 
 
 def bucketed(df: DataFrame, key: str, buckets: int, purpose: str) -> DataFrame:

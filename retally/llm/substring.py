@@ -258,7 +258,7 @@ def _stored(docs: DataFrame, id_col: str, text_col: str, plan: _Plan, parts: int
             yield block()
 
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-               .repartitionByRange(parts, F.col("id").asc_nulls_last())
+               .repartitionByRange(parts, F.col("id").asc_nulls_last(), F.xxhash64("text"))     # null or repeated ids spread
                .sortWithinPartitions(F.col("id").asc_nulls_last(), F.xxhash64("text")))
     return ordered.mapInArrow(run, "batch long, ids array<long>, payload binary")
 

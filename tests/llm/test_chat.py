@@ -82,3 +82,31 @@ def test_step_one_sees_rewriting_that_is_undone_later(spark):
     assert format_conversations(rows, passing, step=1).first().rewritten_at == 39
     whole = format_conversations(rows, step=1).first()
     assert whole.rewritten_at is None and whole == format_conversations(rows).first()
+
+
+def test_every_prefix_is_rendered_by_default_wherever_it_is(spark):
+    """Rewriting that is undone a few turns later is seen early and late in a conversation alike."""
+    plain = InstTemplate()
+    turns = [("user" if k % 2 == 0 else "assistant", f"text {k}") for k in range(64)]
+    for n in (7, 36, 40, 61):
+        def passing(given, n=n):
+            return plain([given[0], ("assistant", "changed"), *given[2:]] if len(given) == n else given)
+
+        assert locate(passing, turns)[2] == n - 1
+    rows = spark.createDataFrame([(1, k, *t) for k, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    assert format_conversations(rows, passing).first().rewritten_at == 60
+
+
+def test_read_back_of_rewritten_and_foreign_outputs(spark):
+    from retally.llm.chat import read_back
+
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (2, 0, "assistant", "d")],
+                                 "conv_id long, turn long, role string, text string")
+
+    def forgets(turns):
+        return "".join(f"{r}:{t};" if k == len(turns) - 1 else f"{r};" for k, (r, t) in enumerate(turns))
+
+    got = {r.conv_id: r for r in read_back(format_conversations(rows, forgets)).collect()}
+    assert (got[1].n_turns, got[1].loss_chars, got[1].loss_sha256, got[1].turns_sha256) == (None, None, None, None)
+    assert got[1].formatted_chars == len("user;assistant;user:c;")
+    assert (got[2].n_turns, got[2].loss_chars, got[2].loss_sha256) == (None, 1, hashlib.sha256(b"d").hexdigest())

@@ -57,9 +57,13 @@ def test_every_stage_equals_brute_force(spark):
     assert sum(r.length for r in pieces) == total
     copies = after.groupby("doc_id").size().to_dict()
     text = dict(zip(after.doc_id, after.text))
-    for doc in list(copies)[:20]:
+    of_doc: dict = {}
+    for r in pieces:
+        of_doc.setdefault(r.doc_id, []).append((r.start, r.length, bytes(r.ids)))
+    assert set(of_doc) == set(copies)
+    for doc in copies:
         ids = np.array(tokenizer.encode(text[doc], add_special_tokens=False).ids + [1], "<u4")
-        found = sorted((r.start, r.length, bytes(r.ids)) for r in pieces if r.doc_id == doc)
+        found = sorted(of_doc[doc])
         cover = np.zeros(len(ids), int)
         for start, length, data in found:
             assert data == ids[start:start + length].tobytes()
@@ -129,3 +133,15 @@ def test_near_copies_with_null_and_repeated_ids(spark):
     texts = [t for _, t in rows]
     groups = {c for _, _, c in slow_groups([(k, t) for k, t in enumerate(texts)])}
     assert len(got) == len(groups)
+
+
+def test_rows_that_differ_in_another_column_only_are_rows_of_their_own(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, url string, tags map<string,string>"
+    text = " ".join(f"w{i}" for i in range(90))
+    rows = [(1, text, "en", "s", 1, "u1", {}), (1, text, "en", "s", 1, "u2", {}), (1, text, "en", "s", 1, "u2", {"a": "b"}),
+            (2, " ".join(f"v{i}" for i in range(90)), "en", "s", 1, "u3", {})]
+    docs = spark.createDataFrame(rows, schema)
+    mixed = cp.source_mixing(spark, docs, SF).collect()
+    assert {r.url for r in mixed} == {"u1", "u2", "u3"} and len(mixed) == 4
+    near = cp.simhash_near_dedup(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in near) == [1, 2]

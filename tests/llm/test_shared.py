@@ -33,3 +33,20 @@ def test_parts_grow_with_the_text(spark):
     few = spark.createDataFrame([("a",)], "text string")
     many = spark.range(40).select(F.repeat(F.lit("x"), 1_000_000).alias("text"))
     assert parts_for(few, target_bytes=100_000) < parts_for(many, target_bytes=100_000) == 400
+
+
+def test_partitions_are_bounded_at_any_size():
+    from retally.llm.shared import MAX_PARTS, part_count
+
+    assert part_count(0, 8) == 8 and part_count(10**9, 8) == 60
+    for size in (10**12, 2 * 10**12, 10**14, 10**16):                 # 1 TB to 10 PB
+        assert part_count(size, 6000) <= MAX_PARTS < 100_000
+
+
+def test_plans_for_100_terabytes_stay_within_what_spark_accepts():
+    from retally.llm.shared import part_count
+    from retally.llm.substring import _Plan
+
+    plan = _Plan(10**14)
+    assert part_count(10**14, 6000) < 100_000                          # buckets of the stored batches
+    assert plan.batch_bytes < 2**28 and plan.ranges < 10**6
