@@ -36,17 +36,22 @@ from retally.llm.simhash import near_groups
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _row_hash() -> Column:
-    return F.xxhash64(*COLUMNS)
+def _compared(docs: DataFrame) -> list[str]:
+    """The columns that tell rows apart: all but maps, which Spark neither hashes nor compares."""
+    return [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*[docs[f"`{c}`"] for c in _compared(docs)])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """What the operators read, under a name that no other column has."""
-    return docs.select(*COLUMNS, _row_hash().alias("row_hash"))
+    return docs.select(*COLUMNS, _row_hash(docs).alias("row_hash"))
 
 
 def _same_row(docs: DataFrame, verdicts: DataFrame) -> Column:
-    return (F.xxhash64(*[docs[c] for c in COLUMNS]) == verdicts["row_hash"]) & docs["doc_id"].eqNullSafe(verdicts["doc_id"])
+    return (_row_hash(docs) == verdicts["row_hash"]) & docs["doc_id"].eqNullSafe(verdicts["doc_id"])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +68,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     gone = materialise(rows, "pipeline-near")
     # Rows that repeat another in every column: all go with the losers, one of each comes back.
     repeated = materialise(gone.where("first").select("doc_id", "row_hash"), "pipeline-near-repeated")
-    again = docs.join(repeated, _same_row(docs, repeated), "left_semi").dropDuplicates(COLUMNS)
+    again = docs.join(repeated, _same_row(docs, repeated), "left_semi").dropDuplicates(_compared(docs))
     return docs.join(gone, _same_row(docs, gone), "left_anti").unionByName(again)
 
 
@@ -83,7 +88,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     # Rows that repeat another in every column are one row here, taken as often as all of them.
     repeated = materialise(verdicts.where("n_rows > 1"), "pipeline-repeated")
-    again = docs.join(repeated, _same_row(docs, repeated), "left_semi").dropDuplicates(COLUMNS)
+    again = docs.join(repeated, _same_row(docs, repeated), "left_semi").dropDuplicates(_compared(docs))
     return taken(docs, verdicts.where("n_rows = 1")).unionByName(taken(again, repeated))
 
 
