@@ -12,12 +12,11 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from retally.registry import JOBS  # noqa: E402
-from retally.session import local_session  # noqa: E402
+from retally.session import local_session, scratch_path  # noqa: E402
 from retally.sources.derived import exam_tables_from_tpch  # noqa: E402
 from retally.sources.snapshot import write_snapshot  # noqa: E402
 
@@ -26,8 +25,7 @@ def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.1"
     names = [a for a in argv[1:] if not a.startswith("/")] or ["scrutiny_annual_rt", "gated_semester_rv"]
     spark = local_session(8, 16)
-    snap = write_snapshot(exam_tables_from_tpch(spark, sf_dir), tempfile.mkdtemp(prefix="plans-") + "/s",
-                          buckets=16)
+    snap = write_snapshot(exam_tables_from_tpch(spark, sf_dir), scratch_path(spark, "plans"), buckets=16)
     for name in names:
         df = JOBS[name](spark, snap, sf_dir)
         rows = len(df.collect())

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from retally.plans.reconcile import accepted_counts  # noqa: E402
 from retally.plans.report import scrutiny_report  # noqa: E402
-from retally.session import local_session  # noqa: E402
+from retally.session import local_session, scratch_path  # noqa: E402
 from retally.sources.derived import exam_tables_from_tpch  # noqa: E402
 from retally.sources.snapshot import write_snapshot  # noqa: E402
 from retally.specs import REPORTS  # noqa: E402
@@ -74,7 +74,7 @@ def main(argv: list[str]) -> None:
     spark = local_session(8, 32, app="retally-skew", extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         "spark.sql.adaptive.coalescePartitions.enabled": "false"})
-    snap = write_snapshot(exam_tables_from_tpch(spark, sf_dir), tempfile.mkdtemp(prefix="skew-snap-") + "/s")
+    snap = write_snapshot(exam_tables_from_tpch(spark, sf_dir), scratch_path(spark, "skew"))
     spec = REPORTS["annual_rt"]
     hot = snap[spec.application_table].withColumn("subcode", F.lit("S1")).withColumn("semyr_code", F.lit("1"))
     t = snap.with_table(spec.application_table, hot)
