@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 12 * 1024 * 1024     # text gathered at once
+SLICE_BYTES = 4 * 1024 * 1024      # text gathered at once
 REMEMBER = 300_000                # word stems kept between slices, per Python worker
 PROBE = ("hello", "straße", "élève", "ñandú", "слово", "überzeugung", "a")
 PLAIN_END = ".,;:!?#$%&*|"       # a run of these after letters is a token run of its own
@@ -135,3 +135,5 @@ def encoded(texts: pa.Array, encoder: WordEncoder, end_id: int) -> Iterator[tupl
         ids, bounds = encoder.texts(texts.slice(a, b - a))
         for k in range(b - a):
             yield a + k, np.append(ids[bounds[k]:bounds[k + 1]], np.uint32(end_id))
+        del ids
+        pa.default_memory_pool().release_unused()      # what a slice took is given back before the next one
