@@ -7,7 +7,8 @@ import hashlib
 import pytest
 
 from retally.llm.shared import fresh_path
-from retally.llm.warc import END, archived, parse_records, read_payloads, restore_records, write_archive, write_records
+from retally.llm.warc import (END, archived, members, parse_records, read_payloads, restore_records, write_archive, write_members,
+                              write_records)
 
 SCHEMA = "page_id long, url string, html string, strong string, payload string, bytes string"
 
@@ -61,6 +62,43 @@ def test_payloads_are_stored_once_and_records_are_restored(spark):
     assert data.endswith(END.encode())
 
 
+def stored_files(spark, path):
+    return [bytes(r.content) for r in spark.read.format("binaryFile").load(path).where("length > 0").collect()]
+
+
+def test_a_member_per_record_and_files_cut_by_bytes(spark):
+    records = [b"WARC/1.1\r\nContent-Length: 64\r\n\r\n" + hashlib.sha512(bytes([i])).digest() for i in range(60)]
+    out = fresh_path(spark, "test-warc-cut")
+    write_members(spark.createDataFrame([(r,) for r in records], "record binary").coalesce(1), out, file_bytes=1000)
+    files = stored_files(spark, out)
+    assert len(files) > 5 and all(len(f) < 1100 for f in files)
+    read = [m for f in files for m in members(memoryview(f)) if m]
+    assert sorted(read) == sorted(r + END.encode() for r in records)
+    assert b"".join(gzip.decompress(f) for f in files) == b"".join(read)          # any gzip reader reads the files through
+    with pytest.raises(ValueError):
+        list(members(memoryview(files[0])[:-30]))
+
+
+def test_a_record_longer_than_a_file(spark):
+    rows = [(1, "u", "é\r\n" * 2_000_000), (2, "u", "é\r\n" * 2_000_000), (3, "u", "x")]
+    got = sorted((tuple(r) for r in archived(frame(spark, rows)).collect()), key=str)
+    assert got == slow(rows)
+
+
+def test_a_header_that_does_not_fit_its_payload_is_refused(spark):
+    path = fresh_path(spark, "test-warc-wrong")
+    write_archive(frame(spark, [(1, "u", "x"), (2, "u", "y")]), path)
+    headers = spark.read.option("lineSep", END).text(f"{path}/headers").where("value <> ''")
+    wrong = headers.selectExpr("replace(value, 'sha1:', 'sha1:A') AS value")
+    other = fresh_path(spark, "test-warc-wrong-headers")
+    wrong.write.option("lineSep", END).text(f"{other}/headers")
+    spark.read.format("binaryFile").load(f"{path}/payloads").where("length > 0").selectExpr("CAST(substring(content, 1, length(content) - 1) AS STRING) AS value") \
+        .write.option("lineSep", "\x00").option("maxRecordsPerFile", 1).text(f"{other}/payloads")
+    assert len(restore_records(spark, path).collect()) == 2
+    with pytest.raises(Exception, match="does not match the digest of its record"):
+        restore_records(spark, other).collect()
+
+
 def test_broken_files_are_refused():
     with pytest.raises(ValueError):
         list(parse_records(b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabcd\r\n\r\n"))
