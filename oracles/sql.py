@@ -211,6 +211,14 @@ PUBLISHED_DATED = with_exam("\nUNION ALL\n".join(
 
 SNAPSHOT_LOAD = with_exam("SELECT * FROM result_annual")
 
+def _open_forms(key: str) -> str:
+    """Application rows whose form is in no earlier report and, in semester reports, paid."""
+    table, _, recorded, _, purpose, _, types, needs_payment, _ = RULES[key]
+    earlier = f"SELECT CAST(scanno AS INTEGER) FROM {recorded}" + (f" WHERE scrutiny_type IN ({types})" if types else "")
+    paid = f" AND scanno IN ({_paid_ids(purpose)})" if needs_payment else ""
+    return f"SELECT '{key}' AS report, id, scanno FROM {table} WHERE scanno NOT IN ({earlier}){paid}"
+
+
 ORACLES: dict[str, str] = {
     "file_register": FILE_REGISTER,
     "latest_drop": LATEST_DROP,
@@ -242,6 +250,7 @@ ORACLES: dict[str, str] = {
     "scrutiny_semester_rt": _report_sql("semester_rt"),
     "scrutiny_semester_rv": _report_sql("semester_rv"),
     "scrutiny_null_history": with_exam(_report_body("annual_rt", NULL_HISTORY + " h") + "\nUNION ALL\n" + _report_body("annual_rv", NULL_HISTORY + " h")),
+    "open_forms": with_exam("\nUNION ALL\n".join(_open_forms(k) for k in RULES)),
     "gated_annual_rt": _gated_sql("annual_rt", "01/01/1996"),
     "gated_annual_rv": _gated_sql("annual_rv", "01/01/1996"),
     "gated_semester_rt": _gated_sql("semester_rt", "01/01/1996"),

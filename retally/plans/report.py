@@ -7,7 +7,9 @@ Plan, in order of cost:
 2. the groups that passed the gate, the ``NOT IN`` history exclusion and
    (semester) the captured-payment ``IN``, each where its other side fits a
    broadcast by the planner's estimate: wide rows of other groups, reported or
-   unpaid forms go before anything is made of them, without an exchange;
+   unpaid forms go before anything is made of them, without an exchange.  Form
+   numbers that do not fit as keys may fit as bitmaps (``form_bitmaps``), which
+   are then probed here;
 3. one Generate turns each application row into its applied slots (rows with
    none vanish): from here on a row is its 13 header columns, the slot number
    and the marks, so no exchange ever carries the wide slot columns;
@@ -32,9 +34,11 @@ from pyspark.sql import functions as F
 
 from retally.functions.casts import to_int
 from retally.functions.dates import format_day
+from retally.operators.bitmaps import bitmap_bytes, key_bitmaps
 from retally.operators.fanout import explode_applied, q, slot_case
-from retally.operators.membership import fits_broadcast, is_in, not_in
+from retally.operators.membership import broadcast_limit, fits_broadcast, is_in, not_in
 from retally.plans.reconcile import paid_ids
+from retally.sources.sinks import checkpointed
 from retally.sources.tables import ExamTables
 from retally.specs import (APPLIED_STATUS, FLAG_TRUE, HEADER_COLUMNS, PAID_STATUS,
                            ReportSpec, Slot)
@@ -52,32 +56,58 @@ def applied_rule(spec: ReportSpec):
     return keep
 
 
+def reported_forms(tables: ExamTables, spec: ReportSpec, strict: bool = True) -> DataFrame:
+    """Form numbers (``form``) in the report's history, NULLs and repeats included."""
+    history = tables[spec.history_table]
+    if spec.history_types is not None:
+        history = history.where(F.col("scrutiny_type").isin(*spec.history_types))
+    return history.select(to_int("scanno", strict).alias("form"))
+
+
+def paid_forms(tables: ExamTables, spec: ReportSpec, strict: bool = True) -> DataFrame:
+    """Form numbers (``form``) with a captured payment for the report's purpose."""
+    return paid_ids(tables["payment"], spec.purpose, strict=strict).select(F.col("paid_scanno").alias("form"))
+
+
+def form_bitmaps(tables: ExamTables, forms: DataFrame) -> DataFrame | None:
+    """Bitmaps of form numbers, written to the shared folder; None where they are too large to broadcast as well.
+
+    Their size is counted before they are built, and the planner sees the size
+    of the written table: no broadcast is forced.
+    """
+    limit = broadcast_limit(forms)
+    if limit <= 0 or bitmap_bytes(forms, "form") > limit:
+        return None
+    return checkpointed(tables.spark, key_bitmaps(forms, "form"), "bitmaps")
+
+
 def applied_papers(tables: ExamTables, spec: ReportSpec, groups: DataFrame | None = None,
                    strict: bool = True) -> DataFrame:
     """One narrow row per applied paper that may enter the report: ``id``, header, ``app_date``, ``_slot``, ``marks``."""
     apps = tables[spec.application_table].where(
         (F.col("retotaling_status") == APPLIED_STATUS) & (F.col("payment_status") == PAID_STATUS))
-    history = tables[spec.history_table]
-    if spec.history_types is not None:
-        history = history.where(F.col("scrutiny_type").isin(*spec.history_types))
-    # (what the form numbers or groups meet, the step that keeps the rows it allows)
-    steps: list[tuple[DataFrame, Callable[[DataFrame, bool], DataFrame]]] = []
+    # (whether the other side is small enough to lie below the fan-out, the step that keeps the rows it allows)
+    steps: list[tuple[bool, Callable[[DataFrame, bool], DataFrame]]] = []
     if groups is not None:
         keys = groups.select("subcode", "semyr_code").distinct()
-        steps.append((keys, lambda df, above: df.join(keys, ["subcode", "semyr_code"])))
-    steps.append((history, lambda df, above: not_in(df, "scanno", history, to_int("scanno", strict), in_place=above)))
+        steps.append((fits_broadcast(keys), lambda df, above: df.join(keys, ["subcode", "semyr_code"])))
+    history = reported_forms(tables, spec, strict)
+    seen = None if fits_broadcast(history) else form_bitmaps(tables, history)
+    steps.append((seen is not None or fits_broadcast(history),
+                  lambda df, above: not_in(df, "scanno", history, "form", in_place=above, bitmaps=seen)))
     if spec.payment_semi_join:
-        paid = paid_ids(tables["payment"], spec.purpose, strict=strict)
-        steps.append((paid, lambda df, above: is_in(df, "scanno", paid, "paid_scanno", in_place=above)))
-    above = [not fits_broadcast(side) for side, _ in steps]
-    for (_, step), late in zip(steps, above):
-        apps = apps if late else step(apps, False)
+        paid = paid_forms(tables, spec, strict)
+        captured = None if fits_broadcast(paid) else form_bitmaps(tables, paid)
+        steps.append((captured is not None or fits_broadcast(paid),
+                      lambda df, above: is_in(df, "scanno", paid, "form", in_place=above, bitmaps=captured)))
+    for small, step in steps:
+        apps = step(apps, False) if small else apps
     rows = explode_applied(
         apps, spec.slots, applied_rule(spec), {"marks": lambda s: q(s.name + "_th")},
         keep_columns=["id", *HEADER_COLUMNS, "app_date"], slot_column="_slot",
     )
-    for (_, step), late in zip(steps, above):
-        rows = step(rows, True) if late else rows
+    for small, step in steps:
+        rows = rows if small else step(rows, True)
     return rows
 
 

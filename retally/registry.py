@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from retally import schemas
+from retally.operators.bitmaps import key_bitmaps
+from retally.operators.membership import is_in, not_in
 from retally.plans import ingest, reconcile, rejects, report, runs, status
 from retally.session import scratch_path
 from retally.sources.derived import exam_tables_from_tpch
@@ -224,6 +226,19 @@ def _report(key: str) -> Job:
     return lambda spark, t, sf_dir: report.scrutiny_report(t, REPORTS[key])
 
 
+def _open_forms(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
+    """Application rows not yet reported and, in semester reports, paid: both tests by bitmaps of form numbers."""
+    out = []
+    for key, spec in REPORTS.items():
+        reported, paid = report.reported_forms(t, spec), report.paid_forms(t, spec)
+        rows = not_in(t[spec.application_table], "scanno", reported, "form",
+                      bitmaps=checkpointed(spark, key_bitmaps(reported, "form"), "bitmaps"))
+        if spec.payment_semi_join:
+            rows = is_in(rows, "scanno", paid, "form", bitmaps=checkpointed(spark, key_bitmaps(paid, "form"), "bitmaps"))
+        out.append(rows.select(F.lit(key).alias("report"), "id", "scanno"))
+    return _union_all(out)
+
+
 def _null_history(spark: SparkSession, t: ExamTables, sf_dir: str) -> DataFrame:
     """Both annual reports over a history with one NULL form number of type rv: it empties the rv report alone."""
     history = t["annual_scrutiny_report"].unionByName(
@@ -267,6 +282,7 @@ JOBS: dict[str, Job] = {
     "scrutiny_semester_rt": _report("semester_rt"),
     "scrutiny_semester_rv": _report("semester_rv"),
     "scrutiny_null_history": _null_history,
+    "open_forms": _open_forms,
     "gated_annual_rt": _gated("annual_rt", RUN_DATE),
     "gated_annual_rv": _gated("annual_rv", RUN_DATE),
     "gated_semester_rt": _gated("semester_rt", RUN_DATE),
