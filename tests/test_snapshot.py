@@ -13,7 +13,7 @@ from retally.sources.derived import exam_tables_from_tpch
 from retally.sources.snapshot import MAX_BUCKETS, bucket_count, load_snapshot, table_checksums, write_dump, write_snapshot
 from retally.sources.tables import ALL_TABLES, ExamTables
 from retally.specs import REPORTS
-from tests.fixtures import result_row, tables
+from tests.fixtures import pay_row, result_row, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -126,3 +126,34 @@ def test_scratch_is_removed_on_request(spark):
     assert os.path.isdir(local) and path.startswith(shared_dir(spark))
     release_scratch(spark)
     assert not os.path.exists(local)
+
+
+def test_row_text_of_wide_rows_is_length_and_text_of_every_column(spark):
+    from retally.sources.checksum import row_text
+
+    names = [f"c{i}" for i in range(134)]
+    values = [None if i % 3 == 0 else "" if i % 7 == 0 else f"é{i}:" for i in range(134)]
+    df = spark.createDataFrame([tuple(values)], ", ".join(f"{n} string" for n in names))
+    text = df.select(row_text(names).alias("t"))
+    assert text.first().t == "".join("-" if v is None else f"{len(v)}:{v}" for v in values)
+    plan = text._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(") == 1        # one for all columns, no concat with a part for each of them
+
+
+def test_snapshot_tables_derives_once_and_gives_the_verified_sums(spark, monkeypatch):
+    from retally import registry
+
+    seen, honest = [], registry.write_dump
+
+    def watching(t, folder, fmt):
+        seen.append((fmt, t["payment"].inputFiles()))
+        honest(t, folder, fmt)
+
+    monkeypatch.setattr(registry, "write_dump", watching)
+    t = tables(spark, result_annual=[result_row(1)], payment=[pay_row(1, "RETOT")])
+    found = registry.JOBS["snapshot_tables"](spark, t, "")
+    assert [f for f, _ in seen] == ["parquet", "csv"] and not seen[0][1] and all("/dump/" in f for f in seen[1][1]) and seen[1][1]
+    assert found.inputFiles() and all("/checksums/" in f for f in found.inputFiles())      # stored tables are not read again
+    rows = {(r.fmt, r.table_name): (r.rows, r.checksum) for r in found.collect()}
+    want = {r.table_name: (r.rows, r.checksum) for r in table_checksums(t).collect()}
+    assert rows == {(f, n): v for f in ("csv", "parquet") for n, v in want.items()}
