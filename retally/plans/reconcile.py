@@ -117,15 +117,26 @@ def accepted_for_purposes(pairs: list[tuple[DataFrame, str]], payment: DataFrame
     branch together with the payment parse.
     Columns: pay_for, subcode, semyr_code, scanno.
     """
+    return _with_payment(applied_for_purposes(pairs), [p for _, p in pairs], payment, strict)
+
+
+def applied_for_purposes(pairs: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Applications paid in the form and applied for, tagged with their purpose."""
     apps = None
     for df, purpose in pairs:
         part = (df.where((F.col("payment_status") == PAID_STATUS) & (F.col("retotaling_status") == APPLIED_STATUS))
                 .select(F.lit(purpose).alias("pay_for"), "subcode", "semyr_code", "scanno"))
         apps = part if apps is None else apps.unionByName(part)
-    paid = (paid_ids(payment, *[p for _, p in pairs], strict=strict)
+    return apps
+
+
+def _with_payment(apps: DataFrame, purposes: list[str], payment: DataFrame, strict: bool) -> DataFrame:
+    paid = (paid_ids(payment, *purposes, strict=strict)
             .select(F.col("pay_for").alias("_pf"), F.col("paid_scanno").alias("_pid"))
             .where(F.col("_pid").isNotNull()).distinct())
-    return (apps.join(paid, (F.col("pay_for") == F.col("_pf")) & (F.col("scanno") == F.col("_pid")))
+    # Columns of few values make a file a tenth of its rows or less, and the planner judges by the file: keys it takes for
+    # 10 MB are 900 MB in every task of a broadcast join.  Sorted, they take a partition's share and can be spilled.
+    return (apps.join(paid.hint("merge"), (F.col("pay_for") == F.col("_pf")) & (F.col("scanno") == F.col("_pid")))
             .select("pay_for", "subcode", "semyr_code", "scanno"))
 
 
@@ -201,38 +212,47 @@ def list_members(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame]
                  payment: DataFrame, strict: bool = True) -> DataFrame:
     """The distinct members of both lists of every group: pay_for, group columns, scanno, ``accepted`` (False: paid list).
 
-    Give the parsed payments (``captured_forms``): both lists read them.  Each
-    payment's purpose names its layout and semester suffix, so its group key is
-    (layout, course, semyr_code) with the suffix stripped (``sem = semyr_code ||
+    Give the parsed payments (``captured_forms``): both lists read them.  A list
+    is one purpose in one group and has a number; payments meet the lists by
+    purpose, course and semester with the suffix stripped (``sem = semyr_code ||
     suffix`` exactly when ``sem`` ends in the suffix and the rest equals
-    ``semyr_code``).  Applications of all purposes go through one semi join
-    (``accepted_for_purposes``).  Groups of each layout are joined once per list.
+    ``semyr_code``), applications by purpose, subcode and semester.  Members are
+    made distinct by the list's number, and the names follow afterwards.  The
+    applications are written first, so that no task holds the sorts of the wide
+    tables beside those of the lists.
     """
-    layout_of = F.create_map(*[x for s in specs for x in (F.lit(s.purpose), F.lit(s.layout))])
+    spark = payment.sparkSession
+    purposes = [s.purpose for s in specs]
     suffix_of = F.create_map(*[x for s in specs for x in (F.lit(s.purpose), F.lit(s.sem_suffix))])
-    groups = _all_groups(groups_by_layout)
+    lists = checkpointed(spark, _all_lists(specs, groups_by_layout).withColumn("_list", F.monotonically_increasing_id()), "lists")
 
-    pay = paid_ids(payment, *[s.purpose for s in specs], strict=strict)
-    suffix = suffix_of[F.col("pay_for")]
+    pay = paid_ids(payment, *purposes, strict=strict)
     sem = F.col("sem")
     pay = pay.select(
-        "pay_for",
-        layout_of[F.col("pay_for")].alias("_p_layout"),
+        F.col("pay_for").alias("_p_for"),
         F.col("course").alias("_p_course"),
-        F.when(sem.endswith(suffix), F.expr("substring(sem, 1, length(sem) - 1)")).alias("_p_semyr"),
+        F.when(sem.endswith(suffix_of[F.col("pay_for")]), F.expr("substring(sem, 1, length(sem) - 1)")).alias("_p_semyr"),
         F.col("paid_scanno").alias("scanno"),
     )
-    paid = (groups.join(pay, (F.col("_layout") == F.col("_p_layout")) & (F.col("course") == F.col("_p_course"))
-                        & (F.col("semyr_code") == F.col("_p_semyr")))
-            .select("pay_for", *GROUP_COLUMNS, "scanno", F.lit(False).alias("accepted")))
-
-    acc = accepted_for_purposes([(applications[s.key], s.purpose) for s in specs], payment, strict).select(
-        "pay_for", layout_of[F.col("pay_for")].alias("_a_layout"),
-        F.col("subcode").alias("_a_subcode"), F.col("semyr_code").alias("_a_semyr"), "scanno")
-    accepted = (groups.join(acc, (F.col("_layout") == F.col("_a_layout")) & (F.col("subcode") == F.col("_a_subcode"))
-                            & (F.col("semyr_code") == F.col("_a_semyr")))
-                .select("pay_for", *GROUP_COLUMNS, "scanno", F.lit(True).alias("accepted")))
-    return paid.unionByName(accepted).distinct()
+    paid = (lists.join(pay, (F.col("pay_for") == F.col("_p_for")) & (F.col("course") == F.col("_p_course"))
+                       & (F.col("semyr_code") == F.col("_p_semyr")))
+            .select("_list", "scanno", F.lit(False).alias("accepted")))
+
+    applied = checkpointed(spark, applied_for_purposes([(applications[s.key], s.purpose) for s in specs]), "applied")
+    acc = _with_payment(applied, purposes, payment, strict).select(
+        F.col("pay_for").alias("_a_for"), F.col("subcode").alias("_a_subcode"), F.col("semyr_code").alias("_a_semyr"), "scanno")
+    accepted = (lists.join(acc, (F.col("pay_for") == F.col("_a_for")) & (F.col("subcode") == F.col("_a_subcode"))
+                           & (F.col("semyr_code") == F.col("_a_semyr")))
+                .select("_list", "scanno", F.lit(True).alias("accepted")))
+    return (paid.unionByName(accepted).distinct().join(lists, "_list")
+            .select("pay_for", *GROUP_COLUMNS, "scanno", "accepted"))
+
+
+def _all_lists(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame]) -> DataFrame:
+    """Every purpose with every group of its layout."""
+    purposes = F.explode(F.array(*[F.struct(F.lit(s.purpose).alias("pay_for"), F.lit(s.layout).alias("_of")) for s in specs]))
+    return (_all_groups(groups_by_layout).select("*", purposes.alias("_p")).where(F.col("_p._of") == F.col("_layout"))
+            .select(F.col("_p.pay_for").alias("pay_for"), *GROUP_COLUMNS))
 
 
 def _all_groups(groups_by_layout: dict[str, DataFrame]) -> DataFrame:
@@ -267,9 +287,7 @@ def list_equality(specs: list[ReportSpec], groups_by_layout: dict[str, DataFrame
                   payment: DataFrame, strict: bool = True) -> DataFrame:
     """Per purpose and group: the sizes of both lists as sets and whether they are equal (two empty lists are)."""
     found = compared(list_members(specs, groups_by_layout, applications, payment, strict))
-    purposes = F.explode(F.array(*[F.struct(F.lit(s.purpose).alias("pay_for"), F.lit(s.layout).alias("_of")) for s in specs]))
-    every = (_all_groups(groups_by_layout).select("*", purposes.alias("_p")).where(F.col("_p._of") == F.col("_layout"))
-             .select(F.col("_p.pay_for").alias("pay_for"), *GROUP_COLUMNS))
+    every = _all_lists(specs, groups_by_layout)
     same = None
     for c in ("pay_for", *GROUP_COLUMNS):
         test = every[c].eqNullSafe(found[c])

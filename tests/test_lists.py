@@ -109,3 +109,18 @@ def test_too_many_rejects_fail_the_parse(spark):
     with pytest.raises(TooManyRejects, match="2 of 21"):
         reconcile.captured_forms(t, max_reject_share=0.05)
     assert reconcile.captured_forms(t).count() == 19                # the source loses them in silence
+
+
+def test_members_are_distinct_by_list_number_and_paid_keys_are_not_broadcast(spark):
+    """Many keys in a small file: the planner would broadcast them by the file's size."""
+    t = tables(spark, result_annual=[result_row(1), result_row(2, course="C2")],
+               annual_rt=[app_row(1), app_row(1), app_row(2, course="C2"), app_row(3)],
+               payment=[pay_row(1, "RETOT_ANNUAL"), pay_row(1, "RETOT_ANNUAL"), pay_row(2, "RETOT_ANNUAL", course="C2")])
+    df = lists_of(spark, t, reconcile.list_members)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "_pid" in line and "Join" in line]
+    assert keys and all("SortMergeJoin" in line for line in keys)
+    assert any("Aggregate(keys=[_list#" in line for line in plan.splitlines())
+    got = rows(df, "pay_for", *GROUP_COLUMNS, "scanno", "accepted")
+    both = [(c, "S1", "1", n, True) for c in ("C1", "C2") for n in (1, 2)]       # one subcode holds both courses
+    assert got == sorted([("RETOT_ANNUAL", *m) for m in [*both, ("C1", "S1", "1", 1, False), ("C2", "S1", "1", 2, False)]], key=repr)
