@@ -82,14 +82,18 @@ class WordEncoder:
         stem = pc.utf8_rtrim(words, characters=PLAIN_END)
         plain = pc.and_(pc.utf8_is_alpha(stem), pa.scalar(self.short))
         keys = pc.if_else(plain, pc.ascii_lower(stem), words).cast(pa.binary()).dictionary_encode()
-        lengths = pc.if_else(plain, pc.binary_length(stem), pc.binary_length(words)).to_pylist()
-        marks = pa.array([w[n:] for w, n in zip(words.cast(pa.binary()).to_pylist(), lengths)], pa.binary()).dictionary_encode()
+        plain, lengths = plain.to_numpy(zero_copy_only=False), pc.binary_length(stem).to_numpy()
+        marked = np.flatnonzero(plain & (lengths < pc.binary_length(words).to_numpy()))      # most words carry no marks
+        tails = zip(words.take(pa.array(marked)).cast(pa.binary()).to_pylist(), lengths[marked].tolist())
+        marks = pa.array([b"", *(w[n:] for w, n in tails)], pa.binary()).dictionary_encode()
+        mark = np.zeros(len(words), np.int64)
+        mark[marked] = marks.indices.to_numpy()[1:]
         index = keys.indices.to_numpy()
         stems = np.zeros(len(keys.dictionary), bool)
-        stems[index] = plain.to_numpy(zero_copy_only=False)
+        stems[index] = plain
         found = self.pieces(keys.dictionary, stems) + self.pieces(marks.dictionary, np.zeros(len(marks.dictionary), bool))
         pool = _lists(found)
-        both = np.stack([index, marks.indices.to_numpy() + len(stems)], axis=1).ravel()
+        both = np.stack([index, mark + len(stems)], axis=1).ravel()
         sizes = np.diff(pool.offsets.to_numpy())[both].reshape(-1, 2).sum(axis=1)
         return pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))), pool.take(pa.array(both)).flatten())
 

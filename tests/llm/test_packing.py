@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from tokenizers import Tokenizer
@@ -142,3 +143,21 @@ def test_files_are_ordered_by_part_number_not_by_name(spark):
     rows = [(f"part-{p:05d}-5e0d3f6c-0000-4000-8000-000000000000-c000.txt", 10 ** k) for k, p in enumerate(parts)]
     got = {r.file: r.before for r in ids_before(spark.createDataFrame(rows[::-1], "file string, n long")).collect()}
     assert [got[name] for name, _ in rows] == [sum(n for _, n in rows[:k]) for k in range(len(rows))]
+
+
+def test_only_words_with_marks_are_cut_one_by_one(monkeypatch):
+    """Marks of many words: ids equal the tokenizer's, and words without marks take no step of their own."""
+    encoder = tokens.encoder_of(tokens.default_path())
+    stems = [a + b for a in ("hello", "Straße", "ñandú", "word") for b in ("", "s", "er", "ing", "abc")]
+    words = [*stems, "hello.", "words,,", "Straßer!?", "...", "a1.", "<s>", "ñandú;x"]
+    lists, honest = [], pa.array
+
+    def spy(values, *more, **named):
+        if isinstance(values, list) and values and isinstance(values[0], bytes):
+            lists.append(len(values))
+        return honest(values, *more, **named)
+
+    monkeypatch.setattr(pa, "array", spy)
+    got = encoder.words(honest(words)).to_pylist()
+    assert got == [encoder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert lists == [1 + 3]
