@@ -1,14 +1,18 @@
 """Source divergence audit: how the sources of each language differ in their words.
 
-1. Terms (runs of ASCII letters, A-Z in lower case, and characters beyond
-   ASCII) of whole texts are written once to the shared folder, filed by
-   language.
+1. Whole texts are written once to the shared folder, filed by language, and
+   parted into terms (runs of ASCII letters, A-Z in lower case, and characters
+   beyond ASCII) where they are read: by Arrow kernels, cheaper than a stored
+   array of terms is to write and read.
 2. Per language a ``CountVectorizer`` with ``minDF = min_docs`` and the largest
    integer as ``vocabSize`` learns every term of at least ``min_docs``
-   documents and turns each document into its exact sparse count vector.
-3. The vectors are added up per (language, source), entry by entry and on the
-   map side first, as ``Summarizer`` does but sparse; only terms that occur in
-   a group have a row.
+   documents.  It asks only in how many documents a term is, so it is given each
+   document's distinct terms.  The model then turns each document, repeated
+   terms included, into its exact sparse count vector.
+3. The vectors are added up per (language, source), in each task by whole arrays
+   first, as ``Summarizer`` does but sparse; only terms that occur in a group
+   have a row.  Terms are numbered in UTF-8 order, so numbers stand for terms
+   until the listed ones are looked up at the end.
 4. A group's share of a term is ``1 + floor(SCALE * (n + 5) / (N + 5 V))`` (n its
    occurrences there, N those of all kept terms, V the kept terms), in whole
    numbers.  The divergence of two sources is the sum of the absolute
@@ -36,12 +40,12 @@ columns cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,70 +63,136 @@ BLOCK = 2048         # terms of a block
 ALL_TERMS = 2**31 - 1
 
 TERM_SLICE = 4 * 1024 * 1024      # bytes of text parted at once
+HELD = 2_000_000                  # entries of vectors that a task holds before it adds them up
+NARROW = 9_000_000_000            # below this, SCALE * (n + SMOOTHING) is a long
 _TABLE = bytes(b if 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
-def with_terms(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The other columns of ``docs`` and ``terms``, the terms of the whole text in order."""
+def _terms(texts: pa.Array) -> tuple[pa.ListArray, pa.Array]:
+    """The terms, in order, of the binary texts that have any, and which those are."""
+    texts = pc.fill_null(texts, b"")
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    plain = data.slice(bounds[0], bounds[-1] - bounds[0]).to_pybytes() if data else b""
+    blank = pa.StringArray.from_buffers(len(texts), pa.py_buffer(bounds - bounds[0]), pa.py_buffer(plain.translate(_TABLE)))
+    trimmed = pc.ascii_trim_whitespace(blank)
+    some = pc.not_equal(trimmed, "")
+    return pc.ascii_split_whitespace(trimmed.filter(some)), some
+
+
+def _distinct(lists: pa.ListArray) -> pa.ListArray:
+    """Every list with each of its terms once, in any order."""
+    coded = lists.flatten().dictionary_encode()
+    bits = len(coded.dictionary).bit_length()
+    row = np.repeat(np.arange(len(lists), dtype=np.int64) << bits, lists.value_lengths().to_numpy())
+    key = np.sort(row | coded.indices.to_numpy())
+    key = key[np.diff(key, prepend=-1) != 0]
+    bounds = np.searchsorted(key, np.arange(len(lists) + 1, dtype=np.int64) << bits)
+    return pa.ListArray.from_arrays(bounds.astype(np.int32), coded.dictionary.take(pa.array(key & ((1 << bits) - 1))))
+
+
+def with_terms(docs: DataFrame, text: str = "text", distinct: bool = False) -> DataFrame:
+    """The other columns of ``docs`` and ``terms``, those of the whole text, for documents that have any.
+
+    All terms in order, or each of a document's terms once.
+    """
     others = [c for c in docs.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).cast(pa.binary())
             for a, b in slices(texts, TERM_SLICE):
-                lists = [(t.as_py() or b"").translate(_TABLE).split() for t in texts.slice(a, b - a)]
-                flat = pa.array(chain.from_iterable(lists), pa.binary(), size=sum(map(len, lists))).cast(pa.string())
-                bounds = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-                yield pa.record_batch([*[c.slice(a, b - a) for c in batch.columns[:-1]], pa.ListArray.from_arrays(bounds, flat)],
+                lists, some = _terms(texts.slice(a, b - a))
+                yield pa.record_batch([*[c.slice(a, b - a).filter(some) for c in batch.columns[:-1]], _distinct(lists) if distinct else lists],
                                       names=[*others, "terms"])
 
     read = docs.select(*others, text)
     return read.mapInArrow(run, read.drop(text).schema.add("terms", T.ArrayType(T.StringType())))
 
 
+def _added(number: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds up the entries of (source, indices, values) rows of a task to (source, place, n); ``number``: places by index."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict[str, int] = {}
+        held: list[pa.Table] = []
+
+        def sums() -> pa.Table:
+            return pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+        def rows(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            source, place = np.divmod(table["key"].to_numpy(), len(number))
+            out = pa.table({"source": pa.array(list(names), pa.string()).take(pa.array(source)), "place": place.astype(np.int32), "n": table["n"]})
+            yield from out.to_batches(max_chunksize=65_536)
+
+        for batch in batches:
+            sources, places, values = batch.columns
+            coded = sources.dictionary_encode()
+            codes = np.array([names.setdefault(s, len(names)) for s in coded.dictionary.to_pylist()], np.int64)
+            base = np.repeat(codes[coded.indices.to_numpy()] * len(number), places.value_lengths().to_numpy())
+            held.append(pa.table({"key": base + number[places.flatten().to_numpy()], "n": values.flatten().cast(pa.int64())}))
+            if sum(map(len, held)) > HELD:
+                held = [sums()]
+                if len(held[0]) > HELD // 2:
+                    yield from rows(held.pop())
+                    names.clear()
+        if held:
+            yield from rows(sums())
+
+    return run
+
+
 def group_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
-                 min_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Tables (lang, source, term, n) of kept terms per group, (lang, source) of all groups, (lang, v) of vocabulary sizes."""
+                 min_docs: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Tables of the kept terms' counts (lang, source, place, n, lang_n), of all groups (lang, source), of
+    vocabulary sizes (lang, v) and of the vocabularies (lang, place, term), numbered from 0 in UTF-8 order.
+    """
     spark = docs.sparkSession
-    path = fresh_path(spark, "divergence-terms")
+    path = fresh_path(spark, "divergence-texts")
     read = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).alias("text"))
-    with_terms(read).withColumn("file_key", F.hex(F.xxhash64("lang"))).write.partitionBy("file_key").parquet(path)
-    terms = spark.read.schema("lang string, source string, terms array<string>, file_key string").parquet(path)
-    groups = materialise(terms.groupBy("lang", "source", "file_key").agg(F.count("*").alias("docs")), "divergence-groups")
+    read.withColumn("file_key", F.hex(F.xxhash64("lang"))).write.partitionBy("file_key").parquet(path)
+    texts = spark.read.schema("lang string, source string, text string, file_key string").parquet(path)
+    groups = materialise(texts.groupBy("lang", "source", "file_key").agg(F.count("*").alias("docs")), "divergence-groups")
     sums_path, vocabulary_path = fresh_path(spark, "divergence-sums"), fresh_path(spark, "divergence-vocabulary")
+    vector = F.unwrap_udt("vector")
     sizes = []
     for lang in groups.groupBy("lang", "file_key").agg(F.sum("docs").alias("docs")).collect():      # one row per language
-        own = terms.where((F.col("file_key") == lang["file_key"]) & (F.col("lang") == lang["lang"]))
+        own = texts.where((F.col("file_key") == lang["file_key"]) & (F.col("lang") == lang["lang"])).select("source", "text")
         if lang["docs"] < min_docs:                          # no term can be in so many documents
             sizes.append((lang["lang"], 0))
             continue
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=ALL_TERMS).fit(own)
+        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=ALL_TERMS).fit(
+            with_terms(own.select("text"), distinct=True))
         words = model.vocabulary
         sizes.append((lang["lang"], len(words)))
         if not words:
             continue
-        vector = F.unwrap_udt("vector")
-        entries = model.transform(own.where(F.size("terms") > 0)).select(
-            "lang", "source", F.explode(F.arrays_zip(vector["indices"].alias("place"), vector["values"].alias("n"))).alias("x"))
-        (entries.groupBy("lang", "source", F.col("x.place").alias("place")).agg(F.sum("x.n").cast("long").alias("n"))
+        order = sorted(range(len(words)), key=words.__getitem__)
+        number = np.empty(len(words), np.int64)
+        number[order] = np.arange(len(words))
+        entries = model.transform(with_terms(own)).select("source", vector["indices"].alias("places"), vector["values"].alias("n"))
+        counts = (entries.mapInArrow(_added(number), "source string, place int, n long").repartition("source", "place")
+                  .groupBy("source", "place").agg(F.sum("n").alias("n")))
+        (counts.select(F.lit(lang["lang"]).alias("lang"), "source", "place", "n",
+                       F.sum("n").over(Window.partitionBy("place")).alias("lang_n"))
          .write.mode("append").parquet(sums_path))
-        numbered = pa.table({"place": pa.array(np.arange(len(words), dtype=np.int32)), "term": pa.array(words, pa.string())})
+        numbered = pa.table({"place": pa.array(np.arange(len(words), dtype=np.int32)), "term": pa.array([words[k] for k in order], pa.string())})
         spark.createDataFrame(numbered).withColumn("lang", F.lit(lang["lang"])).write.mode("append").parquet(vocabulary_path)
     sized = spark.createDataFrame(sizes, "lang string, v long")
+    sums, vocabulary = "lang string, source string, place int, n long, lang_n long", "place int, term string, lang string"
     if not any(v for _, v in sizes):
-        return spark.createDataFrame([], "lang string, source string, term string, place int, n long"), groups, sized
-    sums = spark.read.schema("lang string, source string, place int, n long").parquet(sums_path)
-    vocabulary = spark.read.schema("place int, term string, lang string").parquet(vocabulary_path)
-    return sums.join(vocabulary, ["lang", "place"]), groups, sized
+        return spark.createDataFrame([], sums), groups, sized, spark.createDataFrame([], vocabulary)
+    return (spark.read.schema(sums).parquet(sums_path), groups, sized, spark.read.schema(vocabulary).parquet(vocabulary_path))
 
 
 def share(n: Column, total: Column, v: Column) -> Column:
     """``1 + floor(SCALE * (n + SMOOTHING) / (total + SMOOTHING * v))``, exactly (null without terms)."""
     wide = "decimal(22,0)"
+    below = F.nullif(total + SMOOTHING * v, F.lit(0))
     above = F.lit(SCALE).cast("decimal(10,0)") * (n + SMOOTHING).cast(wide)
-    below = F.nullif(total + SMOOTHING * v, F.lit(0)).cast(wide)
-    return F.call_function("div", above, below) + 1
+    narrow = F.call_function("div", F.lit(SCALE).cast("long") * (n + SMOOTHING), below)
+    return F.when(n < NARROW, narrow).otherwise(F.call_function("div", above, below.cast(wide))) + 1
 
 
 def _pair_sums(rows: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
@@ -158,13 +228,13 @@ def _pair_sums(rows: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
     return out.assign(lang=lang)[["lang", "source", "item", "value"]].astype({"value": "int64"})
 
 
-def _pairs(counted: DataFrame, groups: DataFrame) -> DataFrame:
+def _pairs(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value): divergence between every two sources of a language."""
     wide = Window.partitionBy("lang")
     sources = (groups.withColumn("tiles", F.ceil(F.count("*").over(wide) / TILE).cast("int"))
                .withColumn("tile", F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int"))
                .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("v") / BLOCK)).cast("int"))
-               .select("lang", "source", "v", "tile", "tiles", "blocks", F.coalesce("absent", F.lit(0).cast("long")).alias("absent")))
+               .select("lang", "source", "v", "total", "tile", "tiles", "blocks", F.coalesce("absent", F.lit(0).cast("long")).alias("absent")))
     sources = materialise(sources, "divergence-sources")
 
     def met(rows: DataFrame) -> DataFrame:
@@ -172,8 +242,8 @@ def _pairs(counted: DataFrame, groups: DataFrame) -> DataFrame:
         other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         return other.withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
 
-    entries = met(counted.join(sources.select("lang", "source", "tile", "tiles", "blocks"), ["lang", "source"])).select(
-        "lang", F.pmod("place", "blocks").alias("block"), "low", "high", "source", "place", "share")
+    shares = counts.join(sources.drop("absent"), ["lang", "source"]).withColumn("share", share(F.col("n"), F.col("total"), F.col("v")))
+    entries = met(shares).select("lang", F.pmod("place", "blocks").alias("block"), "low", "high", "source", "place", "share")
     bases = met(sources.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))).select(
         "lang", "block", "low", "high", "source", "tile", "absent", "v")
     key = ["lang", "block", "low", "high"]
@@ -182,8 +252,8 @@ def _pairs(counted: DataFrame, groups: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
-    place = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
+def _ranked(rows: DataFrame, item: str = "item") -> DataFrame:
+    place = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc(item))
     return rows.withColumn("rank", F.row_number().over(place))
 
 
@@ -194,8 +264,7 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     Part ``pair``: every other source of the language by divergence.  Part
     ``term``: the ``top`` terms with the largest surplus over the language.
     """
-    counts, groups, sizes = group_counts(docs, text_col, lang_col, source_col, min_docs)
-    counts = materialise(counts, "divergence-counts")
+    counts, groups, sizes, vocabulary = group_counts(docs, text_col, lang_col, source_col, min_docs)
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     none = F.lit(0).cast("long")
     whole = Window.partitionBy("lang")
@@ -204,14 +273,10 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
               .withColumn("lang_total", F.sum("total").over(whole))
               .withColumn("absent", share(F.lit(0), F.col("total"), F.col("v"))))
     groups = materialise(groups, "divergence-totals")
-    counted = (counts.join(groups, ["lang", "source"])
-               .withColumn("lang_n", F.sum("n").over(Window.partitionBy("lang", "place")))
-               .select("lang", "source", "place", "term", share(F.col("n"), F.col("total"), F.col("v")).alias("share"),
-                       share(F.col("lang_n"), F.col("lang_total"), F.col("v")).alias("lang_share")))
-    counted = materialise(counted, "divergence-shares")
-    pairs = _ranked(_pairs(counted, groups)).withColumn("part", F.lit("pair"))
-    above = counted.where("share > lang_share").select(
-        "lang", "source", F.col("term").alias("item"), (F.col("share") - F.col("lang_share")).alias("value"))
-    terms = _ranked(above).where(F.col("rank") <= top).withColumn("part", F.lit("term"))
+    pairs = _ranked(_pairs(counts, groups)).withColumn("part", F.lit("pair"))
+    surplus = share(F.col("n"), F.col("total"), F.col("v")) - share(F.col("lang_n"), F.col("lang_total"), F.col("v"))
+    above = counts.join(groups, ["lang", "source"]).select("lang", "source", "place", surplus.alias("value")).where("value > 0")
+    terms = (_ranked(above, "place").where(F.col("rank") <= top).join(vocabulary, ["lang", "place"])
+             .withColumnRenamed("term", "item").withColumn("part", F.lit("term")))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.select(*columns).unionByName(terms.select(*columns))

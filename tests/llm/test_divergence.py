@@ -95,6 +95,49 @@ def test_long_text_and_hot_term(spark):
     assert rows_of(source_divergence(spark.createDataFrame(docs, DOC))) == brute(docs)
 
 
+def test_fit_sees_each_term_of_a_document_once_and_no_terms_are_stored(spark, monkeypatch):
+    docs = made(4, 200)
+    given, folders = [], []
+    fit, fresh = divergence.CountVectorizer.fit, divergence.fresh_path
+
+    def counting(self, rows):
+        given.extend(sorted(r.terms) for r in rows.collect())
+        return fit(self, rows)
+
+    def noting(spark, purpose):
+        folders.append(fresh(spark, purpose))
+        return folders[-1]
+
+    monkeypatch.setattr(divergence.CountVectorizer, "fit", counting)
+    monkeypatch.setattr(divergence, "fresh_path", noting)
+    assert rows_of(source_divergence(spark.createDataFrame(docs, DOC).repartition(3))) == brute(docs)
+    langs = Counter(lang or "" for _, _, lang, _ in docs)
+    assert sorted(given) == sorted(t for t in (sorted(set(terms_of(text))) for _, text, lang, _ in docs if langs[lang or ""] >= 30) if t)
+    assert folders and not [f for f in folders if any(kind.startswith("array") for _, kind in spark.read.parquet(f).dtypes)]
+
+
+def test_sums_given_out_early_change_nothing(spark, monkeypatch):
+    docs = made(5, 300)
+    monkeypatch.setattr(divergence, "HELD", 40)
+    monkeypatch.setattr(divergence, "TERM_SLICE", 500)
+    assert rows_of(source_divergence(spark.createDataFrame(docs, DOC).repartition(2), min_docs=9, top=7)) == brute(docs, 9, 7)
+
+
+def test_terms_of_cut_arrays_with_nulls():
+    texts = ["skipped", None, "", " 1 ", "B a,a\u00a0b \u00c9t\u00e9 B", "\x1fx\x00y\x7f", "12", "end"]
+    lists, some = divergence._terms(divergence.pa.array(texts, divergence.pa.string()).cast("binary").slice(1, 6))
+    assert some.to_pylist() == [bool(terms_of(t)) for t in texts[1:7]]
+    assert lists.to_pylist() == [terms_of(t) for t in texts[1:7] if terms_of(t)]
+    assert [sorted(t) for t in divergence._distinct(lists).to_pylist()] == [sorted(set(terms_of(t))) for t in texts[1:7] if terms_of(t)]
+
+
+def test_shares_agree_on_both_sides_of_long_arithmetic(spark):
+    near = [divergence.NARROW + k for k in (-2, -1, 0, 1)]
+    rows = spark.createDataFrame([(n, 3 * n + 7, 11) for n in near], "n long, total long, v long")
+    got = [r[0] for r in rows.select(divergence.share(rows.n, rows.total, rows.v)).collect()]
+    assert sorted(got) == sorted(1 + 10**9 * (n + 5) // (3 * n + 7 + 55) for n in near)
+
+
 def test_counts_beyond_32_bits_stay_exact(spark):
     rows = spark.createDataFrame([(9_000_000_000_000, 40_000_000_000_000, 3_000_000)], "n long, total long, v long")
     got = rows.select(divergence.share(rows.n, rows.total, rows.v)).first()[0]
