@@ -41,17 +41,18 @@ columns cannot clash.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retally.llm.shared import fresh_path, materialise
+from retally.llm.terms import distinct_terms, terms_of
 from retally.llm.tokens import slices
 
 MIN_DOCS = 30
@@ -62,33 +63,10 @@ TILE = 64            # sources of a tile, about
 BLOCK = 2048         # terms of a block
 ALL_TERMS = 2**31 - 1
 
-TERM_SLICE = 4 * 1024 * 1024      # bytes of text parted at once
-HELD = 2_000_000                  # entries of vectors that a task holds before it adds them up
+BATCH_BYTES = 4 * 1024 * 1024     # of an Arrow batch given to Python
+TERM_SLICE = 1024 * 1024          # bytes of text parted at once
+HELD = 500_000                    # entries of vectors that a task holds before it adds them up
 NARROW = 9_000_000_000            # below this, SCALE * (n + SMOOTHING) is a long
-_TABLE = bytes(b if 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-
-
-def _terms(texts: pa.Array) -> tuple[pa.ListArray, pa.Array]:
-    """The terms, in order, of the binary texts that have any, and which those are."""
-    texts = pc.fill_null(texts, b"")
-    _, offsets, data = texts.buffers()
-    bounds = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
-    plain = data.slice(bounds[0], bounds[-1] - bounds[0]).to_pybytes() if data else b""
-    blank = pa.StringArray.from_buffers(len(texts), pa.py_buffer(bounds - bounds[0]), pa.py_buffer(plain.translate(_TABLE)))
-    trimmed = pc.ascii_trim_whitespace(blank)
-    some = pc.not_equal(trimmed, "")
-    return pc.ascii_split_whitespace(trimmed.filter(some)), some
-
-
-def _distinct(lists: pa.ListArray) -> pa.ListArray:
-    """Every list with each of its terms once, in any order."""
-    coded = lists.flatten().dictionary_encode()
-    bits = len(coded.dictionary).bit_length()
-    row = np.repeat(np.arange(len(lists), dtype=np.int64) << bits, lists.value_lengths().to_numpy())
-    key = np.sort(row | coded.indices.to_numpy())
-    key = key[np.diff(key, prepend=-1) != 0]
-    bounds = np.searchsorted(key, np.arange(len(lists) + 1, dtype=np.int64) << bits)
-    return pa.ListArray.from_arrays(bounds.astype(np.int32), coded.dictionary.take(pa.array(key & ((1 << bits) - 1))))
 
 
 def with_terms(docs: DataFrame, text: str = "text", distinct: bool = False) -> DataFrame:
@@ -102,9 +80,11 @@ def with_terms(docs: DataFrame, text: str = "text", distinct: bool = False) -> D
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).cast(pa.binary())
             for a, b in slices(texts, TERM_SLICE):
-                lists, some = _terms(texts.slice(a, b - a))
-                yield pa.record_batch([*[c.slice(a, b - a).filter(some) for c in batch.columns[:-1]], _distinct(lists) if distinct else lists],
-                                      names=[*others, "terms"])
+                lists, some = terms_of(texts.slice(a, b - a))
+                yield pa.record_batch([*[c.slice(a, b - a).filter(some) for c in batch.columns[:-1]],
+                                       distinct_terms(lists) if distinct else lists], names=[*others, "terms"])
+                del lists
+                pa.default_memory_pool().release_unused()      # what a slice took is given back before the next one
 
     read = docs.select(*others, text)
     return read.mapInArrow(run, read.drop(text).schema.add("terms", T.ArrayType(T.StringType())))
@@ -136,12 +116,25 @@ def _added(number: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 if len(held[0]) > HELD // 2:
                     yield from rows(held.pop())
                     names.clear()
+                pa.default_memory_pool().release_unused()
         if held:
             yield from rows(sums())
 
     return run
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside hand rows to Python ``BATCH_BYTES`` at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def group_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
                  min_docs: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Tables of the kept terms' counts (lang, source, place, n, lang_n), of all groups (lang, source), of
@@ -157,28 +150,29 @@ def group_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str,
     sums_path, vocabulary_path = fresh_path(spark, "divergence-sums"), fresh_path(spark, "divergence-vocabulary")
     vector = F.unwrap_udt("vector")
     sizes = []
-    for lang in groups.groupBy("lang", "file_key").agg(F.sum("docs").alias("docs")).collect():      # one row per language
-        own = texts.where((F.col("file_key") == lang["file_key"]) & (F.col("lang") == lang["lang"])).select("source", "text")
-        if lang["docs"] < min_docs:                          # no term can be in so many documents
-            sizes.append((lang["lang"], 0))
-            continue
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=ALL_TERMS).fit(
-            with_terms(own.select("text"), distinct=True))
-        words = model.vocabulary
-        sizes.append((lang["lang"], len(words)))
-        if not words:
-            continue
-        order = sorted(range(len(words)), key=words.__getitem__)
-        number = np.empty(len(words), np.int64)
-        number[order] = np.arange(len(words))
-        entries = model.transform(with_terms(own)).select("source", vector["indices"].alias("places"), vector["values"].alias("n"))
-        counts = (entries.mapInArrow(_added(number), "source string, place int, n long").repartition("source", "place")
-                  .groupBy("source", "place").agg(F.sum("n").alias("n")))
-        (counts.select(F.lit(lang["lang"]).alias("lang"), "source", "place", "n",
-                       F.sum("n").over(Window.partitionBy("place")).alias("lang_n"))
-         .write.mode("append").parquet(sums_path))
-        numbered = pa.table({"place": pa.array(np.arange(len(words), dtype=np.int32)), "term": pa.array([words[k] for k in order], pa.string())})
-        spark.createDataFrame(numbered).withColumn("lang", F.lit(lang["lang"])).write.mode("append").parquet(vocabulary_path)
+    with small_batches(spark):
+        for lang in groups.groupBy("lang", "file_key").agg(F.sum("docs").alias("docs")).collect():      # one row per language
+            own = texts.where((F.col("file_key") == lang["file_key"]) & (F.col("lang") == lang["lang"])).select("source", "text")
+            if lang["docs"] < min_docs:                          # no term can be in so many documents
+                sizes.append((lang["lang"], 0))
+                continue
+            model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=ALL_TERMS).fit(
+                with_terms(own.select("text"), distinct=True))
+            words = model.vocabulary
+            sizes.append((lang["lang"], len(words)))
+            if not words:
+                continue
+            order = sorted(range(len(words)), key=words.__getitem__)
+            number = np.empty(len(words), np.int64)
+            number[order] = np.arange(len(words))
+            entries = model.transform(with_terms(own)).select("source", vector["indices"].alias("places"), vector["values"].alias("n"))
+            counts = (entries.mapInArrow(_added(number), "source string, place int, n long").repartition("source", "place")
+                      .groupBy("source", "place").agg(F.sum("n").alias("n")))
+            (counts.select(F.lit(lang["lang"]).alias("lang"), "source", "place", "n",
+                           F.sum("n").over(Window.partitionBy("place")).alias("lang_n"))
+             .write.mode("append").parquet(sums_path))
+            numbered = pa.table({"place": pa.array(np.arange(len(words), dtype=np.int32)), "term": pa.array([words[k] for k in order], pa.string())})
+            spark.createDataFrame(numbered).withColumn("lang", F.lit(lang["lang"])).write.mode("append").parquet(vocabulary_path)
     sized = spark.createDataFrame(sizes, "lang string, v long")
     sums, vocabulary = "lang string, source string, place int, n long, lang_n long", "place int, term string, lang string"
     if not any(v for _, v in sizes):

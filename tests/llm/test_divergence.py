@@ -4,7 +4,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from retally.llm import divergence
+import pyarrow as pa
+
+from retally.llm import divergence, terms
 from retally.llm.divergence import source_divergence
 from retally.llm.queries import op12_source_divergence
 
@@ -125,10 +127,10 @@ def test_sums_given_out_early_change_nothing(spark, monkeypatch):
 
 def test_terms_of_cut_arrays_with_nulls():
     texts = ["skipped", None, "", " 1 ", "B a,a\u00a0b \u00c9t\u00e9 B", "\x1fx\x00y\x7f", "12", "end"]
-    lists, some = divergence._terms(divergence.pa.array(texts, divergence.pa.string()).cast("binary").slice(1, 6))
+    lists, some = terms.terms_of(pa.array(texts, pa.string()).cast("binary").slice(1, 6))
     assert some.to_pylist() == [bool(terms_of(t)) for t in texts[1:7]]
     assert lists.to_pylist() == [terms_of(t) for t in texts[1:7] if terms_of(t)]
-    assert [sorted(t) for t in divergence._distinct(lists).to_pylist()] == [sorted(set(terms_of(t))) for t in texts[1:7] if terms_of(t)]
+    assert [sorted(t) for t in terms.distinct_terms(lists).to_pylist()] == [sorted(set(terms_of(t))) for t in texts[1:7] if terms_of(t)]
 
 
 def test_shares_agree_on_both_sides_of_long_arithmetic(spark):
