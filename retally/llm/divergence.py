@@ -102,7 +102,8 @@ def _added(number: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
         def rows(table: pa.Table) -> Iterator[pa.RecordBatch]:
             source, place = np.divmod(table["key"].to_numpy(), len(number))
-            out = pa.table({"source": pa.array(list(names), pa.string()).take(pa.array(source)), "place": place.astype(np.int32), "n": table["n"]})
+            out = pa.table({"source": pa.array(list(names), pa.string()).take(pa.array(source)),
+                            "place": place.astype(np.int32), "n": table["n"]})
             yield from out.to_batches(max_chunksize=65_536)
 
         for batch in batches:
