@@ -29,7 +29,9 @@ turns one into the other.
 
 The join runs over distinct words, so frequent words are not hot keys.  A
 bucket that still is large is an ordinary skewed join key: it is sorted, can
-spill and is split by AQE.
+spill and is split by AQE.  Joins are merged, never broadcast: the planner takes
+the 12 to 24 keys of a word for one row, and stored words for the size of their
+compressed files, so the tables it would broadcast do not fit the driver.
 
 Defined results: a null, empty or letterless text has no words; a null id counts
 as an empty string in the checksum; repeated rows count each time; an empty
@@ -200,7 +202,7 @@ def near_pairs(words: DataFrame, parts: int = PARTS, min_chars: int = MIN_CHARS)
     """(word, n, other, other_n): every near pair once, in either order."""
     dealt = balanced_parts(words, parts)
     shorter = signature_rows(words, dealt, parts, min_chars, only_own=True).drop("own").alias("a")
-    either = signature_rows(words, dealt, parts, min_chars).alias("b")
+    either = signature_rows(words, dealt, parts, min_chars).hint("merge").alias("b")
     met = shorter.join(either, (F.col("a.key") == F.col("b.key"))
                        & (~F.col("b.own") | (F.col("a.word") < F.col("b.word")))
                        & (F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1))
@@ -213,7 +215,7 @@ def roots(forms: DataFrame) -> DataFrame:
     at = materialise(forms.select("word", F.col("form").alias("root")), "variant-roots")
     while True:
         ahead = at.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = materialise(at.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"),
+        moved = materialise(at.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"),
                                                                   F.col("next").isNotNull().alias("moved")), "variant-roots")
         at = moved.drop("moved")
         if not moved.where("moved").head(1):
@@ -233,6 +235,6 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     formed = materialise(best.select("word", "n_near", F.when(strong, F.col("best.other")).alias("form"),
                                      F.when(strong, -F.col("best.less")).alias("form_n")), "variant-forms")
     rooted = roots(formed.where("form IS NOT NULL"))
-    return (words.join(formed, "word", "left").join(rooted, "word", "left")
+    return (words.join(formed.hint("merge"), "word", "left").join(rooted.hint("merge"), "word", "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                     F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), "form_n"))

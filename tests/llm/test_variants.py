@@ -135,3 +135,20 @@ def test_empty_tables_and_clashing_columns(spark):
 def test_query_equals_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert rows_of(op13_spelling_variants(spark, "/root/testdata/sf0.001")) == brute(docs)
+
+
+def test_no_join_is_broadcast_however_small_the_planner_takes_its_sides(spark, monkeypatch):
+    plans, honest = [], variants.materialise
+
+    def watching(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return honest(df, purpose)
+
+    monkeypatch.setattr(variants, "materialise", watching)
+    texts = [(1, "letters letters letters letters letters letters lettars lettars lettars other words words words", "en")]
+    found = spelling_variants(spark.createDataFrame(texts, DOC))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert {r.word: (r.form, r.root, r.n) for r in found.collect()} == {
+        "letters": (None, "letters", 6), "lettars": ("letters", "letters", 3), "words": (None, "words", 3)}
+    joined = [p for p in plans if "Join" in p]
+    assert len(joined) >= 3 and all("SortMergeJoin" in p and "Broadcast" not in p for p in joined)
