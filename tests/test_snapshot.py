@@ -157,3 +157,24 @@ def test_snapshot_tables_derives_once_and_gives_the_verified_sums(spark, monkeyp
     rows = {(r.fmt, r.table_name): (r.rows, r.checksum) for r in found.collect()}
     want = {r.table_name: (r.rows, r.checksum) for r in table_checksums(t).collect()}
     assert rows == {(f, n): v for f in ("csv", "parquet") for n, v in want.items()}
+
+
+def test_wide_rows_are_written_and_summed_outside_whole_stage_code(spark, tmp_path, monkeypatch):
+    name, seen, honest = "spark.sql.codegen.maxFields", [], snapshot.checksum
+    before = spark.conf.get(name)
+
+    def watching(what, df):
+        seen.append((what, int(spark.conf.get(name))))
+        return df
+
+    monkeypatch.setattr(snapshot, "checksum", lambda df, columns: honest(watching("summed", df), columns))
+    source = tables(spark, result_annual=[result_row(1)], payment=[pay_row(1, "RETOT")])
+    watched = ExamTables(spark, {n: (lambda n=n: watching("dumped", source[n])) for n in ALL_TABLES})
+    write_dump(watched, str(tmp_path / "dump"))
+    read_source = snapshot.read_source
+    monkeypatch.setattr(snapshot, "read_source", lambda *a: watching("stored", read_source(*a)))
+    loaded = load_snapshot(spark, str(tmp_path / "dump"), str(tmp_path / "snap"))
+    assert {r.table_name: r.rows for r in snapshot.stored_checksums(loaded).collect() if r.rows} == {"result_annual": 1, "payment": 1}
+    assert {w for w, _ in seen} == {"dumped", "stored", "summed"}
+    narrowest = min(len(schemas.BY_TABLE[n].names) for n in snapshot.RESULT_TABLES + snapshot.APPLICATION_TABLES)
+    assert all(fields < narrowest for _, fields in seen) and spark.conf.get(name) == before
