@@ -43,6 +43,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retally.functions.notes import payment_notes
+from retally.operators.membership import planned_bytes
+from retally.sources.sinks import clustered
 from retally.sources.tables import ExamTables
 from retally.specs import Slot, annual_slots, semester_slots
 
@@ -93,9 +95,26 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "p_name", "p_brand",
         F.col("l_partkey").cast("string").alias("code"),
         F.col("l_quantity").cast("int").alias("qty"),
+        ((F.col("l_partkey") + F.col("l_linenumber")) % 2 == 0).alias("_applied"),
+        F.when(F.col("l_partkey") % 9 != 0, F.col("p_name")).alias("_blanked"),
     )
 
 
+# Lines are held by part number modulo this: both slot layouts (40 and 12) follow from the remainder.
+COMMON_MODULUS = 120
+
+
+def _grouped_lines(lines: DataFrame) -> DataFrame:
+    """The lines of an order with one part number modulo ``COMMON_MODULUS`` as one row of maxima, applied for or not apart.
+
+    All tables take maxima over such lines, so theirs are maxima of these.  An order has at
+    most a few hundred rows, however many lines it has.
+    """
+    maxima = ["p_name", "_blanked", "p_brand", "code", "qty", "l_quantity"]
+    return (lines.withColumn("l_partkey", F.col("l_partkey") % COMMON_MODULUS)
+            .groupBy("l_orderkey", "l_partkey", "_applied").agg(*[F.max(c).alias(c) for c in maxima]))
+
+
 def _pivot(lines: DataFrame, modulus: int, values: list[Column]) -> DataFrame:
     """One row per order with a map ``slot -> struct(v0, v1, ...)`` of per-slot maxima.
 
@@ -132,24 +151,37 @@ APPLICATION_HEADER = [
 ]
 
 
-def exam_tables_from_tpch(spark: SparkSession, sf_dir: str) -> ExamTables:
-    """All nine exam tables, derived lazily from the TPC-H-like tables in ``sf_dir``."""
+MAX_STORED_BUCKETS = 1 << 15         # Spark refuses more than 100,000
+STORED_BYTES = 32 * 1024 * 1024       # of the lines' files, to a bucket of the stored parts
+
+
+def exam_tables_from_tpch(spark: SparkSession, sf_dir: str, stored: bool = False) -> ExamTables:
+    """All nine exam tables, derived lazily from the TPC-H-like tables in ``sf_dir``.
+
+    With ``stored`` the joined headers and lines that the tables share are written once,
+    bucketed by order: for jobs that read most tables, which then neither repeat the
+    joins nor shuffle.  Without, each table is derived from the files.
+    """
     state: dict[str, DataFrame] = {}
 
+    def buckets() -> int:
+        size = planned_bytes(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+        return max(min(64, spark.sparkContext.defaultParallelism), min(MAX_STORED_BUCKETS, -(-size // STORED_BYTES)))
+
     def header() -> DataFrame:
         if "header" not in state:
-            state["header"] = _header(spark, sf_dir)
+            made = _header(spark, sf_dir)
+            state["header"] = clustered(made, "id", buckets(), "headers") if stored else made
         return state["header"]
 
     def lines() -> DataFrame:
         if "lines" not in state:
-            state["lines"] = _lines(spark, sf_dir)
+            made = _lines(spark, sf_dir)
+            state["lines"] = clustered(_grouped_lines(made), "l_orderkey", buckets(), "lines") if stored else made
         return state["lines"]
 
-    applied_for = (F.col("l_partkey") + F.col("l_linenumber")) % 2 == 0
-
     def applied_lines(residue: int) -> DataFrame:
-        return lines().where((F.col("l_orderkey") % 3 == residue) & applied_for)
+        return lines().where((F.col("l_orderkey") % 3 == residue) & F.col("_applied"))
 
     def result_table(slots: tuple[Slot, ...], modulus: int) -> DataFrame:
         piv = _pivot(lines(), modulus, [F.col("p_name"), F.col("code")])
@@ -159,8 +191,7 @@ def exam_tables_from_tpch(spark: SparkSession, sf_dir: str) -> ExamTables:
         return _with_header(header(), piv, RESULT_HEADER, cols)
 
     def annual_application(residue: int) -> DataFrame:
-        blanked = F.when(F.col("l_partkey") % 9 != 0, F.col("p_name"))
-        piv = _pivot(applied_lines(residue), 40, [blanked, F.col("code"), F.col("qty")])
+        piv = _pivot(applied_lines(residue), 40, [F.col("_blanked"), F.col("code"), F.col("qty")])
         cols = []
         for s in annual_slots():
             cols += [f"{_slot_value(s, 0)} AS {s.name}", f"{_slot_value(s, 1)} AS {s.name}code",
@@ -181,7 +212,7 @@ def exam_tables_from_tpch(spark: SparkSession, sf_dir: str) -> ExamTables:
     def payment() -> DataFrame:
         # One pass over the applicants of both kinds: each yields its rows as one array.
         kind = F.col("id") % 3
-        applied = (lines().where(((F.col("l_orderkey") % 3).isin(0, 1)) & applied_for)
+        applied = (lines().where(((F.col("l_orderkey") % 3).isin(0, 1)) & F.col("_applied"))
                    .select("l_orderkey").distinct())
         applicants = (header().where(F.col("retotaling_status") == "Y")
                       .join(applied, F.col("id") == F.col("l_orderkey"), "left_semi"))

@@ -178,3 +178,29 @@ def test_wide_rows_are_written_and_summed_outside_whole_stage_code(spark, tmp_pa
     assert {w for w, _ in seen} == {"dumped", "stored", "summed"}
     narrowest = min(len(schemas.BY_TABLE[n].names) for n in snapshot.RESULT_TABLES + snapshot.APPLICATION_TABLES)
     assert all(fields < narrowest for _, fields in seen) and spark.conf.get(name) == before
+
+
+def test_tables_from_stored_headers_and_lines_are_the_derived_ones_without_a_shuffle(spark, tmp_path):
+    def table(name, rows, kinds):
+        spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    table("nation", [(1, "NAT")], "n_nationkey long, n_name string")
+    table("customer", [(c, f"C{c}", 1, "SEG") for c in (1, 2)], "c_custkey long, c_name string, c_nationkey long, c_mktsegment string")
+    orders = [(k, 1 + k % 2, "PFO"[k % 3], f"199{k % 7}-05-01", f"{1 + k % 5}-X") for k in (*range(1, 60), 7)]      # order 7 comes twice
+    table("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string, o_orderpriority string")
+    parts = [*range(1, 30), 121, 129, 241, 366]      # the same slots again, other names
+    table("part", [(p, f"P{p % 13}-{p}", f"B{p % 4}") for p in parts], "p_partkey long, p_name string, p_brand string")
+    lines = [(k, parts[(k * j) % len(parts)], None if (k + j) % 11 == 0 else j, float(k * j % 50)) for k in range(1, 62) for j in range(1, 9)]
+    lines += [(5, p, n, 40.0) for p in (1, 121, 241, 9, 129) for n in (1, 2)] + [(None, 3, 1, 1.0), (6, None, 1, 1.0)]
+    table("lineitem", lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double")
+
+    plain, stored = (exam_tables_from_tpch(spark, str(tmp_path), s) for s in (False, True))
+    for name in ALL_TABLES:
+        assert sorted(map(repr, plain[name].collect())) == sorted(map(repr, stored[name].collect())) != [], name
+        assert plain[name].dtypes == stored[name].dtypes
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {n: stored[n].select("*")._jdf.queryExecution().executedPlan().toString() for n in snapshot.RESULT_TABLES + snapshot.APPLICATION_TABLES}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("Exchange" not in p and "part.parquet" not in p for p in plans.values())
